@@ -155,7 +155,7 @@ def bench_q4_actor_activity(spark, sf):
 
 @query
 def bench_q5_push_stats(spark, sf):
-    return activity.payload_sum(roles.events(spark, sf))
+    return activity.payload_sum(roles.payload_events(spark, sf))
 
 
 @query
@@ -202,7 +202,7 @@ def failing_workflows_by_repo(spark, sf):
 
 @query
 def merge_hours_windows(spark, sf):
-    rows = windowed.merge_times(roles.events(spark, sf), _as_of(spark, sf))
+    rows = windowed.merge_times(roles.payload_events(spark, sf), _as_of(spark, sf))
     return _round(rows, "recent_avg_merge_hours", "baseline_avg_merge_hours")
 
 
@@ -214,13 +214,13 @@ def event_rate_windows(spark, sf):
 
 @query
 def merged_recent(spark, sf):
-    return windowed.merged_recent(roles.events(spark, sf), _as_of(spark, sf), 24, 10)
+    return windowed.merged_recent(roles.payload_events(spark, sf), _as_of(spark, sf), 24, 10)
 
 
 @query
 def merged_recent_by_repo(spark, sf):
     return windowed.merged_recent(
-        roles.events(spark, sf), _as_of(spark, sf), 168, 3, per_repo=True
+        roles.payload_events(spark, sf), _as_of(spark, sf), 168, 3, per_repo=True
     )
 
 
@@ -253,7 +253,7 @@ def rule_failure_spike(spark, sf):
 @query
 def rule_merge_stretch(spark, sf):
     at = _as_of(spark, sf)
-    times = windowed.merge_times(roles.events(spark, sf), at, 48, 336)
+    times = windowed.merge_times(roles.payload_events(spark, sf), at, 48, 336)
     return detection.merge_stretch(times, at, 48).select(
         "anomaly_id", "type", "title", "severity", "description", "repo"
     )
@@ -271,7 +271,7 @@ def rule_drought(spark, sf):
 @query
 def all_anomalies(spark, sf):
     at = _as_of(spark, sf, 20)
-    found = detection.detect_all(roles.events(spark, sf), roles.ci_runs(spark, sf), at)
+    found = detection.detect_all(roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at)
     return _anomaly_columns(found).select("anomaly_id", "type", "severity", "repo", "detected_at")
 
 
@@ -280,7 +280,7 @@ def repo_anomalies(spark, sf):
     """The scalar form: one repository for the event rules."""
     at = _as_of(spark, sf, 20)
     found = detection.detect_all(
-        roles.events(spark, sf), roles.ci_runs(spark, sf), at, repo="org/repo-3"
+        roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at, repo="org/repo-3"
     )
     return _anomaly_columns(found).select("anomaly_id", "type", "severity", "repo", "detected_at")
 
@@ -288,7 +288,7 @@ def repo_anomalies(spark, sf):
 @query
 def health_signal(spark, sf):
     at = _as_of(spark, sf)
-    rows = detection.health_signal(roles.events(spark, sf), roles.ci_runs(spark, sf), at)
+    rows = detection.health_signal(roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at)
     return rows.select(
         "scope",
         "repo_name",
@@ -304,7 +304,7 @@ def health_signal(spark, sf):
 def _snapshots(spark, sf, hours=24):
     at = _as_of(spark, sf)
     return at, snapshot.evidence_snapshot(
-        roles.events(spark, sf), roles.ci_runs(spark, sf), at, window_hours=hours
+        roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at, window_hours=hours
     )
 
 
@@ -595,7 +595,7 @@ def metric_refresh(spark, sf):
 def anomaly_sweep(spark, sf):
     """Two sweeps in the same hour store every anomaly once."""
     root = work_dir(spark, "sweep")
-    events = roles.events(spark, sf).withColumn("public", F.lit(True)).withColumn(
+    events = roles.payload_events(spark, sf).withColumn("public", F.lit(True)).withColumn(
         "actor_id", F.col("user_id")
     )
     dated = _as_table(events)
@@ -660,7 +660,7 @@ def _loaded(spark, sf) -> str:
     """The event table written in one load per event type."""
     path = work_dir(spark, "events")
     rows = _as_table(
-        roles.events(spark, sf)
+        roles.payload_events(spark, sf)
         .withColumn("public", F.lit(True))
         .withColumn("actor_id", F.col("user_id"))
     )
@@ -727,7 +727,7 @@ def dlq_replay(spark, sf):
 def backfill_partitions(spark, sf):
     """A table by ingest date moves to event date, with its missing columns."""
     root = work_dir(spark, "backfill")
-    rows = _tz(roles.events(spark, sf), "created_at", "ingested_at")
+    rows = _tz(roles.payload_events(spark, sf), "created_at", "ingested_at")
     old = rows.select(
         "event_id", "event_type", "actor_login", "repo_name", "created_at", "ingested_at",
         date_key(F.col("ingested_at")).alias("date"),
@@ -754,7 +754,7 @@ def schema_evolution(spark, sf):
     """Old files lack columns that newer files have; both read as one table."""
     path = work_dir(spark, "evolution")
     rows = _as_table(
-        roles.events(spark, sf)
+        roles.payload_events(spark, sf)
         .withColumn("public", F.lit(True))
         .withColumn("actor_id", F.col("user_id"))
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewright.functions.binding import evaluated_once
 from tidewright.operators import cases as C
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -147,8 +148,13 @@ def _payload() -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Role of the flat event table, without payloads."""
+    return _numbered(spark, sf_dir)
+
+
+def payload_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Role of the flat event table."""
-    return _numbered(spark, sf_dir).withColumn("payload_json", _payload())
+    return evaluated_once(_numbered(spark, sf_dir), {"payload_json": _payload()})
 
 
 def ci_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,14 +170,9 @@ def ci_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw event texts: `value`, with `position` as arrival order.
-
-    Some lack an actor, have an unusable time or are cut off.
-    """
-    rows = events(spark, sf_dir)
-    payload = F.col("payload_json")
-    head = F.to_json(
+def _envelope() -> Column:
+    """Top-level fields of a raw event but for the payload."""
+    return F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
             F.col("event_type").alias("type"),
@@ -186,11 +187,23 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("created_at"),
         )
     )
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw event texts: `value`, with `position` as arrival order.
+
+    Some lack an actor, have an unusable time or are cut off.
+    """
+    rows = payload_events(spark, sf_dir)
+    payload = F.col("payload_json")
+    rows = evaluated_once(rows, {"head": _envelope()})
+    head = F.col("head")
     whole = F.concat(
         F.substring(head, 1, F.length(head) - 1), F.lit(',"payload":'), payload, F.lit("}")
     )
     cut = F.when(F.col("number") % 97 == 0, F.substring(whole, 1, 30)).otherwise(whole)
-    return rows.select(cut.alias("value"), F.col("number").alias("position"))
+    slim = rows.select("head", "payload_json", "number", F.col("number").alias("position"))
+    return evaluated_once(slim, {"value": cut}).select("value", "position")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +238,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 7 != 0, _iso(closed)).alias("closed_at"),
         F.when(is_pr, F.struct(F.lit("https://example.org").alias("url"))).alias("pull_request"),
     )
-    return table(spark, sf_dir, "documents").select(
-        F.to_json(item).alias("value"), n.alias("position")
+    rows = table(spark, sf_dir, "documents")
+    return evaluated_once(rows, {"value": F.to_json(item)}).select(
+        "value", n.alias("position")
     )
 
 

@@ -1,11 +1,13 @@
 """Reading loosely shaped JSON text with built-in expressions.
 
-`map<string,string>` keeps the text of nested values and tells a key that is
-present with null apart from a missing key, at one parse per level.
+Objects are parsed into structs of texts: one pass per level, nested values
+kept as JSON text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 from tidewright.functions.binding import let
@@ -15,27 +17,51 @@ FALSY_TEXT = ["", "false", "0", "0.0", "{}", "[]"]
 EMPTY_TEXT = ["", "{}", "[]"]
 
 
-def as_fields(text: Column) -> Column:
-    """JSON object text to field map; NULL when it is not a JSON object."""
-    return F.from_json(text, "map<string,string>")
+def text_struct(keys: Iterable[str]) -> str:
+    return "struct<" + ",".join(f"`{key}`:string" for key in keys) + ">"
+
+
+def as_fields(text: Column, keys: Iterable[str]) -> Column:
+    """Named fields of a JSON object text; all NULL when it is no object."""
+    return F.from_json(text, text_struct(keys))
 
 
-def strict_fields(text: Column) -> Column:
-    """As `as_fields`, but text after the object makes it NULL too.
+def strict(text: Column, item_type: str) -> Column:
+    """One JSON object text as the given type, NULL for anything else.
 
-    The parser stops after the first value; inside an array it cannot.
+    The parser stops after the first value, so `{} x` would pass; as the only
+    element of an array it does not.
     """
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>")
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{item_type}>")
     return let(wrapped, lambda parsed: F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0))))
 
 
-def field(fields: Column, key: str) -> Column:
-    """Field text, NULL when missing or null."""
-    return fields.getItem(key)
+def strict_fields(text: Column, keys: Iterable[str]) -> Column:
+    return strict(text, text_struct(keys))
+
+
+class JsonObject:
+    """Parsed fields of an object next to its text."""
 
+    def __init__(self, fields: Column, text: Column):
+        self.fields = fields
+        self.text = text
 
-def has_key(fields: Column, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(fields, key), F.lit(False))
+    def get(self, key: str) -> Column:
+        """Field text, NULL when missing or null."""
+        return self.fields.getField(key)
+
+    def has(self, key: str) -> Column:
+        """True also for a key whose value is null."""
+        return F.coalesce(F.array_contains(F.json_object_keys(self.text), key), F.lit(False))
+
+    def get_or(self, key: str, default: Column) -> Column:
+        """Default only when the key is absent; an explicit null stays null.
+
+        The keys are looked up only for rows without a value.
+        """
+        value = self.get(key)
+        return F.when(value.isNotNull(), value).when(~self.has(key), default)
 
 
 def present(text: Column) -> Column:
@@ -52,11 +78,6 @@ def array_size(text: Column) -> Column:
     return F.coalesce(F.json_array_length(text), F.lit(0))
 
 
-def field_or(fields: Column, key: str, default: Column) -> Column:
-    """Default only when the key is absent; an explicit null stays null."""
-    return F.when(has_key(fields, key), field(fields, key)).otherwise(default)
-
-
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text with a full date; anything else is NULL."""
     looks_iso = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tidewright.functions.bands import lag_band
+from tidewright.functions.binding import evaluated_once
 from tidewright.functions.time_bounds import lookback, resolve_as_of, seconds_between
 
 When = datetime | int | None
@@ -130,11 +131,10 @@ def payload_sum(
     events: DataFrame, event_type: str = "PushEvent", path: str = "$.size"
 ) -> DataFrame:
     """Count and integer sum of a payload field over the events that have it."""
-    size = F.get_json_object("payload_json", path)
+    having = events.where((F.col("event_type") == event_type) & F.col("payload_json").isNotNull())
+    size = evaluated_once(having, {"size": F.get_json_object("payload_json", path)})
     return (
-        events.where((F.col("event_type") == event_type) & F.col("payload_json").isNotNull())
-        .select(size.alias("size"))
-        .where(F.col("size").isNotNull())
+        size.where(F.col("size").isNotNull())
         .agg(
             F.count("*").alias("total_push_events"),
             F.sum(F.col("size").try_cast("int")).alias("total_commits"),

@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions import json_text as J
+from tidewright.functions.binding import evaluated_once
 from tidewright.functions.hash_vectors import hash_vector
 from tidewright.functions.text import (
     is_revert_title,
@@ -23,6 +24,10 @@ from tidewright.schemas import CASE_SCHEMA
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _COLUMNS = [f.name for f in CASE_SCHEMA.fields]
+# The keys read from an issue or pull request.
+ITEM_KEYS = [
+    "number", "title", "body", "html_url", "labels", "created_at", "closed_at", "pull_request",
+]
 _LABELS = "array<struct<name:string>>"
 
 
@@ -38,20 +43,20 @@ def label_names(labels: Column) -> Column:
 
 def flatten_items(items: DataFrame, value: str = "value") -> DataFrame:
     """Raw item JSON to case columns; the item is a PR when it names one."""
-    parsed = items.withColumn("_it", J.strict_fields(F.col(value)))
-    it = F.col("_it")
-    body = J.field(it, "body")
+    parsed = evaluated_once(items, {"_it": J.strict_fields(F.col(value), ITEM_KEYS)})
+    it = J.JsonObject(F.col("_it"), F.col(value))
+    body = it.get("body")
     flat = parsed.select(
         *[c for c in items.columns if c != value],
-        F.when(J.has_key(it, "pull_request"), "pr").otherwise("issue").alias("kind"),
-        J.field(it, "number").try_cast("bigint").alias("number"),
-        F.coalesce(J.field(it, "title"), F.lit("")).alias("title"),
+        F.when(it.get("pull_request").isNotNull() | it.has("pull_request"), "pr").otherwise("issue").alias("kind"),
+        it.get("number").try_cast("bigint").alias("number"),
+        F.coalesce(it.get("title"), F.lit("")).alias("title"),
         body.alias("_body"),
         snippet(body).alias("body_snippet"),
-        J.field(it, "html_url").alias("url"),
-        label_names(J.field(it, "labels")).alias("labels"),
-        J.iso_timestamp(J.field(it, "created_at")).alias("created_at"),
-        J.iso_timestamp(J.field(it, "closed_at")).alias("closed_at"),
+        it.get("html_url").alias("url"),
+        label_names(it.get("labels")).alias("labels"),
+        J.iso_timestamp(it.get("created_at")).alias("created_at"),
+        J.iso_timestamp(it.get("closed_at")).alias("closed_at"),
     )
     is_revert = (F.col("kind") == "pr") & is_revert_title(F.col("title"))
     return flat.withColumns(

@@ -5,50 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions import json_text as J
+from tidewright.functions.binding import evaluated_once
 from tidewright.functions.time_bounds import date_key
 from tidewright.schemas import EVENT_COLUMNS, LATE_PARTITION, LATE_THRESHOLD_HOURS
 
+# The keys read from an event, its actor and its repository.
+EVENT_KEYS = ["id", "type", "actor", "repo", "payload", "public", "created_at"]
+ACTOR_KEYS = ["id", "login"]
+REPO_KEYS = ["id", "name"]
+
 
 def parse_raw(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Add `ev` (top-level field map) and `pl` (payload field map).
+    """Add `ev`, `actor` and `repo` as structs of texts.
 
-    `ev` is NULL for text that is not a JSON object; `pl` is NULL for a
-    missing or non-object payload.
+    `ev` is NULL for text that is not one JSON object.
     """
-    return raw.withColumn("ev", J.strict_fields(F.col(value))).withColumn(
-        "pl", J.as_fields(J.field(F.col("ev"), "payload"))
+    parsed = evaluated_once(raw, {"ev": J.strict_fields(F.col(value), EVENT_KEYS)})
+    return evaluated_once(
+        parsed,
+        {
+            "actor": J.as_fields(F.col("ev.actor"), ACTOR_KEYS),
+            "repo": J.as_fields(F.col("ev.repo"), REPO_KEYS),
+            "created_at_text": J.iso_timestamp(F.col("ev.created_at")),
+        },
     )
 
 
+def repo_object() -> J.JsonObject:
+    return J.JsonObject(F.col("repo"), F.col("ev.repo"))
+
+
 def flatten(parsed: DataFrame, ingested_at: Column) -> DataFrame:
     """Project the flat event columns next to whatever else is there.
 
     `ingested_at` is one stamp for the batch. An unusable `created_at`
     becomes the ingest stamp, and `created_at_ok` tells which rows those are.
     """
-    ev, actor, repo, created = F.col("ev"), F.col("_actor"), F.col("_repo"), F.col("_created")
-    payload = J.field(ev, "payload")
-    public = J.field(ev, "public")
-    parts = {
-        "_actor": J.as_fields(J.field(ev, "actor")),
-        "_repo": J.as_fields(J.field(ev, "repo")),
-        "_created": J.iso_timestamp(J.field(ev, "created_at")),
-    }
-    return parsed.withColumns(parts).withColumns(
+    payload, public = F.col("ev.payload"), F.col("ev.public")
+    created = F.col("created_at_text")
+    return parsed.withColumns(
         {
-            "event_id": F.coalesce(J.field(ev, "id"), F.lit("")),
-            "event_type": F.coalesce(J.field(ev, "type"), F.lit("")),
-            "actor_id": J.field(actor, "id").try_cast("bigint"),
-            "actor_login": J.field(actor, "login"),
-            "repo_id": J.field(repo, "id").try_cast("bigint"),
-            "repo_name": J.field_or(repo, "name", F.lit("")),
+            "event_id": F.coalesce("ev.id", F.lit("")),
+            "event_type": F.coalesce("ev.type", F.lit("")),
+            "actor_id": F.col("actor.id").try_cast("bigint"),
+            "actor_login": F.col("actor.login"),
+            "repo_id": F.col("repo.id").try_cast("bigint"),
+            "repo_name": repo_object().get_or("name", F.lit("")),
             "payload_json": F.when(J.truthy(payload), payload),
             "public": F.when(public.isNotNull(), J.truthy(public)),
             "created_at_ok": created.isNotNull(),
             "created_at": F.coalesce(created, ingested_at),
             "ingested_at": ingested_at,
         }
-    ).drop("_actor", "_repo", "_created")
+    ).drop("ev", "actor", "repo", "created_at_text")
 
 
 def partition_key(threshold_hours: float = LATE_THRESHOLD_HOURS) -> Column:

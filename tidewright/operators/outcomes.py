@@ -11,6 +11,8 @@ from tidewright.functions.text import TRIMMED_SNIPPET_CHARS, listed, snippet, st
 # Label parts that tell severity or priority.
 SEVERITY_MARKERS = ["severity", "priority", "p0", "p1", "hotfix", "critical"]
 
+OUTPUT_KEYS = ["summary", "suggested_actions", "confidence"]
+
 BLOCK_SEPARATOR = "\n\n---\n\n"
 NO_CASES = "(no similar cases retrieved)"
 
@@ -171,15 +173,15 @@ def parse_generated(raw: Column) -> Column:
 
     def read(fields: Column) -> Column:
         ok = fields.isNotNull()
-        actions = F.from_json(fields.getItem("suggested_actions"), "array<string>")
+        actions = F.from_json(fields.getField("suggested_actions"), "array<string>")
         return F.struct(
-            F.when(ok, strip_whitespace(F.coalesce(fields.getItem("summary"), F.lit(""))))
+            F.when(ok, strip_whitespace(F.coalesce(fields.getField("summary"), F.lit(""))))
             .otherwise(strip_whitespace(raw))
             .alias("summary"),
             F.when(ok, F.coalesce(actions, none)).otherwise(none).alias("suggested_actions"),
-            F.when(ok, F.lower(F.coalesce(fields.getItem("confidence"), F.lit("low"))))
+            F.when(ok, F.lower(F.coalesce(fields.getField("confidence"), F.lit("low"))))
             .otherwise(F.lit("low"))
             .alias("confidence"),
         )
 
-    return let(strict_fields(body), read)
+    return let(strict_fields(body, OUTPUT_KEYS), read)

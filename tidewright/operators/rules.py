@@ -13,7 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions import json_text as J
+from tidewright.functions.binding import evaluated_once
+from tidewright.functions.json_text import JsonObject
 from tidewright.functions.text import VERSION_TAG, quoted
+from tidewright.operators.flatten import repo_object
 
 # Names that count as default branch, and accepted ref types.
 DEFAULT_BRANCHES = ["main", "master", "trunk", "develop"]
@@ -28,92 +31,92 @@ STANDARD_KEYS = ("id", "type", "actor", "repo")
 class TypeRules:
     """Checks and metrics of one event type.
 
-    `nested` names the payload object the rules look into; it is parsed once
-    per row. `checks` take the payload and nested field maps and give (failed,
-    reason) columns; `metrics` give name to column. `skip` marks valid events
-    that are not stored; no rule sets it.
+    `fields` are the payload keys the rules read, `nested` the payload object
+    they look into and `nested_fields` its keys. `checks` take the payload and
+    the nested object and give (failed, reason) columns; `metrics` give name
+    to column. `skip` marks valid events that are not stored; no rule sets it.
     """
 
     required: tuple[str, ...] = STANDARD_KEYS
+    fields: tuple[str, ...] = ()
     nested: str | None = None
-    checks: Callable[[Column, Column], list[tuple[Column, Column]]] = lambda pl, sub: []
-    metrics: Callable[[Column, Column], dict[str, Column]] = lambda pl, sub: {}
-    skip: Callable[[Column, Column], Column] = lambda pl, sub: F.lit(False)
+    nested_fields: tuple[str, ...] = ()
+    checks: Callable[[JsonObject, JsonObject], list[tuple[Column, Column]]] = lambda pl, sub: []
+    metrics: Callable[[JsonObject, JsonObject], dict[str, Column]] = lambda pl, sub: {}
+    skip: Callable[[JsonObject, JsonObject], Column] = lambda pl, sub: F.lit(False)
 
 
-def _need(pl: Column, key: str) -> tuple[Column, Column]:
+def _need(pl: JsonObject, key: str) -> tuple[Column, Column]:
     """Payload text that must not be empty."""
-    return ~J.present(J.field(pl, key)), F.lit(f"payload.{key} is missing")
+    return ~J.present(pl.get(key)), F.lit(f"payload.{key} is missing")
 
 
-def _push_metrics(pl: Column, sub: Column) -> dict[str, Column]:
-    ref = J.field(pl, "ref")
-    branch = F.regexp_replace(F.regexp_replace(ref, "^refs/heads/", ""), "^refs/tags/", "")
-    commits = J.array_size(J.field(pl, "commits"))
+def _inner(parent: JsonObject, key: str, inner_key: str) -> Column:
+    """Text of a field two levels down, empty when it is missing."""
+    text = parent.get(key)
+    return JsonObject(J.as_fields(text, [inner_key]), text).get_or(inner_key, F.lit(""))
+
+
+def _push_metrics(pl: JsonObject, sub: JsonObject) -> dict[str, Column]:
+    branch = F.regexp_replace(
+        F.regexp_replace(pl.get("ref"), "^refs/heads/", ""), "^refs/tags/", ""
+    )
+    commits = J.array_size(pl.get("commits"))
     return {
         "commit_count": commits,
         "branch": branch,
         "is_default_branch": branch.isin(DEFAULT_BRANCHES),
-        "distinct_size": J.field_or(pl, "distinct_size", commits.cast("string")),
+        "distinct_size": pl.get_or("distinct_size", commits.cast("string")),
     }
 
 
-def _pull_request_metrics(pl: Column, sub: Column) -> dict[str, Column]:
-    action = J.field(pl, "action")
-    base = J.as_fields(J.field(sub, "base"))
+def _pull_request_metrics(pl: JsonObject, sub: JsonObject) -> dict[str, Column]:
+    action = pl.get("action")
     return {
         "action": action,
-        "pr_number": J.field(pl, "number"),
-        "is_merged": (action == "closed") & J.truthy(J.field(sub, "merged")),
-        "is_draft": J.truthy(J.field(sub, "draft")),
-        "target_branch": J.field_or(base, "ref", F.lit("")),
-        "additions": J.field(sub, "additions"),
-        "deletions": J.field(sub, "deletions"),
-        "changed_files": J.field(sub, "changed_files"),
+        "pr_number": pl.get("number"),
+        "is_merged": (action == "closed") & J.truthy(sub.get("merged")),
+        "is_draft": J.truthy(sub.get("draft")),
+        "target_branch": _inner(sub, "base", "ref"),
+        "additions": sub.get("additions"),
+        "deletions": sub.get("deletions"),
+        "changed_files": sub.get("changed_files"),
     }
 
 
-def _issue_metrics(pl: Column, sub: Column) -> dict[str, Column]:
-    action = J.field(pl, "action")
+def _issue_metrics(pl: JsonObject, sub: JsonObject) -> dict[str, Column]:
+    action = pl.get("action")
     return {
         "action": action,
-        "issue_number": J.field(sub, "number"),
+        "issue_number": sub.get("number"),
         "is_closed": action == "closed",
-        "label_count": J.array_size(J.field(sub, "labels")),
-        "comment_count": J.field_or(sub, "comments", F.lit("0")),
+        "label_count": J.array_size(sub.get("labels")),
+        "comment_count": sub.get_or("comments", F.lit("0")),
     }
 
 
-def _fork_checks(pl: Column, sub: Column) -> list[tuple[Column, Column]]:
-    full_name = J.field(sub, "full_name")
-    return [
-        _need(pl, "forkee"),
-        (~J.present(full_name), F.lit("payload.forkee.full_name is missing")),
-    ]
-
-
-def _fork_metrics(pl: Column, sub: Column) -> dict[str, Column]:
+def _fork_metrics(pl: JsonObject, sub: JsonObject) -> dict[str, Column]:
     return {
-        "fork_full_name": J.field(sub, "full_name"),
-        "fork_owner": J.field_or(J.as_fields(J.field(sub, "owner")), "login", F.lit("")),
-        "is_private": J.truthy(J.field(sub, "private")),
+        "fork_full_name": sub.get("full_name"),
+        "fork_owner": _inner(sub, "owner", "login"),
+        "is_private": J.truthy(sub.get("private")),
     }
 
 
-def _create_checks(pl: Column, sub: Column) -> list[tuple[Column, Column]]:
-    ref_type = J.field(pl, "ref_type")
+def _create_checks(pl: JsonObject, sub: JsonObject) -> list[tuple[Column, Column]]:
+    ref_type = pl.get("ref_type")
     shown = (
         F.when(ref_type.isNotNull(), quoted(ref_type))
-        .when(J.has_key(pl, "ref_type"), F.lit("None"))
+        .when(pl.has("ref_type"), F.lit("None"))
         .otherwise(F.lit("''"))
     )
     known = F.coalesce(ref_type.isin(REF_TYPES), F.lit(False))
     return [(~known, F.concat(F.lit("payload.ref_type invalid or missing: "), shown))]
 
 
-def _create_metrics(pl: Column, sub: Column) -> dict[str, Column]:
-    ref_type = J.field(pl, "ref_type")
-    name = F.coalesce(J.field(pl, "ref"), F.lit(""))
+def _create_metrics(pl: JsonObject, sub: JsonObject) -> dict[str, Column]:
+    ref_type = pl.get("ref_type")
+    name = F.coalesce(pl.get("ref"), F.lit(""))
     return {
         "ref_type": ref_type,
         "ref_name": name,
@@ -125,32 +128,48 @@ def _create_metrics(pl: Column, sub: Column) -> dict[str, Column]:
 DEFAULT_RULES = TypeRules(required=("id", "type"))
 
 RULES: dict[str, TypeRules] = {
-    "PushEvent": TypeRules(checks=lambda pl, sub: [_need(pl, "ref")], metrics=_push_metrics),
+    "PushEvent": TypeRules(
+        fields=("ref", "commits", "distinct_size"),
+        checks=lambda pl, sub: [_need(pl, "ref")],
+        metrics=_push_metrics,
+    ),
     "WatchEvent": TypeRules(
+        fields=("action",),
         checks=lambda pl, sub: [_need(pl, "action")],
-        metrics=lambda pl, sub: {"action": J.field(pl, "action")},
+        metrics=lambda pl, sub: {"action": pl.get("action")},
     ),
     "PullRequestEvent": TypeRules(
+        fields=("action", "number"),
         nested="pull_request",
+        nested_fields=("merged", "draft", "base", "additions", "deletions", "changed_files"),
         checks=lambda pl, sub: [
             _need(pl, "action"),
-            (J.field(pl, "number").isNull(), F.lit("payload.number is missing")),
+            (pl.get("number").isNull(), F.lit("payload.number is missing")),
         ],
         metrics=_pull_request_metrics,
     ),
     "IssuesEvent": TypeRules(
+        fields=("action",),
         nested="issue",
+        nested_fields=("number", "labels", "comments"),
         checks=lambda pl, sub: [
             _need(pl, "action"),
-            (
-                J.field(sub, "number").isNull(),
-                F.lit("payload.issue.number is missing"),
-            ),
+            (sub.get("number").isNull(), F.lit("payload.issue.number is missing")),
         ],
         metrics=_issue_metrics,
     ),
-    "ForkEvent": TypeRules(nested="forkee", checks=_fork_checks, metrics=_fork_metrics),
-    "CreateEvent": TypeRules(checks=_create_checks, metrics=_create_metrics),
+    "ForkEvent": TypeRules(
+        nested="forkee",
+        nested_fields=("full_name", "owner", "private"),
+        checks=lambda pl, sub: [
+            _need(pl, "forkee"),
+            (~J.present(sub.get("full_name")), F.lit("payload.forkee.full_name is missing")),
+        ],
+        metrics=_fork_metrics,
+    ),
+    "CreateEvent": TypeRules(
+        fields=("ref", "ref_type"), checks=_create_checks, metrics=_create_metrics
+    ),
 }
 
 
@@ -158,9 +177,9 @@ def register(event_type: str, rules: TypeRules, table: dict[str, TypeRules] = RU
     table[event_type] = rules
 
 
-def _reason(rules: TypeRules, ev: Column, pl: Column, sub: Column) -> Column:
+def _reason(rules: TypeRules, pl: JsonObject, sub: JsonObject) -> Column:
     steps = [
-        F.when(J.field(ev, key).isNull(), F.lit(f"required field missing: '{key}'"))
+        F.when(F.col(f"ev.{key}").isNull(), F.lit(f"required field missing: '{key}'"))
         for key in rules.required
     ]
     steps += [F.when(failed, reason) for failed, reason in rules.checks(pl, sub)]
@@ -175,7 +194,7 @@ def _metric_map(metrics: dict[str, Column]) -> Column:
 
 
 def _by_type(table: dict[str, TypeRules], pick: Callable[[TypeRules], Column]) -> Column:
-    event_type = J.field(F.col("ev"), "type")
+    event_type = F.col("ev.type")
     chosen = None
     for name, rules in table.items():
         test = event_type == name
@@ -184,46 +203,55 @@ def _by_type(table: dict[str, TypeRules], pick: Callable[[TypeRules], Column]) -
     return fallback if chosen is None else chosen.otherwise(fallback)
 
 
+def _keys(names: list[str | None]) -> list[str]:
+    """Distinct names in order; a struct needs at least one."""
+    return list(dict.fromkeys(n for n in names if n)) or ["id"]
+
+
 def validate(parsed: DataFrame, table: dict[str, TypeRules] = RULES) -> DataFrame:
     """Add `error_reason` (NULL when valid), `metrics` and `skipped`.
 
     Expects the columns of `parse_raw`. A null `repo.name` passes the checks of
     the types but cannot be stored, so it is rejected with its own reason.
     """
-    ev, pl, sub = F.col("ev"), F.col("pl"), F.col("_sub")
-    nested = _by_type(
-        table,
-        lambda rules: J.field(pl, rules.nested) if rules.nested else F.lit(None).cast("string"),
-    )
-    parsed = parsed.withColumn("_sub", J.as_fields(nested)).withColumn(
-        "_repo", J.as_fields(J.field(ev, "repo"))
-    )
-    raw_type = J.field(ev, "type")
+    payload_keys = _keys([k for r in table.values() for k in (*r.fields, r.nested)])
+    nested_keys = _keys([k for r in table.values() for k in r.nested_fields])
+    none = F.lit(None).cast("string")
+    opened = evaluated_once(parsed, {"_pl": J.as_fields(F.col("ev.payload"), payload_keys)})
+    payload = JsonObject(F.col("_pl"), F.col("ev.payload"))
+    nested = _by_type(table, lambda r: payload.get(r.nested) if r.nested else none)
+    opened = evaluated_once(opened, {"_text": nested})
+    opened = evaluated_once(opened, {"_sub": J.as_fields(F.col("_text"), nested_keys)})
+    sub = JsonObject(F.col("_sub"), F.col("_text"))
+
+    raw_type = F.col("ev.type")
     label = F.when(raw_type.isin(list(table)), raw_type).otherwise(F.lit("default"))
-    repo = F.col("_repo")
+    repo = repo_object()
     reason = F.coalesce(
-        F.when(ev.isNull(), F.lit(BAD_JSON)),
-        _by_type(table, lambda rules: _reason(rules, ev, pl, sub)),
-        F.when(J.has_key(repo, "name") & J.field(repo, "name").isNull(), F.lit(NULL_REPO_NAME)),
+        F.when(F.col("ev").isNull(), F.lit(BAD_JSON)),
+        _by_type(table, lambda r: _reason(r, payload, sub)),
+        F.when(repo.get("name").isNull() & repo.has("name"), F.lit(NULL_REPO_NAME)),
     )
-    event_id = F.coalesce(J.field(ev, "id"), F.lit(""))
-    message = F.concat(F.lit("["), label, F.lit("] id="), quoted(event_id), F.lit(": "), reason)
-    return (
-        parsed.withColumn("error_reason", F.when(reason.isNotNull(), message))
-        .withColumn(
-            "metrics",
-            F.when(
-                F.col("error_reason").isNull(),
-                _by_type(table, lambda rules: _metric_map(rules.metrics(pl, sub))),
-            ),
-        )
-        .withColumn(
-            "skipped",
-            F.col("error_reason").isNull()
-            & F.coalesce(_by_type(table, lambda rules: rules.skip(pl, sub)), F.lit(False)),
-        )
-        .drop("_sub", "_repo")
+    judged = evaluated_once(opened, {"_reason": reason})
+    message = F.concat(
+        F.lit("["),
+        label,
+        F.lit("] id="),
+        quoted(F.coalesce("ev.id", F.lit(""))),
+        F.lit(": "),
+        F.col("_reason"),
     )
+    valid = F.col("_reason").isNull()
+    return judged.withColumns(
+        {
+            "error_reason": F.when(~valid, message),
+            "metrics": F.when(
+                valid, _by_type(table, lambda r: _metric_map(r.metrics(payload, sub)))
+            ),
+            "skipped": valid
+            & F.coalesce(_by_type(table, lambda r: r.skip(payload, sub)), F.lit(False)),
+        }
+    ).drop("_pl", "_sub", "_text", "_reason")
 
 
 def accepted(validated: DataFrame) -> DataFrame:
@@ -232,10 +260,9 @@ def accepted(validated: DataFrame) -> DataFrame:
 
 def dead_letters(validated: DataFrame, failed_at: Column, value: str = "value") -> DataFrame:
     """Rejected events in the dead-letter layout."""
-    ev = F.col("ev")
     return validated.where(F.col("error_reason").isNotNull()).select(
-        F.coalesce(J.field(ev, "id"), F.lit("")).alias("event_id"),
-        F.coalesce(J.field(ev, "type"), F.lit("unknown")).alias("event_type"),
+        F.coalesce("ev.id", F.lit("")).alias("event_id"),
+        F.coalesce("ev.type", F.lit("unknown")).alias("event_type"),
         "error_reason",
         F.coalesce(F.col(value), F.lit("")).alias("raw_json"),
         failed_at.alias("failed_at"),
@@ -244,9 +271,9 @@ def dead_letters(validated: DataFrame, failed_at: Column, value: str = "value")
 
 def emitted_metrics(validated: DataFrame) -> DataFrame:
     """Metrics of valid events, one row per event; `event_type` never in the map."""
-    ev = F.col("ev")
-    return accepted(validated).select(
-        J.field(ev, "id").alias("event_id"),
-        J.field(ev, "type").alias("event_type"),
-        F.map_filter("metrics", lambda k, _: k != "event_type").alias("metrics"),
+    kept = accepted(validated).select(
+        F.col("ev.id").alias("event_id"), F.col("ev.type").alias("event_type"), "metrics"
+    )
+    return evaluated_once(
+        kept, {"metrics": F.map_filter("metrics", lambda k, _: k != "event_type")}
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.functions import json_text as J
+from tidewright.functions.binding import evaluated_once
 from tidewright.functions.time_bounds import hours_between, is_recent, window
 from tidewright.operators.ranking import top_k
 
@@ -121,12 +122,19 @@ def failing_workflows(
     return rates.orderBy(*order).limit(limit)
 
 
+# The payload fields the merge metrics read.
+_PR_PAYLOAD = (
+    "struct<action:string,number:string,"
+    "pull_request:struct<title:string,merged:string,created_at:string,merged_at:string>>"
+)
+
+
 def merged_pull_requests(events: DataFrame) -> DataFrame:
-    payload = F.col("payload_json")
-    return events.where(
-        (F.col("event_type") == "PullRequestEvent")
-        & (F.get_json_object(payload, "$.action") == "closed")
-        & (F.get_json_object(payload, "$.pull_request.merged") == "true")
+    """Closed and merged pull requests with their parsed payload `pr`."""
+    prs = events.where(F.col("event_type") == "PullRequestEvent")
+    parsed = evaluated_once(prs, {"pr": F.from_json("payload_json", _PR_PAYLOAD)})
+    return parsed.where(
+        (F.col("pr.action") == "closed") & (F.col("pr.pull_request.merged") == "true")
     )
 
 
@@ -146,8 +154,8 @@ def merge_times(
         "repo_name",
         "_recent",
         hours_between(
-            J.iso_timestamp(F.get_json_object("payload_json", "$.pull_request.created_at")),
-            J.iso_timestamp(F.get_json_object("payload_json", "$.pull_request.merged_at")),
+            J.iso_timestamp(F.col("pr.pull_request.created_at")),
+            J.iso_timestamp(F.col("pr.pull_request.merged_at")),
         ).alias("hours"),
     )
     sums = per_repo_and_total(
@@ -205,8 +213,8 @@ def merged_recent(
     rows = merged_pull_requests(window(events, "created_at", as_of, window_hours)).select(
         "repo_name",
         "event_id",
-        F.get_json_object("payload_json", "$.number").alias("pr_number"),
-        F.get_json_object("payload_json", "$.pull_request.title").alias("title"),
+        F.col("pr.number").alias("pr_number"),
+        F.col("pr.pull_request.title").alias("title"),
         "actor_login",
         F.col("created_at").alias("merged_at"),
     )

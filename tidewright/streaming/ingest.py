@@ -14,13 +14,13 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import to_micros
 from tidewright.operators import rules
 from tidewright.operators.dedupe import first_per_key, not_stored, stored_candidates
-from tidewright.operators.flatten import flatten, parse_raw, with_partition
+from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import LATE_PARTITION, LATE_THRESHOLD_HOURS
 from tidewright.session import pin_utc
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
@@ -44,21 +44,41 @@ class IngestPaths:
     counters: str | None = None
 
 
-def prepare(raw: DataFrame) -> DataFrame:
-    """Parsed and validated rows with a total arrival order."""
+def settle(
+    raw: DataFrame, stamp: datetime, threshold_hours: float = LATE_THRESHOLD_HOURS
+) -> DataFrame:
+    """One row per raw text: flat columns, partition, verdict and metrics.
+
+    The raw text is kept for rejected rows only, so the batch is held once.
+    """
     if "position" not in raw.columns:
         raw = raw.withColumn("position", F.lit(0))
+    ingested_at = F.timestamp_micros(F.lit(to_micros(stamp)))
     ordered = raw.withColumn("_seq", F.monotonically_increasing_id())
-    return rules.validate(parse_raw(ordered))
+    judged = rules.validate(parse_raw(ordered))
+    rejected = F.col("error_reason").isNotNull()
+    kept = judged.withColumns(
+        {
+            "raw_json": F.when(rejected, F.coalesce("value", F.lit(""))),
+            "raw_type": F.when(rejected, F.coalesce("ev.type", F.lit("unknown"))),
+        }
+    ).drop("value")
+    return with_partition(flatten(kept, ingested_at), threshold_hours)
 
 
-def route(
-    validated: DataFrame, stamp: datetime, threshold_hours: float = LATE_THRESHOLD_HOURS
-) -> DataFrame:
-    """Accepted events, flat, first per id, with their partition."""
-    ingested_at = F.timestamp_micros(F.lit(to_micros(stamp)))
-    flat = with_partition(flatten(rules.accepted(validated), ingested_at), threshold_hours)
-    return first_per_key(flat, "event_id", "position", "_seq")
+def rejected_rows(settled: DataFrame) -> DataFrame:
+    return settled.where(F.col("error_reason").isNotNull()).select(
+        "event_id",
+        F.col("raw_type").alias("event_type"),
+        "error_reason",
+        "raw_json",
+        F.col("ingested_at").alias("failed_at"),
+    )
+
+
+def stored_columns(settled: DataFrame) -> DataFrame:
+    """Accepted rows with what deduplication and storage need."""
+    return event_columns(rules.accepted(settled), "created_at_ok", "date", "position", "_seq")
 
 
 def _replace_batch(rows: DataFrame, path: str, batch: str) -> None:
@@ -81,56 +101,62 @@ def ingest_batch(
     """Store one batch of raw JSON texts (column `value`) and count what happened."""
     spark = pin_utc(raw.sparkSession)
     stamp = stamp or utc_now()
-    validated = prepare(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    routed = route(validated, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
+    settled = settle(raw, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
+    new = None
     try:
-        seen = validated.agg(
+        seen = settled.agg(
             F.count("*").alias("received"),
             F.count_if(F.col("error_reason").isNotNull()).alias("dead_lettered"),
             F.count_if(F.col("skipped")).alias("skipped"),
         ).first()
-        kept = routed.agg(
-            F.count("*").alias("unique"),
-            F.count_if(F.col("date") == LATE_PARTITION).alias("late"),
-        ).first()
-        written = 0
-        if kept["unique"]:
-            stored = stored_candidates(routed, read_events(spark, paths.events))
-            observed = Observation()
-            new = not_stored(routed, stored).observe(observed, F.count("*").alias("written"))
-            append_events(new, paths.events)
-            written = observed.get["written"]
+        accepted = seen["received"] - seen["dead_lettered"] - seen["skipped"]
+        unique = late = written = 0
+        if accepted:
+            rows = stored_columns(settled)
+            first = first_per_key(rows, "event_id", "position", "_seq")
+            # Column pruning keeps this count to ids, dates and positions.
+            kept = first.agg(
+                F.count("*").alias("unique"),
+                F.count_if(F.col("date") == LATE_PARTITION).alias("late"),
+            ).first()
+            unique, late = kept["unique"], kept["late"]
+            stored = stored_candidates(rows, read_events(spark, paths.events))
+            # Held, so that counting and writing see the same rows.
+            new = not_stored(first, stored).persist(StorageLevel.MEMORY_AND_DISK)
+            written = new.count()
+            if written:
+                append_events(new, paths.events)
         counts = {
             "received": seen["received"],
             "dead_lettered": seen["dead_lettered"],
             "skipped": seen["skipped"],
-            "duplicate_in_batch": seen["received"]
-            - seen["dead_lettered"]
-            - seen["skipped"]
-            - kept["unique"],
-            "already_stored": kept["unique"] - written,
-            "late": kept["late"],
+            "duplicate_in_batch": accepted - unique,
+            "already_stored": unique - written,
+            "late": late,
             "written": written,
         }
         if seen["dead_lettered"]:
-            failed_at = F.timestamp_micros(F.lit(to_micros(stamp)))
             try:
-                write_dead_letters(
-                    rules.dead_letters(validated, failed_at), paths.dead_letters, batch
-                )
+                write_dead_letters(rejected_rows(settled), paths.dead_letters, batch)
             except Exception:
                 # Losing a dead letter must not stop the stream.
                 log.exception("dead-letter write failed for batch %s", batch)
         if paths.metrics:
-            _replace_batch(rules.emitted_metrics(validated), paths.metrics, batch)
+            metrics = rules.accepted(settled).select(
+                "event_id",
+                "event_type",
+                F.map_filter("metrics", lambda k, _: k != "event_type").alias("metrics"),
+            )
+            _replace_batch(metrics, paths.metrics, batch)
         if paths.counters:
             row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
             _replace_batch(row.coalesce(1), paths.counters, batch)
         log.info("batch %s: %s", batch, counts)
         return counts
     finally:
-        routed.unpersist()
-        validated.unpersist()
+        if new is not None:
+            new.unpersist()
+        settled.unpersist()
 
 
 def ingest_jsonl(
