@@ -260,3 +260,16 @@ def test_knowledge_base_files(spark, tmp_path):
     for _ in range(2):
         knowledge.build_knowledge_base(rows, "position", *paths, C.hash_embedder(16))
     assert knowledge.load_corpus(spark, *paths).count() == 6
+
+
+def test_lookup_with_a_dominating_key(spark):
+    from tidewright.operators.skew import skew_safe_lookup
+
+    facts = spark.range(9000).select(
+        F.col("id").alias("q"),
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"),
+    )
+    dim = spark.range(-1, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = skew_safe_lookup(facts, dim, "k", 0.01).orderBy("q").collect()
+    want = facts.join(dim, "k").select("k", "q", "v").orderBy("q").collect()
+    assert [(r.k, r.q, r.v) for r in got] == [(r.k, r.q, r.v) for r in want]

@@ -396,6 +396,7 @@ ORACLE: dict[str, str] = {
 GROUP BY 1 ORDER BY event_count DESC, repo_name LIMIT 10""",
     "total_events": "SELECT count(*) AS n FROM events",
     "latest_event": "SELECT max(ts) AS latest FROM events",
+    "newest_partition_event": "SELECT max(ts) AS latest FROM events",
     "lag_stats": _with(EV)
     + """, lag AS (SELECT (epoch_us(ingested_at) - epoch_us(created_at)) / 1e6 AS lag FROM ev
   WHERE ingested_at >= (SELECT max(ingested_at) FROM ev) - to_days(7) AND ingested_at >= created_at)

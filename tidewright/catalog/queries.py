@@ -27,7 +27,7 @@ from tidewright.operators.dedupe import first_per_key, not_stored
 from tidewright.operators.order_stats import median_and_tail
 from tidewright.plans import formats, knowledge, maintenance
 from tidewright.schemas import DLQ_SCHEMA, EVENT_COLUMNS, EVENT_TABLE_SCHEMA
-from tidewright.session import pin_utc, work_dir
+from tidewright.session import pin_utc, work_dir, written
 from tidewright.sources import anomaly_store, landing, sinks, streams, tables
 from tidewright.streaming import ingest, refresh
 
@@ -649,6 +649,14 @@ def _tz(rows: DataFrame, *names: str) -> DataFrame:
 # ---- table maintenance ---------------------------------------------------
 
 
+@query
+def newest_partition_event(spark, sf):
+    """Freshness of a stored table from its newest partition."""
+    return _ntz(
+        activity.latest_event(tables.read_newest_events(spark, _loaded(spark, sf))), "latest"
+    )
+
+
 def _as_table(events: DataFrame) -> DataFrame:
     """Role rows in the stored layout under their event date."""
     return _tz(events, "created_at", "ingested_at").withColumn(
@@ -917,8 +925,13 @@ def index_neighbors(spark, sf):
     return _matches(neighbors.search_index(roles.vectors(spark, sf, "query_id"), index, 5))
 
 
+def _corpus(spark, sf) -> DataFrame:
+    """The searchable corpus as a stored table, as a job would find it."""
+    return written(roles.corpus(spark, sf), "corpus")
+
+
 def _searched(spark, sf, k=5):
-    corpus = roles.corpus(spark, sf)
+    corpus = _corpus(spark, sf)
     return corpus, neighbors.search(roles.subjects(spark, sf), corpus, k)
 
 
@@ -950,7 +963,7 @@ def severity_labels(spark, sf):
 @query
 def outcomes_for_ids(spark, sf):
     """Outcome estimate of one set of ids: all pull requests, plus unknown ids."""
-    known = roles.cases(spark, sf)
+    known = written(roles.cases(spark, sf), "cases")
     ids = (
         known.where(F.col("kind") == "pr")
         .select("case_id")
@@ -1008,7 +1021,7 @@ def parse_output(spark, sf):
 @query
 def diagnosis(spark, sf):
     rows = knowledge.diagnose(
-        roles.subjects(spark, sf), roles.corpus(spark, sf), 3, F.lit("all calm")
+        roles.subjects(spark, sf), _corpus(spark, sf), 3, F.lit("all calm")
     )
     return _round(
         rows.select(
@@ -1033,8 +1046,8 @@ def diagnosis(spark, sf):
 def anomaly_diagnosis(spark, sf):
     """Stored anomalies as subjects against hash vectors of the cases."""
     embed = C.hash_embedder(EMBED_DIM)
-    known = roles.cases(spark, sf)
-    corpus = C.searchable(known, C.embed_cases(known, embed))
+    known = written(roles.cases(spark, sf), "cases")
+    corpus = written(C.searchable(known, C.embed_cases(known, embed)), "corpus")
     anomalies = _anomaly_rows(spark, sf, 1)
     subjects = knowledge.anomaly_subjects(anomalies, embed)
     rows = knowledge.diagnose(subjects, corpus, 3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewright.functions.time_bounds import date_key
@@ -9,6 +11,8 @@ from tidewright.schemas import LATE_PARTITION
 
 # Beyond this many distinct days the stored side is read without a day filter.
 MAX_PRUNED_DAYS = 2000
+# How far back a delivery without a usable event time can be repeated.
+REDELIVERY_DAYS = 30
 
 
 def first_per_key(rows: DataFrame, key: str, *order: str) -> DataFrame:
@@ -26,14 +30,20 @@ def not_stored(new: DataFrame, stored: DataFrame, key: str = "event_id") -> Data
     return new.join(stored.select(key), key, "left_anti")
 
 
-def stored_candidates(batch: DataFrame, stored: DataFrame) -> DataFrame:
+def stored_candidates(
+    batch: DataFrame,
+    stored: DataFrame,
+    stamp: datetime,
+    redelivery_days: int | None = REDELIVERY_DAYS,
+) -> DataFrame:
     """The part of the event table that may hold ids of this batch.
 
     An event lands under its event day, or under `late` once it is old enough.
     A batch therefore needs its event days, plus the late rows whose event time
     lies in its late range. An event without a usable time was filed under the
-    day it came in, so such a row needs the whole table. Expects the columns
-    `created_at`, `created_at_ok` and `date` on the (cached) batch.
+    day it came in, so such a row needs the ingest days on which it can have
+    been delivered before: the last `redelivery_days`, or all with None.
+    Expects `created_at`, `created_at_ok` and `date` on the (held) batch.
     """
     is_late = F.col("date") == LATE_PARTITION
     info = batch.agg(
@@ -41,18 +51,22 @@ def stored_candidates(batch: DataFrame, stored: DataFrame) -> DataFrame:
         F.unix_micros(F.min(F.when(is_late, F.col("created_at")))).alias("low"),
         F.unix_micros(F.max(F.when(is_late, F.col("created_at")))).alias("high"),
     ).first()
-    if info["open_ended"]:
+    if info["open_ended"] and redelivery_days is None:
         return stored
-    days = [
+    days = {
         row["day"]
         for row in batch.select(date_key(F.col("created_at")).alias("day"))
         .distinct()
         .limit(MAX_PRUNED_DAYS + 1)
         .collect()
-    ]
+    }
+    if info["open_ended"]:
+        days |= {
+            (stamp - timedelta(days=n)).strftime("%Y-%m-%d") for n in range(redelivery_days + 1)
+        }
     if len(days) > MAX_PRUNED_DAYS:
         return stored
-    keep = F.col("date").isin(days)
+    keep = F.col("date").isin(sorted(days))
     if info["low"] is not None:
         keep = keep | (
             (F.col("date") == LATE_PARTITION)

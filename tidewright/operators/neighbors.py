@@ -21,17 +21,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.functions.bands import similarity_band
 from tidewright.operators.ranking import top_k
-from tidewright.session import work_dir
+from tidewright.operators.skew import skew_safe_lookup
+from tidewright.session import work_dir, written
 
 # The task functions travel with their code, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Query side that may be sent to every executor (rows; vectors are a few kB).
-MAX_DIRECT_QUERIES = 1024
+# Query side that may be sent to every executor.
+MAX_DIRECT_BYTES = 16 * 1024 * 1024
+MAX_DIRECT_QUERIES = 4096
 MAX_PIVOTS = 256
 TILE_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -204,35 +206,58 @@ def _load_cells(spark: SparkSession, index: CellIndex) -> dict[str, np.ndarray]:
     }
 
 
-def _visits(queries: DataFrame, cells, k: int, tile_rows: int, phase: str) -> DataFrame:
-    """One row per query and tile it has to visit.
+def _wanted(batch: pd.DataFrame, c: dict[str, np.ndarray], k: int, home: bool) -> np.ndarray:
+    """Which cells (columns) each query (row) has to visit.
 
-    The `home` phase takes the nearest cells until they hold k rows; the
-    `rest` phase takes every other cell that may hold a row at least as near
-    as `reach`, the distance of the k-th row found at home.
+    At home are the nearest cells until they hold k rows. The rest are all
+    other cells that may hold a row at least as near as `reach`, the distance
+    of the k-th row found at home.
     """
+    unit = _unit_rows(batch["embedding"])
+    dist = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ c["pivot"].T)))
+    near = np.argsort(dist, axis=1, kind="stable")
+    rows = c["rows"][near]
+    is_home = np.zeros(dist.shape, dtype=bool)
+    np.put_along_axis(is_home, near, (np.cumsum(rows, axis=1) - rows) < k, axis=1)
+    if home:
+        return is_home
+    reach = batch["reach"].to_numpy(dtype=np.float64)[:, None]
+    return ~is_home & (dist - c["radius"][None, :] <= reach + _SLACK)
+
+
+def _demand(queries: DataFrame, cells: dict[str, np.ndarray], k: int, home: bool) -> np.ndarray:
+    """Visitors per cell; one small row per pivot reaches the driver."""
     shared = queries.sparkSession.sparkContext.broadcast(cells)
-    wants_home = phase == "home"
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
+        total = np.zeros(len(c["cell"]), dtype=np.int64)
+        for batch in batches:
+            if len(batch):
+                total += _wanted(batch, c, k, home).sum(axis=0)
+        yield pd.DataFrame({"cell": c["cell"], "n": total})
+
+    counted = queries.mapInPandas(count, "cell int, n bigint").groupBy("cell").agg(
+        F.sum("n").alias("n")
+    )
+    found = {r["cell"]: r["n"] for r in counted.collect()}
+    return np.array([found.get(int(cell), 0) for cell in cells["cell"]], dtype=np.int64)
+
+
+def _visits(
+    queries: DataFrame, cells: dict[str, np.ndarray], blocks: np.ndarray, k: int,
+    tile_rows: int, home: bool,
+) -> DataFrame:
+    """One row per query and tile it has to visit, with its block there."""
+    shared = queries.sparkSession.sparkContext.broadcast((cells, blocks))
+
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, per_cell = shared.value
         tiles = np.maximum(1, -(-c["rows"] // tile_rows))
         for batch in batches:
             if not len(batch):
                 continue
-            unit = _unit_rows(batch["embedding"])
-            dist = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ c["pivot"].T)))
-            near = np.argsort(dist, axis=1, kind="stable")
-            held = np.cumsum(c["rows"][near], axis=1)
-            is_home = np.zeros(dist.shape, dtype=bool)
-            # A cell is home while the nearer ones hold fewer than k rows.
-            np.put_along_axis(is_home, near, (held - c["rows"][near]) < k, axis=1)
-            if wants_home:
-                wanted = is_home
-            else:
-                reach = batch["reach"].to_numpy(dtype=np.float64)[:, None]
-                wanted = ~is_home & (dist - c["radius"][None, :] <= reach + _SLACK)
-            who, which = np.nonzero(wanted)
+            who, which = np.nonzero(_wanted(batch, c, k, home))
             copies = tiles[which]
             who, which = np.repeat(who, copies), np.repeat(which, copies)
             part = np.concatenate([np.arange(n) for n in copies]) if len(copies) else []
@@ -240,9 +265,9 @@ def _visits(queries: DataFrame, cells, k: int, tile_rows: int, phase: str) -> Da
                 {
                     "query_id": batch["query_id"].to_numpy()[who],
                     "embedding": batch["embedding"].to_numpy()[who],
-                    "block": batch["block"].to_numpy()[who],
                     "cell": c["cell"][which],
                     "part": np.asarray(part, dtype=np.int32),
+                    "block": (batch["hash"].to_numpy()[who] % per_cell[which]).astype(np.int32),
                 }
             )
 
@@ -250,25 +275,40 @@ def _visits(queries: DataFrame, cells, k: int, tile_rows: int, phase: str) -> Da
         [
             queries.schema["query_id"],
             queries.schema["embedding"],
-            T.StructField("block", T.IntegerType()),
             T.StructField("cell", T.IntegerType()),
             T.StructField("part", T.IntegerType()),
+            T.StructField("block", T.IntegerType()),
         ]
     )
     return queries.mapInPandas(plan, schema)
 
 
 def _tile_search(
-    visits: DataFrame, tiles: DataFrame, cells, k: int, tile_rows: int, blocks: int
+    queries: DataFrame, tiles: DataFrame, cells: dict[str, np.ndarray], k: int,
+    tile_rows: int, block_queries: int, home: bool,
 ) -> DataFrame:
-    """Best k of every visited tile, one task group per (tile, query block)."""
-    parts = {int(c): int(max(1, -(-n // tile_rows))) for c, n in zip(cells["cell"], cells["rows"])}
-    count = F.create_map(*[F.lit(x) for item in parts.items() for x in item])
+    """Best k of every visited tile, one group per (tile, query block).
+
+    Both sides of a group are bounded. A tile is copied once per block of the
+    queries that visit its cell, and not at all where none does.
+    """
+    asked = _demand(queries, cells, k, home)
+    blocks = np.maximum(1, -(-asked // block_queries))
+    names = [int(c) for c in cells["cell"]]
+
+    def per_cell(values) -> Column:
+        pairs = [F.lit(x) for name, v in zip(names, values) for x in (name, int(v))]
+        return F.create_map(*pairs)[F.col("cell")]
+
+    visited = [name for name, n in zip(names, asked) if n]
+    parts = per_cell(np.maximum(1, -(-cells["rows"] // tile_rows)))
     placed = (
-        tiles.select("case_id", "embedding", "cell")
-        .withColumn("part", F.pmod(F.xxhash64("case_id"), count[F.col("cell")]).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        tiles.where(F.col("cell").isin(visited))
+        .select("case_id", "embedding", "cell")
+        .withColumn("part", F.pmod(F.xxhash64("case_id"), parts).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), per_cell(blocks - 1))))
     )
+    visits = _visits(queries, cells, blocks, k, tile_rows, home)
 
     def search(corpus: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(corpus) or not len(asked):
@@ -285,7 +325,7 @@ def _tile_search(
     return (
         placed.groupBy(*keys)
         .cogroup(visits.groupBy(*keys))
-        .applyInPandas(search, _result_schema(visits, tiles))
+        .applyInPandas(search, _result_schema(queries, tiles))
     )
 
 
@@ -306,19 +346,16 @@ def search_index(
     tiles = _tiles(spark, index)
     if not len(cells["cell"]):
         return _ranked(spark.createDataFrame([], _result_schema(queries, tiles)), k)
-    blocks = max(1, -(-queries.count() // block_queries))
-    blocked = queries.select(
+    hashed = queries.select(
         "query_id",
         "embedding",
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64("query_id"), F.lit(2**31 - 1)).alias("hash"),
     )
     # Both phases read the first result, so it is written once.
-    home_path = work_dir(spark, "home-neighbors")
-    home_visits = _visits(blocked, cells, k, tile_rows, "home")
-    _ranked(_tile_search(home_visits, tiles, cells, k, tile_rows, blocks), k).write.parquet(
-        home_path
+    home = written(
+        _ranked(_tile_search(hashed, tiles, cells, k, tile_rows, block_queries, True), k),
+        "home-neighbors",
     )
-    home = spark.read.parquet(home_path)
     reach = home.groupBy("query_id").agg(
         F.when(
             F.count("*") >= k,
@@ -327,8 +364,9 @@ def search_index(
         .otherwise(F.lit(float("inf")))
         .alias("reach")
     )
-    rest_visits = _visits(blocked.join(reach, "query_id"), cells, k, tile_rows, "rest")
-    rest = _tile_search(rest_visits, tiles, cells, k, tile_rows, blocks)
+    # Planned and counted from the same stored rows.
+    bounded = written(hashed.join(reach, "query_id"), "bounded-queries")
+    rest = _tile_search(bounded, tiles, cells, k, tile_rows, block_queries, False)
     return _ranked(home.select("query_id", "case_id", "similarity").unionByName(rest), k)
 
 
@@ -344,17 +382,21 @@ def nearest(
     """Top-k corpus rows per query: query_id, case_id, similarity, rank.
 
     `queries` has query_id and embedding, `corpus` case_id and embedding. The
-    number of queries decides the way; both give the same rows.
+    size of the query side decides the way; both give the same rows. The
+    search runs here and the stored result is returned, as it is usually read
+    more than once.
     """
     slim = queries.select("query_id", "embedding")
-    head = slim.limit(max_direct_queries + 1).collect()
-    if not head:
+    one = slim.first()
+    if one is None:
         empty = corpus.sparkSession.createDataFrame([], _result_schema(queries, corpus))
         return _ranked(empty, k)
-    if len(head) <= max_direct_queries:
-        return _direct(head, queries, corpus, k)
+    limit = min(max_direct_queries, MAX_DIRECT_BYTES // (8 * max(1, len(one["embedding"]))))
+    head = slim.limit(limit + 1).collect()
+    if len(head) <= limit:
+        return written(_direct(head, queries, corpus, k), "neighbors")
     index = build_index(corpus, work_dir(corpus.sparkSession, "cell-index"))
-    return search_index(slim, index, k)
+    return written(search_index(slim, index, k), "neighbors")
 
 
 def with_band(matches: DataFrame) -> DataFrame:
@@ -362,6 +404,9 @@ def with_band(matches: DataFrame) -> DataFrame:
 
 
 def search(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k with the metadata of the matched case and the similarity band."""
+    """Top-k with the metadata of the matched case and the similarity band.
+
+    Many queries may match the same case, so the look-up is skew-safe.
+    """
     found = with_band(nearest(queries, corpus, k))
-    return found.join(corpus.drop("embedding"), "case_id")
+    return skew_safe_lookup(found, corpus.drop("embedding"), "case_id")

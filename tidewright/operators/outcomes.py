@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewright.functions.binding import let
 from tidewright.functions.json_text import strict_fields
 from tidewright.functions.text import TRIMMED_SNIPPET_CHARS, listed, snippet, strip_whitespace
+from tidewright.operators.skew import skew_safe_lookup
+from tidewright.session import written
 
 # Label parts that tell severity or priority.
 SEVERITY_MARKERS = ["severity", "priority", "p0", "p1", "hotfix", "critical"]
@@ -44,7 +46,9 @@ def _matched(matches: DataFrame, cases: DataFrame) -> DataFrame:
     wanted = cases.select(
         "case_id", "kind", "was_reverted", "time_to_resolve_hours", "labels"
     )
-    return pairs.join(wanted, "case_id")
+    facts = written(pairs, "outcome-pairs")
+    # Narrow rows without texts, read by the numbers and by the labels.
+    return written(skew_safe_lookup(facts, wanted, "case_id"), "outcome-cases")
 
 
 def estimate_outcomes(

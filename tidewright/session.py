@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -56,3 +56,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidewright/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Store a result that several later steps read, and return the stored table.
+
+    It is computed once, and a lost executor costs a re-read instead of a
+    recomputation.
+    """
+    path = work_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -11,8 +11,9 @@ from tidewright.schemas import (
     DLQ_SCHEMA,
     EMBEDDING_SCHEMA,
     EVENT_TABLE_SCHEMA,
+    LATE_PARTITION,
 )
-from tidewright.sources.files import has_data
+from tidewright.sources.files import data_files, has_data
 
 
 def read_or_empty(
@@ -34,6 +35,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, EVENT_TABLE_SCHEMA)
 
 
+def read_newest_events(spark: SparkSession, path: str) -> DataFrame:
+    """The newest date partition and the late one.
+
+    Enough for the newest event time, without reading the history.
+    """
+    events = read_events(spark, path)
+    days = {f.partition.removeprefix("date=") for f in data_files(spark, path)}
+    dated = sorted(days - {LATE_PARTITION})
+    return events.where(F.col("date").isin([*dated[-1:], LATE_PARTITION]))
+
+
 def read_events_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """The JSON-lines mirror; timestamps are ISO text parsed by the schema."""
     return read_or_empty(spark, path, EVENT_TABLE_SCHEMA, "json")

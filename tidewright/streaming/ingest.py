@@ -120,7 +120,7 @@ def ingest_batch(
                 F.count_if(F.col("date") == LATE_PARTITION).alias("late"),
             ).first()
             unique, late = kept["unique"], kept["late"]
-            stored = stored_candidates(rows, read_events(spark, paths.events))
+            stored = stored_candidates(rows, read_events(spark, paths.events), stamp)
             # Held, so that counting and writing see the same rows.
             new = not_stored(first, stored).persist(StorageLevel.MEMORY_AND_DISK)
             written = new.count()
