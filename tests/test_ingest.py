@@ -439,3 +439,17 @@ def test_lookback_prunes_partitions(spark, paths):
     assert "PartitionFilters: [((date" in plan.replace("\n", " ")
     assert "GreaterThanOrEqual(created_at" in plan
     assert recent.count() == 1
+
+
+def test_recent_feed_reads_back_as_far_as_needed(spark, paths):
+    from tidewright.operators.activity import recent_events
+    from tidewright.plans.feed import recent_feed
+
+    rows = [event(str(i), created=ago(hours=i * 7)) for i in range(20)]
+    rows.append(event("w", "WatchEvent", {"action": "started"}, ago(hours=90)))
+    ingest.ingest_batch(raw(spark, *rows), paths, "s-0", threshold_hours=100, stamp=NOW)
+    table = tables.read_events(spark, paths.events)
+    for limit, kind in [(3, None), (15, None), (50, None), (2, "PushEvent"), (1, "WatchEvent"), (5, "X")]:
+        got = recent_feed(spark, paths.events, limit, kind).collect()
+        assert got == recent_events(table, limit, kind).collect()
+    assert recent_feed(spark, paths.events + "-none").count() == 0

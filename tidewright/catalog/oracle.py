@@ -413,6 +413,9 @@ ORDER BY created_at DESC, event_id LIMIT 20""",
     "recent_by_type": _with(EV)
     + """SELECT event_type, actor_login, repo_name, created_at FROM ev
 WHERE event_type = 'PushEvent' ORDER BY created_at DESC, event_id LIMIT 20""",
+    "recent_feed": _with(EV)
+    + """SELECT event_type, actor_login, repo_name, created_at FROM ev
+WHERE event_type = 'WatchEvent' ORDER BY created_at DESC, event_id LIMIT 20""",
     "type_share": _with(EV)
     + f"""SELECT event_type, event_count, total, round(pct, 6) AS pct,
   greatest(1, CAST(floor(pct / 5) AS INTEGER)) AS bar FROM (

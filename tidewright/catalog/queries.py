@@ -25,7 +25,7 @@ from tidewright.operators import (
 )
 from tidewright.operators.dedupe import first_per_key, not_stored
 from tidewright.operators.order_stats import median_and_tail
-from tidewright.plans import formats, knowledge, maintenance
+from tidewright.plans import feed, formats, knowledge, maintenance
 from tidewright.schemas import DLQ_SCHEMA, EVENT_COLUMNS, EVENT_TABLE_SCHEMA
 from tidewright.session import pin_utc, work_dir, written
 from tidewright.sources import anomaly_store, landing, sinks, streams, tables
@@ -649,6 +649,12 @@ def _tz(rows: DataFrame, *names: str) -> DataFrame:
 # ---- table maintenance ---------------------------------------------------
 
 
+@query
+def recent_feed(spark, sf):
+    """The feed of a stored table, pruned to its newest partitions."""
+    return _ntz(feed.recent_feed(spark, _loaded(spark, sf), 20, "WatchEvent"), "created_at")
+
+
 @query
 def newest_partition_event(spark, sf):
     """Freshness of a stored table from its newest partition."""

@@ -166,14 +166,23 @@ def detect_all(
 
 
 def paired(*metrics: DataFrame) -> DataFrame:
-    """Full outer join of metric tables on scope and repository."""
-    joined = None
+    """Metric tables side by side, one row per scope and repository.
+
+    Each table has at most one row per scope and repository, so stacking them
+    and taking the only value of each column is their full outer join in a
+    single shuffle.
+    """
+    stacked = None
     for rows in metrics:
-        keyed = rows.withColumn("_key", F.coalesce("repo_name", F.lit(""))).drop("repo_name")
-        joined = keyed if joined is None else joined.join(keyed, ["scope", "_key"], "full_outer")
-    return joined.withColumn(
-        "repo_name", F.when(F.col("scope") == "repo", F.col("_key"))
-    ).drop("_key")
+        stacked = (
+            rows
+            if stacked is None
+            else stacked.unionByName(rows, allowMissingColumns=True)
+        )
+    values = [c for c in stacked.columns if c not in ("scope", "repo_name")]
+    return stacked.groupBy("scope", "repo_name").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in values]
+    )
 
 
 def health_signal(
