@@ -1,9 +1,10 @@
 """Ingest: validate, dead-letter, deduplicate, route and store raw events.
 
-`ingest_batch` is an ordinary batch function; the stream calls it once per
-micro-batch. Writing comes before the checkpoint commit, so a failed batch is
-run again, and every write stands a second run: events are anti-joined with
-the stored ids, dead letters and counters replace their own batch partition.
+`ingest_batch` is an ordinary batch function. A stream plans the parsing and
+validation once and runs `store_judged` per micro-batch. Writing comes before
+the checkpoint commit, so a failed batch is run again, and every write stands a
+second run: events are anti-joined with the stored ids, dead letters and
+counters replace their own batch partition.
 """
 
 from __future__ import annotations
@@ -44,26 +45,36 @@ class IngestPaths:
     counters: str | None = None
 
 
+def judge(raw: DataFrame) -> DataFrame:
+    """Parse and validate raw texts (column `value`), batch or stream.
+
+    Stateless, so a stream plans it once and not per micro-batch.
+    """
+    if "position" not in raw.columns:
+        raw = raw.withColumn("position", F.lit(0))
+    rejected = F.col("error_reason").isNotNull()
+    return (
+        rules.validate(parse_raw(raw))
+        .withColumns(
+            {
+                "raw_json": F.when(rejected, F.coalesce("value", F.lit(""))),
+                "raw_type": F.when(rejected, F.coalesce("ev.type", F.lit("unknown"))),
+            }
+        )
+        .drop("value")
+    )
+
+
 def settle(
-    raw: DataFrame, stamp: datetime, threshold_hours: float = LATE_THRESHOLD_HOURS
+    judged: DataFrame, stamp: datetime, threshold_hours: float = LATE_THRESHOLD_HOURS
 ) -> DataFrame:
     """One row per raw text: flat columns, partition, verdict and metrics.
 
-    The raw text is kept for rejected rows only, so the batch is held once.
+    The raw text is there for rejected rows only, so the batch is held once.
     """
-    if "position" not in raw.columns:
-        raw = raw.withColumn("position", F.lit(0))
     ingested_at = F.timestamp_micros(F.lit(to_micros(stamp)))
-    ordered = raw.withColumn("_seq", F.monotonically_increasing_id())
-    judged = rules.validate(parse_raw(ordered))
-    rejected = F.col("error_reason").isNotNull()
-    kept = judged.withColumns(
-        {
-            "raw_json": F.when(rejected, F.coalesce("value", F.lit(""))),
-            "raw_type": F.when(rejected, F.coalesce("ev.type", F.lit("unknown"))),
-        }
-    ).drop("value")
-    return with_partition(flatten(kept, ingested_at), threshold_hours)
+    ordered = judged.withColumn("_seq", F.monotonically_increasing_id())
+    return with_partition(flatten(ordered, ingested_at), threshold_hours)
 
 
 def rejected_rows(settled: DataFrame) -> DataFrame:
@@ -99,9 +110,20 @@ def ingest_batch(
     stamp: datetime | None = None,
 ) -> dict[str, int]:
     """Store one batch of raw JSON texts (column `value`) and count what happened."""
-    spark = pin_utc(raw.sparkSession)
+    return store_judged(judge(raw), paths, batch, threshold_hours, stamp)
+
+
+def store_judged(
+    judged: DataFrame,
+    paths: IngestPaths,
+    batch: str,
+    threshold_hours: float = LATE_THRESHOLD_HOURS,
+    stamp: datetime | None = None,
+) -> dict[str, int]:
+    """The part of the ingest that runs once per batch."""
+    spark = pin_utc(judged.sparkSession)
     stamp = stamp or utc_now()
-    settled = settle(raw, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
+    settled = settle(judged, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
     new = None
     try:
         seen = settled.agg(
@@ -190,10 +212,11 @@ def start_ingest(
     """
 
     def sink(batch_rows: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch_rows, paths, f"{stream_id}-{batch_id}", threshold_hours, clock())
+        store_judged(batch_rows, paths, f"{stream_id}-{batch_id}", threshold_hours, clock())
 
     writer = (
-        stream.writeStream.queryName(stream_id)
+        judge(stream)
+        .writeStream.queryName(stream_id)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
     )
