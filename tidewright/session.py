@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_root: str | None = None
+
 
 def build_session(
     app_name: str = "tidewright",
@@ -45,16 +47,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder named by `spark.checkpoint.dir`.
 
-    The setting names storage every executor can reach. Where it is unset a
-    temporary folder is used, which is only right when driver and executors
-    share one machine, so any other master is refused.
+    The setting names storage every executor can reach; it can't be changed at
+    run time. Where it is unset one temporary folder a process is used, which is
+    only right when driver and executors share one machine, so any master but
+    `local[...]` is refused.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = root = _local_root or tempfile.mkdtemp(prefix="tidewright-")
     return f"{root.rstrip('/')}/tidewright/{purpose}-{uuid.uuid4().hex}"
 
 
