@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, licenses, mixing
+from tidewright.llm import chat, licenses, mixing, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+@query
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.encoded_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
