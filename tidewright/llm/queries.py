@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, licenses, mixing, token_output
+from tidewright.llm import chat, decontamination, licenses, mixing, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,20 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op3_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontamination.hit_words("hit_starts", "hit_stops").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        decontamination.items_digest("items").alias("items_sha256"),
+        (F.size("hit_starts") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.license_scan(table(spark, sf_dir, "documents"))
@@ -103,3 +117,35 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(base.n, 0) AS n_base, lo AS first_w
   greatest(CASE WHEN base.n > 0 THEN 1.0 ELSE 0.0 END, coalesce(containment, 0.0))::DOUBLE AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)
 """
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op3_wu_manber"] = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex({_FOLDED}, '{_NOT_WORD}'), lambda x: x <> '') AS w FROM documents
+),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    list_filter(string_split_regex({_FOLDED}, '{_NOT_WORD}'), lambda x: x <> '') AS w
+  FROM benchmark
+),
+pat AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i + 1:i + least(len(w), 10)], ' ') AS s
+  FROM b, unnest(range(len(w) - least(len(w), 10) + 1)) u(i) WHERE len(w) > 0
+),
+win AS (
+  SELECT doc_id, i, n, array_to_string(w[i + 1:i + n], ' ') AS s
+  FROM d, (SELECT DISTINCT n FROM pat), unnest(range(len(w) - n + 1)) u(i) WHERE len(w) >= n
+),
+hit AS (SELECT doc_id, i, win.n, item FROM win JOIN pat ON win.n = pat.n AND win.s = pat.s),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(n)) u(k) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
