@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, decontamination, licenses, mixing, token_output
+from tidewright.llm import chat, decontamination, language, licenses, mixing, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, learn_from=language.learnable())
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
