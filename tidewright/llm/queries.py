@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, decontamination, language, licenses, mixing, token_output
+from tidewright.llm import chat, decontamination, language, licenses, mixing, quality, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encoded_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
