@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewright.llm.common import as_bytes, slices, space_words
 
-SAMPLE = 1200
+SAMPLE = 2000
 EPOCHS = 4
 RATE = 0.2
-CONTENT_SHARE = 0.25
+CONTENT_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -81,8 +81,10 @@ def line_features(line: bytes, repeated: bool) -> list[int]:
         found.append(12)
     if repeated:
         found.append(13)
-    last = line[-1:]
-    found.append(14 if last in (b".", b"!", b"?") else 15)
+    if line[-1:] in (b":", b"-", b"|", b"\\"):
+        found.append(14)
+    if words < 8 and line[-1:] not in (b".", b"!", b"?", b",", b";"):
+        found.append(15)
     if b"http" in line or b"www." in line or b"@" in line:
         found.append(16)
     if b"!!" in line:
@@ -190,14 +192,11 @@ def fit(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality",
     sample: int = SAMPLE,
 ) -> LineField:
-    """A field from at most `sample` labelled documents, half of them bad where there are enough."""
+    """A field from at most `sample` labelled documents, good and bad as they come."""
     rated = labels.where(F.col(quality_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("of_id"), (F.col(quality_col) > 0).alias("good")
     )
-    chosen = None
-    for value in (True, False):
-        part = rated.where(F.col("good") == value).orderBy(F.xxhash64("of_id", F.lit(23)), "of_id").limit(sample // 2)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = rated.orderBy(F.xxhash64("of_id", F.lit(23)), "of_id").limit(sample)
     # At most `sample` ids.
     held = docs.select(F.col(id_col).alias("of_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = held.join(F.broadcast(chosen), "of_id").collect()
