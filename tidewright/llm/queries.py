@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, decontamination, language, licenses, mixing, quality, token_output
+import corpus_pipeline
+from tidewright.llm import chat, decontamination, language, licenses, mixing, near_duplicates, quality, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +53,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -73,6 +79,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(added)))
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 ORACLE["op10_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -163,3 +173,29 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
   sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE["op7_minhash"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex({_FOLDED}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + least(len(w), 5)], ' ') AS s
+  FROM d, unnest(range(len(w) - least(len(w), 5) + 1)) u(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+e AS (
+  SELECT a, b FROM links JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 85 * (na.n + nb.n - shared)
+),
+reach(a, b) AS (
+  SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a
+),
+c AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
