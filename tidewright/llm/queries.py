@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidewright.llm import chat, decontamination, language, licenses, mixing, near_duplicates, quality, token_output
+from tidewright.llm import chat, decontamination, language, licenses, mixing, near_duplicates, quality, recompression, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompression.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op3_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -199,3 +205,26 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d
   d.doc_id <= coalesce(low, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+ORACLE["op2_recompression"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+win AS (
+  SELECT doc_id, i, md5_number(array_to_string(w[i + 1:i + 20], ' ')) AS s
+  FROM d, unnest(range(len(w) - 19)) u(i) WHERE len(w) >= 20
+),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM win
+  ) WHERE k > 1
+),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, unnest(range(20)) u(k)),
+named AS (SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+  sha256(array_to_string(
+    CASE WHEN places IS NULL THEN w
+    ELSE list_filter(w, lambda x, i: NOT list_contains(places, i - 1)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN named USING (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -26,8 +28,7 @@ def word_hashes(split: list[list[bytes]], seed: int = 0) -> tuple[np.ndarray, np
     """(64-bit hash of every word, number of words of each text); texts follow each other."""
     counts = np.array([len(w) for w in split], np.int64)
     names = _Names()
-    get = names.__getitem__
-    ids = np.fromiter((get(w) for words in split for w in words), np.int64, int(counts.sum()))
+    ids = np.fromiter(map(names.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names), np.uint64, len(names))
     return hashes[ids], counts
 
