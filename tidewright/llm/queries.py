@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidewright.llm import chat, decontamination, language, licenses, mixing, near_duplicates, quality, recompression, token_output
+from tidewright.llm import byte_repeats, chat, decontamination, language, licenses, mixing, near_duplicates, quality, recompression, token_output
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = byte_repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.components(table(spark, sf_dir, "documents"))
