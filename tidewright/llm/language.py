@@ -37,9 +37,11 @@ BUCKET_BITS = 16
 DIMENSION = 16
 SAMPLE_PER_LANGUAGE = 600
 EPOCHS = 3
+# A small sample is gone over more often.
+LEAST_STEPS = 4000
 RATE = 0.25
 REJECT_SHARE = 0.001
-REJECT_MOST = 0.5
+REJECT_MOST = 0.4
 UNKNOWN = "und"
 ADDED = ("lang_pred", "score", "rejected")
 
@@ -95,8 +97,9 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7, reject_share: fl
     rows = rng.uniform(-0.5 / DIMENSION, 0.5 / DIMENSION, (1 << BUCKET_BITS, DIMENSION)).astype(np.float32)
     layer = np.zeros((DIMENSION, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, step = EPOCHS * len(learned), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, len(learned))))
+    steps, step = epochs * len(learned), 0
+    for _ in range(epochs):
         for i in rng.permutation(learned):
             ids, share = bags[i]
             mean = share @ rows[ids]
