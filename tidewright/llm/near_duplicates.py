@@ -9,15 +9,16 @@
    sets of up to 40 values can't miss.
 3. In every list each set is paired with the one before it in order of size and
    with the list's first set of a size in reach. Pairs whose union sketch
-   estimates less than `ESTIMATE` are dropped (nearly five standard errors
-   under the threshold); the others are verified on the full sets.
-4. Connected sets get one component. Lists that still hold several components
-   are compared in blocks across components, with the same estimate and the
-   same verification, so that no link between different texts is lost. Pairs
-   inside one component can't change the result and aren't looked at.
+   estimates `ESTIMATE` or more (nearly five standard errors under the
+   threshold) get one label. Lists that still hold several labels are compared
+   as a whole, with the same estimate.
+4. So every pair that can be a link is inside one label. There the full sets are
+   compared exactly, and what is linked becomes one component.
 
-Lists are cut into parts of at most `PART` sets for step 3 and into pairs of
-blocks of at most `BLOCK` sets for step 4; nothing is collected to the driver.
+Comparisons of whole lists and labels run in pairs of blocks of bounded size;
+of each, only the edges that join what was not joined yet go on, so groups of
+near copies never emit all their pairs, and no link between different texts is
+lost. Nothing is collected to the driver.
 
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; a document with fewer words than the shingle width has its whole
@@ -46,6 +47,7 @@ TERM_VALUES, RUN = 40, 3
 ESTIMATE = 0.63
 PART = 10_000
 BLOCK = 2048
+SET_BLOCK = 1024
 
 SIGNATURES = "doc_id long, n_shingles long, set_key binary, sketch binary"
 TERMS = "term long, node long, n long"
@@ -75,11 +77,8 @@ def _sets(width: int):
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = shingle_sets([folded_space_words(t) for t in as_bytes(batch.column("text"))], width)
-                offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-                values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                    names=["node", "shingles"],
+                    [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "held"]
                 )
 
     return run
@@ -159,47 +158,104 @@ def union_estimate(x: np.ndarray, y: np.ndarray) -> float:
     return np.count_nonzero(shared <= union[-1]) / len(union) if len(union) else 0.0
 
 
-def _across(percent: int, least: float):
+class _Forest:
+    """Joins labels; hands on only the edges that join two trees."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _counted(own: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as a matrix product over the first list's values."""
+    names, inverse = np.unique(np.concatenate(own), return_inverse=True)
+    x = np.zeros((len(own), len(names)), np.float32)
+    x[np.repeat(np.arange(len(own)), [len(s) for s in own]), inverse] = 1
+    values = np.concatenate(other)
+    at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+    known = names[at] == values
+    y = np.zeros((len(other), len(names)), np.float32)
+    y[np.repeat(np.arange(len(other)), [len(s) for s in other])[known], at[known]] = 1
+    return x @ y.T
+
+
+def _runs(where: np.ndarray, sets: list[np.ndarray], values: int, most: int):
+    """Parts of `where` with about `values` set values and at most `most` sets."""
+    start = held = 0
+    for k, w in enumerate(where):
+        if k > start and (held + len(sets[w]) > values or k - start >= most):
+            yield where[start:k]
+            start, held = k, 0
+        held += len(sets[w])
+    if start < len(where):
+        yield where[start:]
+
+
+def _estimates(own: list[np.ndarray], other: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
+    """Resemblance by the values up to the lesser of both sketches' ends, all of which both sketches would hold."""
+
+    def end(s: np.ndarray) -> int:
+        return int(s[-1]) if len(s) >= K else (1 << 32) - 1
+
+    ends = np.array([end(s) for s in own], np.uint64), np.array([end(s) for s in other], np.uint64)
+    least = np.minimum(ends[0][:, None], ends[1][None, :])
+    a = np.stack([np.searchsorted(s, row, side="right") for s, row in zip(own, least, strict=True)])
+    b = np.stack([np.searchsorted(s, column, side="right") for s, column in zip(other, least.T, strict=True)]).T
+    return shared / np.maximum(1, a + b - shared)
+
+
+def _compare(percent: int, exact: bool):
     """Rows come ordered by (term, i, j); a group is two blocks of one list (or one block with itself).
 
-    Overlaps of sketches are counted as a matrix product over the values that
-    the group's sketches hold; what is handed on are pairs of different
-    components with enough overlap.
+    Resembling sets of different labels are joined, by the estimate from short
+    sketches or exactly from full sets; only edges that join two labels which no
+    earlier edge of the group has joined are handed on, so their number stays
+    under that of the rows.
     """
+    kind = np.uint64 if exact else np.dtype("<u4")
+    values = 30_000 if exact else 1 << 14
 
-    def compare(rows) -> list[tuple[int, int]]:
+    def edges(rows) -> list[tuple[int, int]]:
         nodes = np.array([r[0] for r in rows])
         sizes = np.array([r[1] for r in rows])
-        component = np.array([r[2] for r in rows])
+        labels = np.array([r[2] for r in rows])
         side = np.array([r[3] for r in rows])
-        sketches = [np.frombuffer(r[4], "<u2") for r in rows]
+        sets = [np.frombuffer(r[4], kind) for r in rows]
         i, j = rows[0][5:7]
-        where = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        pairs = []
-        for at in range(0, len(where[0]), 256):
-            own = where[0][at : at + 256]
-            names, inverse = np.unique(np.concatenate([sketches[k] for k in own]), return_inverse=True)
-            x = np.zeros((len(own), len(names)), np.float32)
-            x[np.repeat(np.arange(len(own)), [len(sketches[k]) for k in own]), inverse] = 1
-            for bt in range(0, len(where[1]), 256):
-                other = where[1][bt : bt + 256]
-                values = np.concatenate([sketches[k] for k in other])
-                spot = np.searchsorted(names, values)
-                spot[spot == len(names)] = 0
-                known = names[spot] == values
-                y = np.zeros((len(other), len(names)), np.float32)
-                y[np.repeat(np.arange(len(other)), [len(sketches[k]) for k in other])[known], spot[known]] = 1
-                overlap = x @ y.T
-                smaller = np.minimum(x.sum(axis=1)[:, None], np.array([len(sketches[k]) for k in other])[None, :])
-                good = overlap >= least * smaller
-                good &= component[own][:, None] != component[other][None, :]
-                good &= 100 * np.minimum(sizes[own][:, None], sizes[other][None, :]) >= percent * np.maximum(
-                    sizes[own][:, None], sizes[other][None, :]
-                )
-                good &= nodes[own][:, None] < nodes[other][None, :] if i == j else True
-                p, q = np.nonzero(good)
-                pairs += zip(nodes[own[p]].tolist(), nodes[other[q]].tolist(), strict=True)
-        return pairs
+        forest, found = _Forest(), []
+        for own in _runs(np.flatnonzero(side == i), sets, values, 256):
+            for other in _runs(np.flatnonzero(side == j), sets, 1 << 20, 256):
+                open_ = labels[own][:, None] != labels[other][None, :]
+                low = np.minimum(sizes[own][:, None], sizes[other][None, :])
+                high = np.maximum(sizes[own][:, None], sizes[other][None, :])
+                open_ &= 100 * low >= percent * high
+                if i == j:
+                    open_ &= own[:, None] < other[None, :]
+                if not open_.any():
+                    continue
+                x, y = [sets[k] for k in own], [sets[k] for k in other]
+                shared = _counted(x, y)
+                if exact:
+                    whole = shared.astype(np.int64)
+                    open_ &= 100 * whole >= percent * (sizes[own][:, None] + sizes[other][None, :] - whole)
+                else:
+                    open_ &= _estimates(x, y, shared) >= ESTIMATE
+                p, q = np.nonzero(open_)
+                for a, b in zip(own[p].tolist(), other[q].tolist(), strict=True):
+                    if forest.join(int(labels[a]), int(labels[b])):
+                        found.append((int(nodes[a]), int(nodes[b])))
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(pairs):
@@ -210,27 +266,40 @@ def _across(percent: int, least: float):
 
         key, held = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("term", "node", "n", "component", "block", "marks", "i", "j")]
+            columns = [batch.column(c).to_pylist() for c in ("term", "node", "n", "label", "block", "held", "i", "j")]
             for row in zip(*columns, strict=True):
                 if key != (row[0], row[6], row[7]):
-                    if held and (pairs := compare(held)):
+                    if len(held) > 1 and (pairs := edges(held)):
                         yield out(pairs)
                     key, held = (row[0], row[6], row[7]), []
                 held.append(row[1:])
-        if held and (pairs := compare(held)):
+        if len(held) > 1 and (pairs := edges(held)):
             yield out(pairs)
 
     return run
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sketch values shortened to two bytes each, sorted and distinct; enough to leave out distant pairs."""
+    """The upper halves of the sketch values, in their order."""
     for batch in batches:
-        short = [
-            np.unique((np.frombuffer(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype("<u2")).tobytes()
-            for s in batch.column("sketch").to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(short, pa.binary())], names=["node", "marks"])
+        short = [(np.frombuffer(s, np.uint64) >> np.uint64(32)).astype("<u4").tobytes() for s in batch.column("sketch").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(short, pa.binary())], names=["node", "held"])
+
+
+def _in_blocks(rows: DataFrame, size: int, compare) -> DataFrame:
+    """Compares all members of every list (term, length) in pairs of blocks of about `size` members."""
+    blocks = F.ceil(F.col("length") / size)
+    return (
+        rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+        .select(
+            "term", "node", "n", "label", "block", "held",
+            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        )
+        .repartition("term", "i", "j")
+        .sortWithinPartitions("term", "i", "j")
+        .mapInArrow(compare, "a long, b long")
+    )
 
 
 def connected(links: DataFrame, purpose: str = "components") -> DataFrame:
@@ -271,18 +340,11 @@ def connected(links: DataFrame, purpose: str = "components") -> DataFrame:
             return labels
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that meet the threshold on full sets, after the estimate."""
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose union sketch estimates enough."""
     sketches = nodes.select("node", "sketch")
-    with_both = (
-        pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-    )
-    likely = with_both.mapInArrow(_estimated(ESTIMATE), "a long, b long")
-    shared = F.size(F.array_intersect("x", "y"))
-    both = likely.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return both.where(
-        100 * shared >= percent * (F.size("x") + F.size("y") - shared)
-    ).select("a", "b")
+    both = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
+    return both.mapInArrow(_estimated(ESTIMATE), "a long, b long")
 
 
 def components(
@@ -302,15 +364,9 @@ def components(
     longer = terms.groupBy("term").agg(F.count("*").alias("length")).where("length > 1")
     lists = written(terms.join(longer, "term"), "inverted-lists")
 
-    members = lists.select("node").distinct()
-    sets = written(
-        rows.join(members, rows.doc_id == members.node, "left_semi")
-        .select(F.col("doc_id").alias("node"), "text")
-        .mapInArrow(_sets(width), "node long, shingles array<long>"),
-        "shingle-sets",
-    )
+    # Pairs along the lists, by estimate: most of what resembles gets one label.
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("length") / PART))
-    first_pairs = (
+    along = (
         lists.select("term", part.alias("part"), "n", "node")
         .repartition("term", "part")
         .sortWithinPartitions("term", "part", "n", "node")
@@ -318,35 +374,32 @@ def components(
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    links = written(_linked(first_pairs, nodes, sets, percent), "links")
-    found = connected(links)
-
-    labelled = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("term").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("term")
-    marks = nodes.join(members, "node", "left_semi").select("node", "sketch").mapInArrow(_marks, "node long, marks binary")
-    blocks = F.ceil(F.col("length") / BLOCK)
-    open_rows = (
-        labelled.join(mixed, "term", "left_semi")
-        .join(marks, "node")
-        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+    labels = connected(_likely(along, nodes), "labels")
+
+    # Lists with several labels are compared as a whole, also by estimate.
+    labelled = lists.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("term").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_terms = mixed.where("low < high").select("term")
+    marks = nodes.select("node", "sketch").mapInArrow(_marks, "node long, held binary")
+    across = _in_blocks(
+        labelled.join(open_terms, "term", "left_semi").join(marks, "node"), BLOCK, _compare(percent, False)
+    )
+    named = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    clusters = connected(across.unionByName(named), "clusters")
+
+    # Every likely pair is inside a cluster; there, full sets decide.
+    sets = rows.join(clusters.select("node"), rows.doc_id == F.col("node"), "left_semi").select(
+        F.col("doc_id").alias("node"), "text"
+    ).mapInArrow(_sets(width), "node long, held binary").dropDuplicates(["node"])
+    lengths = clusters.groupBy("component").agg(F.count("*").alias("length"))
+    gathered = (
+        sets.join(clusters.join(lengths, "component"), "node")
         .select(
-            "term", "node", "n", "component", "block", "marks",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            F.col("component").alias("term"), "node", F.col("node").alias("label"), "held", "length",
+            (F.octet_length("held") / 8).cast("long").alias("n"),
         )
     )
-    more_pairs = (
-        open_rows.repartition("term", "i", "j")
-        .sortWithinPartitions("term", "i", "j")
-        .mapInArrow(_across(percent, ESTIMATE - 0.05), "a long, b long")
-        .distinct()
-    )
-    more = written(_linked(more_pairs, nodes, sets, percent), "more-links")
-    # Components found before stand for their links.
-    all_links = more.unionByName(found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
-    final = connected(all_links, "final-components")
+    final = connected(_in_blocks(gathered, SET_BLOCK, _compare(percent, True)), "components")
 
     classes = nodes.select("set_key", "node").join(final, "node", "left").select(
         F.col("set_key").alias("of_key"), F.coalesce("component", "node").alias("component")
