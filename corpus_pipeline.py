@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import decontamination, language, mixing, near_duplicates, token_output
-from tidewright.llm.common import table
+from tidewright.llm.common import ship, table
 from tidewright.session import written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; rejected ones go."""
+    ship(spark)
     model = language.fit(docs, learn_from=language.learnable())
     found = language.identify(docs, model)
     return found.where(~found[found.columns[-1]]).select(*docs.columns)
@@ -22,6 +23,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    ship(spark)
     return near_duplicates.without_near_duplicates(docs)
 
 
@@ -32,11 +34,13 @@ def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    ship(spark)
     return mixing.mixed_documents(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in ascending id order, and per document what they hold."""
+    ship(spark)
     return token_output.encoded_documents(docs)
 
 
