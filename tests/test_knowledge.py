@@ -14,7 +14,6 @@ from tidewright.functions.text import reverted_number
 from tidewright.operators import cases as C
 from tidewright.operators import evaluation, neighbors, outcomes
 from tidewright.plans import knowledge
-from tidewright.session import work_dir
 
 
 def item(number, title, body=None, pr=True, labels=(), created="2026-01-10T00:00:00Z",
@@ -131,18 +130,32 @@ def test_neighbours_against_brute_force(spark, n, k, seed):
     want = brute(asked, corpus, k)
     direct = neighbors.nearest(q, c, k).collect()
     assert {(r.query_id, r["rank"], r.case_id) for r in direct} == want
-    index = neighbors.build_index(c, work_dir(spark, "test-index"), max_pivots=16)
-    through = neighbors.search_index(q, index, k, tile_rows=50, block_queries=25).collect()
-    assert {(r.query_id, r["rank"], r.case_id) for r in through} == want
-    assert len(through) == len(direct) == len(want)
+    blocks = neighbors.nearest(q, c, k, block_queries=7).collect()
+    assert {(r.query_id, r["rank"], r.case_id) for r in blocks} == want
+    assert len(blocks) == len(direct) == len(want)
 
 
-def test_many_queries_take_the_index(spark):
+def test_the_query_side_is_computed_once(spark):
     rows = vectors(5, 150)
     c = spark.createDataFrame(rows, "case_id long, embedding array<float>")
-    q = c.withColumnRenamed("case_id", "query_id")
-    got = neighbors.nearest(q, c, 3, max_direct_queries=10).collect()
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    q = c.withColumnRenamed("case_id", "query_id").mapInPandas(counted, "query_id long, embedding array<float>")
+    got = neighbors.nearest(q, c, 3, block_queries=10).collect()
     assert {(r.query_id, r["rank"], r.case_id) for r in got} == brute(rows, rows, 3)
+    assert runs.value == 150
+
+
+def test_missing_vectors_are_an_error(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "case_id long, embedding array<float>")
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<float>")
+    with pytest.raises(Exception, match="one length"):
+        neighbors.nearest(q, c, 3)
 
 
 def test_no_queries_and_empty_corpus(spark):

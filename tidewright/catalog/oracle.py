@@ -672,7 +672,8 @@ FROM raw GROUP BY ALL""",
 FROM ev GROUP BY 1""",
     "ci_runs_build": _with(EV, CI) + "SELECT * FROM ci",
     "ci_runs_newest": _with(EV, CI)
-    + "SELECT run_id, repo, created_at FROM ci ORDER BY created_at DESC, run_id LIMIT 200",
+    + """SELECT run_id, repo, created_at FROM ci
+QUALIFY row_number() OVER (PARTITION BY repo ORDER BY created_at DESC, run_id) <= 20""",
     "ci_latest_run": "SELECT max(ts) AS latest FROM events",
     "kb_cases": _with(KB)
     + """SELECT case_id, kind, number, title, body_snippet, url,
@@ -687,20 +688,29 @@ FROM ev GROUP BY 1""",
     "case_text": _with(KB) + f"SELECT case_id, {CASE_TEXT} AS text FROM kb",
     "label_pluck": _with(KB)
     + "SELECT label, count(*) AS n FROM (SELECT unnest(labels) AS label FROM kb) GROUP BY 1",
-    "newest_items": "SELECT doc_id AS position FROM documents ORDER BY doc_id DESC LIMIT 300",
+    "newest_items": """SELECT doc_id AS position FROM documents
+QUALIFY row_number() OVER (PARTITION BY CASE WHEN doc_id % 10 < 7 THEN 'busy'
+  ELSE 'quiet-' || doc_id % 3 END ORDER BY doc_id DESC) <= 50""",
     "hash_embed": _with(KB)
     + f""", texts AS (SELECT case_id, {CASE_TEXT} AS text FROM kb),
-digests AS (SELECT case_id, sha256('0:' || text) || sha256('1:' || text) AS hex FROM texts),
+digests AS (
+  SELECT case_id, string_agg(sha256(k || ':' || text), '' ORDER BY k) AS hex
+  FROM texts, (SELECT unnest(range(64)) AS k) GROUP BY case_id
+),
 words AS (
   SELECT case_id, i, CAST('0x' || substr(hex, i * 8 + 1, 8) AS BIGINT) / 2147483648.0::DOUBLE
     - 1.0::DOUBLE AS v
-  FROM digests, (SELECT CAST(unnest(range(16)) AS INTEGER) AS i)
+  FROM digests, (SELECT CAST(unnest(range(512)) AS INTEGER) AS i)
+),
+unit AS (
+  SELECT case_id, i, CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY case_id)) AS FLOAT) AS DOUBLE) AS v
+  FROM words
 )
-SELECT case_id, i,
-  round(CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY case_id)) AS FLOAT) AS DOUBLE), 5) AS v
-FROM words""",
+SELECT case_id, count(*) AS dims, round(sum(v * (i % 7 + 1)), 3) AS weighted, round(min(v), 5) AS least,
+  round(max(v), 5) AS most, round(max(v) FILTER (i = 511), 5) AS last
+FROM unit GROUP BY case_id""",
     "knowledge_build": _with(KB)
-    + "SELECT kind, count(*) AS n, 16 * count(*) AS dims FROM kb GROUP BY 1",
+    + "SELECT kind, count(*) AS n, 512 * count(*) AS dims FROM kb GROUP BY 1",
     "cosine_topk": TOPK,
     "index_neighbors": TOPK,
     "corpus_join": _with(KB)
@@ -755,6 +765,10 @@ FROM anomaly_rows""",
     "eval_set": _with(KB)
     + """SELECT * FROM (SELECT regexp_replace(title, '^\\s+|\\s+$', '', 'g') AS query,
   case_id AS expected_case_id FROM kb) WHERE length(query) >= 15""",
+    "eval_sample": _with(KB)
+    + """SELECT * FROM (SELECT regexp_replace(title, '^\\s+|\\s+$', '', 'g') AS query,
+  case_id AS expected_case_id FROM kb) WHERE length(query) >= 15
+ORDER BY md5('42:' || expected_case_id), expected_case_id LIMIT 50""",
     "recall_mrr": _with(EVAL)
     + """SELECT count(*) AS n,
   round_even(avg(CASE WHEN rank <= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS recall_at_1,
@@ -763,3 +777,8 @@ FROM anomaly_rows""",
   round_even(avg(coalesce(1.0::DOUBLE / rank, 0.0::DOUBLE)), 4) AS mrr FROM ranks""",
     "eval_ranks": _with(EVAL) + "SELECT query_id, expected_case_id, rank FROM ranks",
 }
+ORACLE["format_comparison"] = "\nUNION ALL\n".join(
+    f"SELECT '{name.removeprefix('bench_')}' AS query, count(*) AS n_rows, true AS same FROM ({sql})"
+    for name, sql in ORACLE.items()
+    if name.startswith("bench_q")
+)

@@ -38,7 +38,7 @@ WEEK_MINUTES = 7 * 24 * 60
 STAMP = datetime(2024, 2, 1, tzinfo=timezone.utc)
 # Late threshold that splits the log into dated and late rows.
 THRESHOLD_HOURS = 15 * 24
-EMBED_DIM = 16
+EMBED_DIM = 512
 
 QUERIES: dict[str, Query] = {}
 
@@ -810,8 +810,8 @@ def ci_runs_build(spark, sf):
 
 @query
 def ci_runs_newest(spark, sf):
-    """The capped form: newest 200 runs."""
-    runs = landing.ci_runs(_pages(spark, sf), F.col("repo"))
+    """The capped form: the newest 20 runs of each repository."""
+    runs = landing.ci_runs(_pages(spark, sf), F.col("repo"), 20)
     return _ntz(runs.select("run_id", "repo", "created_at"), "created_at")
 
 
@@ -870,7 +870,7 @@ def label_pluck(spark, sf):
 
 @query
 def newest_items(spark, sf):
-    """The capped form of the landed items: newest 300 by number of update."""
+    """The capped form of the landed items: the 50 updated last of each of four unequal repositories."""
     rows = roles.items(spark, sf).withColumn(
         "value",
         F.concat(
@@ -880,14 +880,23 @@ def newest_items(spark, sf):
             F.substring("value", 2, 2_000_000_000),
         ),
     )
-    return landing.newest_items(rows).select("position")
+    busy = F.col("position") % 10 < 7
+    repo = F.when(busy, F.lit("busy")).otherwise(F.concat(F.lit("quiet-"), (F.col("position") % 3).cast("string")))
+    return landing.newest_items(rows, 50, repo).select("position")
 
 
 @query
 def hash_embed(spark, sf):
+    """Vectors of the default size, as figures of each."""
     rows = C.embed_cases(roles.cases(spark, sf), C.hash_embedder(EMBED_DIM))
-    return rows.select("case_id", F.posexplode("embedding").alias("i", "v")).select(
-        "case_id", "i", F.round(F.col("v").cast("double"), 5).alias("v")
+    values = rows.select("case_id", F.posexplode("embedding").alias("i", "v"))
+    value = F.col("v").cast("double")
+    return values.groupBy("case_id").agg(
+        F.count("*").alias("dims"),
+        F.round(F.sum(value * (F.col("i") % 7 + 1)), 3).alias("weighted"),
+        F.round(F.min(value), 5).alias("least"),
+        F.round(F.max(value), 5).alias("most"),
+        F.round(F.max(F.when(F.col("i") == EMBED_DIM - 1, value)), 5).alias("last"),
     )
 
 
@@ -926,9 +935,9 @@ def cosine_topk(spark, sf):
 
 @query
 def index_neighbors(spark, sf):
-    """The same through a written cell index."""
-    index = neighbors.build_index(roles.vectors(spark, sf), work_dir(spark, "cell-index"))
-    return _matches(neighbors.search_index(roles.vectors(spark, sf, "query_id"), index, 5))
+    """The same with many blocks of queries."""
+    asked, corpus = roles.vectors(spark, sf, "query_id"), roles.vectors(spark, sf)
+    return _matches(neighbors.nearest(asked, corpus, 5, block_queries=50))
 
 
 def _corpus(spark, sf) -> DataFrame:
@@ -1070,7 +1079,7 @@ def eval_set(spark, sf):
 
 @query
 def eval_sample(spark, sf):
-    """The sampling form; which rows it takes depends on Spark's hash."""
+    """The sampling form: 50 titles by a seeded digest."""
     return evaluation.eval_set(roles.cases(spark, sf), 50, 42)
 
 
@@ -1098,10 +1107,8 @@ def eval_ranks(spark, sf):
 
 @query
 def format_comparison(spark, sf):
-    """The benchmark queries timed on both layouts; timings are not compared."""
+    """The benchmark queries on both layouts: their number of rows and whether both agree."""
     path = _loaded(spark, sf)
     mirror = work_dir(spark, "mirror")
     sinks.append_events_jsonl(tables.read_events(spark, path), mirror)
-    timings = formats.time_formats(spark, path, mirror, _as_of(spark, sf), trials=3)
-    return formats.latency_summary(timings)
-
+    return formats.compare_formats(spark, path, mirror, _as_of(spark, sf))

@@ -1,11 +1,9 @@
 """Exact cosine top-k for many queries at once.
 
-Few queries are sent to the executors and the corpus is read once, in place,
-without a shuffle. Many queries go through a cell index: every corpus row
-belongs to its nearest pivot, and a query visits only the cells that can still
-hold one of its k nearest rows by the triangle inequality. Cells are cut into
-tiles of bounded size and queries into blocks, so a crowded cell means more
-tiles and never a larger task. Only the best k of a tile leave it.
+The query side is stored once and goes to the executors in blocks of bounded
+size; each block reads the corpus once, in place, without a shuffle, and only
+the k best rows of each query and task leave it. Many queries mean many blocks,
+whose results gather in one stored table.
 
 Similarities are compared after rounding to nine decimals, finer than the
 float vectors themselves; equal ones are ordered by id.
@@ -13,15 +11,13 @@ float vectors themselves; equal ones are ordered by id.
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewright.functions.bands import similarity_band
 from tidewright.operators.ranking import top_k
@@ -31,51 +27,40 @@ from tidewright.session import work_dir, written
 # The task functions travel with their code, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Query side that may be sent to every executor.
-MAX_DIRECT_BYTES = 16 * 1024 * 1024
-MAX_DIRECT_QUERIES = 4096
-MAX_PIVOTS = 256
-TILE_ROWS = 8192
-BLOCK_QUERIES = 2048
+# Query side that is sent to every executor at once.
+MAX_BLOCK_BYTES = 16 * 1024 * 1024
+MAX_BLOCK_QUERIES = 4096
+_ROWS_AT_ONCE = 1024
 _DECIMALS = 9
-# Slack for rounding when cells are ruled out.
-_SLACK = 1e-6
 
 
 def _unit_rows(vectors: pd.Series | list) -> np.ndarray:
+    lengths = {None if v is None else len(v) for v in vectors}
+    if len(lengths) > 1 or None in lengths:
+        raise ValueError(f"vectors must be present and of one length, found lengths {lengths}")
     matrix = np.asarray([np.asarray(v, dtype=np.float64) for v in vectors], dtype=np.float64)
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     length[length == 0.0] = 1.0
     return matrix / length
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores, ties by id; `ids` must be sorted."""
-    if len(scores) > k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-        kept = np.flatnonzero(scores >= floor)
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k best scores of every row; equal scores prefer the lower column."""
+    if scores.shape[1] > k:
+        floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, [scores.shape[1] - k]]
+        row, column = np.nonzero(scores >= floor)
     else:
-        kept = np.arange(len(scores))
-    return kept[np.argsort(-scores[kept], kind="stable")[:k]]
+        row, column = (x.ravel() for x in np.indices(scores.shape))
+    order = np.lexsort((column, -scores[row, column], row))
+    row, column = row[order], column[order]
+    start = np.searchsorted(row, np.arange(scores.shape[0]))
+    kept = np.arange(len(row)) - start[row] < k
+    return row[kept], column[kept]
 
 
-def _score(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return np.round(queries @ rows.T, _DECIMALS)
-
-
-def _collect_best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int
-) -> pd.DataFrame:
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    scores = _score(queries, rows[order])
-    out_q, out_c, out_s = [], [], []
-    for i in range(len(query_ids)):
-        best = _best(scores[i], ids, k)
-        out_q.extend([query_ids[i]] * len(best))
-        out_c.extend(ids[best])
-        out_s.extend(scores[i][best])
-    return pd.DataFrame({"query_id": out_q, "case_id": out_c, "similarity": out_s})
+def _merged(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    ordered = pd.concat(parts).sort_values(["query_id", "similarity", "case_id"], ascending=[True, False, True])
+    return ordered.groupby("query_id", sort=False).head(k)
 
 
 def _result_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
@@ -92,311 +77,69 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     return top_k(candidates, "query_id", k, F.desc("similarity"), "case_id")
 
 
-def _direct(query_rows: list, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Few queries: one pass over the corpus, best k per query and task."""
-    query_ids = np.array([r["query_id"] for r in query_rows], dtype=object)
-    matrix = _unit_rows([r["embedding"] for r in query_rows])
+def _scan(block: list, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """One pass over the corpus for one block of queries, best k per query and task."""
+    query_ids = np.array([r["query_id"] for r in block], dtype=object)
+    matrix = _unit_rows([r["embedding"] for r in block])
     shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = shared.value
-        best = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            found = _collect_best(
-                ids, vectors, batch["case_id"].to_numpy(), _unit_rows(batch["embedding"]), k
-            )
-            best = found if best is None else pd.concat([best, found])
-            best = (
-                best.sort_values(["similarity", "case_id"], ascending=[False, True])
-                .groupby("query_id", sort=False)
-                .head(k)
-            )
-        if best is not None:
-            yield best
-
-    found = corpus.select("case_id", "embedding").mapInPandas(
-        scan, _result_schema(queries, corpus)
-    )
-    return _ranked(found, k)
-
-
-# ---- cell index ----------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class CellIndex:
-    """Where an index lies; `cells` has one small row per pivot."""
-
-    tiles_path: str
-    cells_path: str
-
-
-def build_index(corpus: DataFrame, path: str, max_pivots: int = MAX_PIVOTS) -> CellIndex:
-    """Write the corpus grouped by nearest pivot, plus the cell table.
-
-    Pivots are corpus rows picked by hash order, at most `max_pivots` of them,
-    so what is sent to the executors does not grow with the corpus.
-    """
-    total = corpus.count()
-    pivots_wanted = max(1, min(max_pivots, math.isqrt(max(total, 1))))
-    picked = (
-        corpus.select("case_id", "embedding")
-        .orderBy(F.xxhash64("case_id"), "case_id")
-        .limit(pivots_wanted)
-        .collect()
-    )
-    pivots = _unit_rows([r["embedding"] for r in picked]) if picked else np.zeros((1, 1))
-    shared = corpus.sparkSession.sparkContext.broadcast(pivots)
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows = _unit_rows(batch["embedding"])
-            cosines = rows @ shared.value.T
-            cell = cosines.argmax(axis=1)
-            nearest = cosines[np.arange(len(rows)), cell]
-            yield batch.assign(
-                cell=cell.astype(np.int32), dist=np.sqrt(np.maximum(0.0, 2.0 - 2.0 * nearest))
-            )
-
-    schema = T.StructType(
-        [
-            corpus.schema["case_id"],
-            corpus.schema["embedding"],
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("dist", T.DoubleType()),
-        ]
-    )
-    spark = corpus.sparkSession
-    index = CellIndex(f"{path}/tiles", f"{path}/cells")
-    (
-        corpus.select("case_id", "embedding")
-        .mapInPandas(assign, schema)
-        .hint("rebalance", F.col("cell"))
-        .write.mode("overwrite")
-        .partitionBy("cell")
-        .parquet(index.tiles_path)
-    )
-    pivot_rows = spark.createDataFrame(
-        [(i, [float(x) for x in p]) for i, p in enumerate(pivots)],
-        "cell int, pivot array<double>",
-    )
-    stats = _tiles(spark, index).groupBy("cell").agg(
-        F.max("dist").alias("radius"), F.count("*").alias("rows")
-    )
-    pivot_rows.join(stats, "cell").coalesce(1).write.mode("overwrite").parquet(index.cells_path)
-    return index
-
-
-def _tiles(spark: SparkSession, index: CellIndex) -> DataFrame:
-    return spark.read.parquet(index.tiles_path)
-
-
-def _load_cells(spark: SparkSession, index: CellIndex) -> dict[str, np.ndarray]:
-    """At most MAX_PIVOTS rows."""
-    rows = spark.read.parquet(index.cells_path).orderBy("cell").collect()
-    return {
-        "cell": np.array([r["cell"] for r in rows], dtype=np.int32),
-        "pivot": np.array([r["pivot"] for r in rows], dtype=np.float64),
-        "radius": np.array([r["radius"] for r in rows], dtype=np.float64),
-        "rows": np.array([r["rows"] for r in rows], dtype=np.int64),
-    }
-
-
-def _wanted(batch: pd.DataFrame, c: dict[str, np.ndarray], k: int, home: bool) -> np.ndarray:
-    """Which cells (columns) each query (row) has to visit.
-
-    At home are the nearest cells until they hold k rows. The rest are all
-    other cells that may hold a row at least as near as `reach`, the distance
-    of the k-th row found at home.
-    """
-    unit = _unit_rows(batch["embedding"])
-    dist = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (unit @ c["pivot"].T)))
-    near = np.argsort(dist, axis=1, kind="stable")
-    rows = c["rows"][near]
-    is_home = np.zeros(dist.shape, dtype=bool)
-    np.put_along_axis(is_home, near, (np.cumsum(rows, axis=1) - rows) < k, axis=1)
-    if home:
-        return is_home
-    reach = batch["reach"].to_numpy(dtype=np.float64)[:, None]
-    return ~is_home & (dist - c["radius"][None, :] <= reach + _SLACK)
-
-
-def _demand(queries: DataFrame, cells: dict[str, np.ndarray], k: int, home: bool) -> np.ndarray:
-    """Visitors per cell; one small row per pivot reaches the driver."""
-    shared = queries.sparkSession.sparkContext.broadcast(cells)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = shared.value
-        total = np.zeros(len(c["cell"]), dtype=np.int64)
-        for batch in batches:
-            if len(batch):
-                total += _wanted(batch, c, k, home).sum(axis=0)
-        yield pd.DataFrame({"cell": c["cell"], "n": total})
-
-    counted = queries.mapInPandas(count, "cell int, n bigint").groupBy("cell").agg(
-        F.sum("n").alias("n")
-    )
-    found = {r["cell"]: r["n"] for r in counted.collect()}
-    return np.array([found.get(int(cell), 0) for cell in cells["cell"]], dtype=np.int64)
-
-
-def _visits(
-    queries: DataFrame, cells: dict[str, np.ndarray], blocks: np.ndarray, k: int,
-    tile_rows: int, home: bool,
-) -> DataFrame:
-    """One row per query and tile it has to visit, with its block there."""
-    shared = queries.sparkSession.sparkContext.broadcast((cells, blocks))
-
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, per_cell = shared.value
-        tiles = np.maximum(1, -(-c["rows"] // tile_rows))
-        for batch in batches:
-            if not len(batch):
-                continue
-            who, which = np.nonzero(_wanted(batch, c, k, home))
-            copies = tiles[which]
-            who, which = np.repeat(who, copies), np.repeat(which, copies)
-            part = np.concatenate([np.arange(n) for n in copies]) if len(copies) else []
-            yield pd.DataFrame(
-                {
-                    "query_id": batch["query_id"].to_numpy()[who],
-                    "embedding": batch["embedding"].to_numpy()[who],
-                    "cell": c["cell"][which],
-                    "part": np.asarray(part, dtype=np.int32),
-                    "block": (batch["hash"].to_numpy()[who] % per_cell[which]).astype(np.int32),
-                }
-            )
-
-    schema = T.StructType(
-        [
-            queries.schema["query_id"],
-            queries.schema["embedding"],
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("part", T.IntegerType()),
-            T.StructField("block", T.IntegerType()),
-        ]
-    )
-    return queries.mapInPandas(plan, schema)
-
-
-def _tile_search(
-    queries: DataFrame, tiles: DataFrame, cells: dict[str, np.ndarray], k: int,
-    tile_rows: int, block_queries: int, home: bool,
-) -> DataFrame:
-    """Best k of every visited tile, one group per (tile, query block).
-
-    Both sides of a group are bounded. A tile is copied once per block of the
-    queries that visit its cell, and not at all where none does.
-    """
-    asked = _demand(queries, cells, k, home)
-    blocks = np.maximum(1, -(-asked // block_queries))
-    names = [int(c) for c in cells["cell"]]
-
-    def per_cell(values) -> Column:
-        pairs = [F.lit(x) for name, v in zip(names, values) for x in (name, int(v))]
-        return F.create_map(*pairs)[F.col("cell")]
-
-    visited = [name for name, n in zip(names, asked) if n]
-    parts = per_cell(np.maximum(1, -(-cells["rows"] // tile_rows)))
-    placed = (
-        tiles.where(F.col("cell").isin(visited))
-        .select("case_id", "embedding", "cell")
-        .withColumn("part", F.pmod(F.xxhash64("case_id"), parts).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), per_cell(blocks - 1))))
-    )
-    visits = _visits(queries, cells, blocks, k, tile_rows, home)
-
-    def search(corpus: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(corpus) or not len(asked):
-            return pd.DataFrame({"query_id": [], "case_id": [], "similarity": []})
-        return _collect_best(
-            asked["query_id"].to_numpy(),
-            _unit_rows(asked["embedding"]),
-            corpus["case_id"].to_numpy(),
-            _unit_rows(corpus["embedding"]),
-            k,
-        )
-
-    keys = ["cell", "part", "block"]
-    return (
-        placed.groupBy(*keys)
-        .cogroup(visits.groupBy(*keys))
-        .applyInPandas(search, _result_schema(queries, tiles))
-    )
-
-
-def search_index(
-    queries: DataFrame,
-    index: CellIndex,
-    k: int = 5,
-    tile_rows: int = TILE_ROWS,
-    block_queries: int = BLOCK_QUERIES,
-) -> DataFrame:
-    """Exact top-k through the cell index; `queries` has query_id, embedding.
-
-    A first look at the nearest cells gives every query the distance it has to
-    beat, a second one visits the cells that are not ruled out by it.
-    """
-    spark = queries.sparkSession
-    cells = _load_cells(spark, index)
-    tiles = _tiles(spark, index)
-    if not len(cells["cell"]):
-        return _ranked(spark.createDataFrame([], _result_schema(queries, tiles)), k)
-    hashed = queries.select(
-        "query_id",
-        "embedding",
-        F.pmod(F.xxhash64("query_id"), F.lit(2**31 - 1)).alias("hash"),
-    )
-    # Both phases read the first result, so it is written once.
-    home = written(
-        _ranked(_tile_search(hashed, tiles, cells, k, tile_rows, block_queries, True), k),
-        "home-neighbors",
-    )
-    reach = home.groupBy("query_id").agg(
-        F.when(
-            F.count("*") >= k,
-            F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * F.min("similarity"))),
-        )
-        .otherwise(F.lit(float("inf")))
-        .alias("reach")
-    )
-    # Planned and counted from the same stored rows.
-    bounded = written(hashed.join(reach, "query_id"), "bounded-queries")
-    rest = _tile_search(bounded, tiles, cells, k, tile_rows, block_queries, False)
-    return _ranked(home.select("query_id", "case_id", "similarity").unionByName(rest), k)
-
-
-# ---- entry points --------------------------------------------------------
+        best: list[pd.DataFrame] = []
+        for whole in batches:
+            for at in range(0, len(whole), _ROWS_AT_ONCE):
+                batch = whole.iloc[at : at + _ROWS_AT_ONCE].sort_values("case_id")
+                rows = _unit_rows(batch["embedding"])
+                if rows.shape[1] != vectors.shape[1]:
+                    raise ValueError(f"queries have {vectors.shape[1]} dimensions, the corpus {rows.shape[1]}")
+                scores = np.round(vectors @ rows.T, _DECIMALS)
+                who, which = _best(scores, k)
+                best.append(
+                    pd.DataFrame(
+                        {
+                            "query_id": ids[who],
+                            "case_id": batch["case_id"].to_numpy()[which],
+                            "similarity": scores[who, which],
+                        }
+                    )
+                )
+            if len(best) > 16:
+                best = [_merged(best, k)]
+        if best:
+            yield _merged(best, k)
+
+    return corpus.select("case_id", "embedding").mapInPandas(scan, _result_schema(queries, corpus))
 
 
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
     k: int = 5,
-    max_direct_queries: int = MAX_DIRECT_QUERIES,
+    block_queries: int = MAX_BLOCK_QUERIES,
 ) -> DataFrame:
     """Top-k corpus rows per query: query_id, case_id, similarity, rank.
 
     `queries` has query_id and embedding, `corpus` case_id and embedding. The
-    size of the query side decides the way; both give the same rows. The
-    search runs here and the stored result is returned, as it is usually read
-    more than once.
+    query side is computed once and stored; the search runs here and the stored
+    result is returned, as it is usually read more than once. Vectors that are
+    missing or differ in length are an error.
     """
-    slim = queries.select("query_id", "embedding")
-    one = slim.first()
-    if one is None:
-        empty = corpus.sparkSession.createDataFrame([], _result_schema(queries, corpus))
-        return _ranked(empty, k)
-    limit = min(max_direct_queries, MAX_DIRECT_BYTES // (8 * max(1, len(one["embedding"]))))
-    head = slim.limit(limit + 1).collect()
-    if len(head) <= limit:
-        return written(_direct(head, queries, corpus, k), "neighbors")
-    index = build_index(corpus, work_dir(corpus.sparkSession, "cell-index"))
-    return written(search_index(slim, index, k), "neighbors")
+    spark = corpus.sparkSession
+    slim = written(queries.select("query_id", "embedding"), "queries")
+    size = slim.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    schema = _result_schema(queries, corpus)
+    if not size["n"]:
+        return _ranked(spark.createDataFrame([], schema), k)
+    limit = max(1, min(block_queries, MAX_BLOCK_BYTES // (8 * max(1, size["dim"] or 1))))
+    # Hashing fills the blocks evenly; a quarter of room keeps them under the limit.
+    blocks = 1 if size["n"] <= limit else -(-5 * size["n"] // (4 * limit))
+    path = work_dir(spark, "neighbors")
+    for block in range(blocks):
+        held = slim.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
+        if held:
+            _ranked(_scan(held, queries, corpus, k), k).write.mode("append").parquet(path)
+    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
+    return spark.read.schema(ranked).parquet(path)
 
 
 def with_band(matches: DataFrame) -> DataFrame:

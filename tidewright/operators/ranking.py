@@ -47,11 +47,7 @@ def top_k(rows: DataFrame, key: str | list[str], k: int, *order: Column | str, n
     return rows.withColumn(name, rank).where(F.col(name) <= k)
 
 
-def worst(rows: DataFrame, *order: Column | str) -> DataFrame:
-    """Single first row of an ordering, or none."""
-    return rows.orderBy(*order).limit(1)
-
-
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Up to n rows picked by a seeded hash of the key; same input, same rows."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """Up to n rows picked by a seeded digest of the key; same input, same rows on any engine."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return rows.orderBy(drawn, key).limit(n)

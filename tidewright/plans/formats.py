@@ -24,6 +24,23 @@ def bench_queries(as_of: int) -> dict[str, Callable[[DataFrame], DataFrame]]:
     }
 
 
+def compare_formats(spark: SparkSession, parquet_path: str, jsonl_path: str, as_of: int) -> DataFrame:
+    """Per query: rows of its answer and whether both layouts give the same rows."""
+    stored, mirror = read_events(spark, parquet_path), read_events_jsonl(spark, jsonl_path)
+    found = None
+    for name, query in bench_queries(as_of).items():
+        one, other = (
+            rows.groupBy(F.struct(*rows.columns).alias("row")).count() for rows in (query(stored), query(mirror))
+        )
+        side = F.col("a.count").eqNullSafe(F.col("b.count"))
+        both = one.alias("a").join(other.alias("b"), F.col("a.row").eqNullSafe(F.col("b.row")), "full")
+        row = both.agg(
+            F.coalesce(F.sum("a.count"), F.lit(0)).alias("n_rows"), F.coalesce(F.bool_and(side), F.lit(True)).alias("same")
+        ).select(F.lit(name).alias("query"), "n_rows", "same")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def run_once(rows: DataFrame) -> float:
     start = time.perf_counter()
     rows.write.format("noop").mode("overwrite").save()
