@@ -453,3 +453,112 @@ def test_recent_feed_reads_back_as_far_as_needed(spark, paths):
         got = recent_feed(spark, paths.events, limit, kind).collect()
         assert got == recent_events(table, limit, kind).collect()
     assert recent_feed(spark, paths.events + "-none").count() == 0
+
+
+def test_counters_stand_after_a_failure_behind_the_events(spark, paths, monkeypatch):
+    rows = raw(spark, event("a"), event("b"), event("a"), "{bad")
+    first = ingest._replace_batch
+
+    def failing(frame, path, batch):
+        if path == paths.metrics:
+            raise OSError("storage is gone")
+        first(frame, path, batch)
+
+    monkeypatch.setattr(ingest, "_replace_batch", failing)
+    with pytest.raises(OSError):
+        ingest.ingest_batch(rows, paths, "s-0", stamp=NOW)
+    assert tables.read_events(spark, paths.events).count() == 2
+    monkeypatch.undo()
+    counts = ingest.ingest_batch(rows, paths, "s-0", stamp=NOW + timedelta(hours=1))
+    total = ingest.ingest_counters(spark, paths.counters).first().asDict()
+    assert counts == total == {
+        "received": 4, "dead_lettered": 1, "skipped": 0, "duplicate_in_batch": 1,
+        "already_stored": 0, "late": 0, "written": 2,
+    }
+    assert tables.read_events(spark, paths.events).count() == 2
+
+
+def test_counters_of_a_batch_that_failed_before_the_events(spark, paths, monkeypatch):
+    def failing(*_):
+        raise OSError("storage is gone")
+
+    monkeypatch.setattr(ingest, "append_events", failing)
+    with pytest.raises(OSError):
+        ingest.ingest_batch(raw(spark, event("a")), paths, "s-0", stamp=NOW)
+    monkeypatch.undo()
+    assert ingest.ingest_batch(raw(spark, event("a")), paths, "s-0", stamp=NOW)["written"] == 1
+    # The same name with other rows is another batch.
+    assert ingest.ingest_batch(raw(spark, event("a"), event("c")), paths, "s-0", stamp=NOW)["received"] == 2
+
+
+def test_a_failing_dead_letter_table_does_not_stop_the_ingest(spark, paths, monkeypatch):
+    def failing(*_):
+        raise OSError("storage is gone")
+
+    monkeypatch.setattr(ingest, "write_dead_letters", failing)
+    counts = ingest.ingest_batch(raw(spark, event("a"), "{bad"), paths, "s-0", stamp=NOW)
+    assert counts["written"] == 1 and counts["dead_lettered"] == 1
+    assert ingest.ingest_counters(spark, paths.counters).first().dead_lettered == 1
+
+
+def test_undated_events_are_recognised_at_any_distance(spark, paths):
+    bad = [event("y", created_at="nope"), event("z")]
+    ingest.ingest_batch(raw(spark, *bad), paths, "s-0", stamp=NOW)
+    for days in (1, 90, 800):
+        counts = ingest.ingest_batch(raw(spark, *bad), paths, f"s-{days}", stamp=NOW + timedelta(days=days))
+        assert counts["written"] == 0 and counts["already_stored"] == 2
+    assert tables.read_events(spark, paths.events).count() == 2
+
+
+def test_undated_events_of_a_table_without_an_index(spark, paths):
+    ingest.ingest_batch(raw(spark, event("y", created_at="nope")), paths, "s-0", stamp=NOW)
+    files.delete(spark, paths.undated)
+    counts = ingest.ingest_batch(
+        raw(spark, event("y", created_at="nope")), paths, "s-1", stamp=NOW + timedelta(days=50)
+    )
+    assert counts["written"] == 0
+
+
+def test_the_stored_side_is_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("event_id")).write.parquet(path)
+    # A held batch, as in the ingest: its size is known when the join is planned.
+    new = spark.createDataFrame([(str(i),) for i in range(100)], "event_id string").persist()
+    new.count()
+    found = dedupe.known_ids(new, spark.read.parquet(path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The only exchange by key is the one of the few repeated ids.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+
+
+def test_many_days_become_a_range(spark):
+    stored = spark.createDataFrame([("2020-01-01",), ("2024-06-01",), ("late",)], "date string").withColumn(
+        "created_at", F.lit(NOW)
+    )
+    days = [f"20{y}-{m:02}-{d:02}" for y in (22, 23, 24) for m in range(1, 13) for d in range(1, 29)]
+    span = {"days": days, "low": None, "high": None}
+    assert [r.date for r in dedupe.stored_candidates(stored, span).collect()] == ["2024-06-01"]
+
+
+def test_lag_and_feed_prune_dates(spark, paths):
+    from tidewright.functions.time_bounds import to_micros
+    from tidewright.operators import activity
+    from tidewright.streaming import refresh
+
+    rows = [event(str(i), created=ago(hours=i)) for i in range(0, 60, 5)]
+    for i, e in enumerate(rows):
+        ingest.ingest_batch(raw(spark, e), paths, f"s-{i}", threshold_hours=40, stamp=ago(hours=i * 5))
+    table = tables.read_events(spark, paths.events)
+    lag = activity.lag_stats(table, 60, to_micros(NOW), late_hours=40)
+    assert "PartitionFilters: [((date" in lag._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
+    assert lag.first() == activity.lag_stats(table, 60, to_micros(NOW)).first()
+    found = refresh.metric_tables(spark, paths.events, to_micros(NOW), 60)
+    plan = found["recent"]._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
+    assert "PartitionFilters: [((date" in plan or found["recent"].count() == len(rows)
+    out = paths.events + "-metrics"
+    for _ in range(2):
+        refresh.refresh_metrics(spark, paths.events, out, NOW, late_hours=40)
+    assert spark.read.parquet(f"{out}/lag").count() == 1
+    assert files.partition_names(spark, out) == []

@@ -65,12 +65,22 @@ def _date_floor(df: DataFrame, micros: int) -> Column | None:
     return (F.col("date") >= day) | (F.col("date") == LATE_PARTITION)
 
 
-def lookback(df: DataFrame, ts: str, as_of: int, minutes: float) -> DataFrame:
-    """Rows at or after `as_of - minutes`, open towards the future."""
+def lookback(
+    df: DataFrame, ts: str, as_of: int, minutes: float, late_hours: float | None = None
+) -> DataFrame:
+    """Rows at or after `as_of - minutes`, open towards the future.
+
+    `created_at` decides the partition and prunes. `ingested_at` prunes when
+    `late_hours`, the threshold the table was written with, is given: a dated
+    row was created at most that long before it came in.
+    """
     start = as_of - int(minutes * MICROS_PER_MINUTE)
     keep = F.col(ts) >= bound(df, ts, start)
-    # Only created_at decides the partition; other time columns do not prune.
-    prune = _date_floor(df, start) if ts == "created_at" else None
+    prune = None
+    if ts == "created_at":
+        prune = _date_floor(df, start)
+    elif ts == "ingested_at" and late_hours is not None:
+        prune = _date_floor(df, start - int(late_hours * MICROS_PER_HOUR))
     return df.where(keep if prune is None else keep & prune)
 
 

@@ -60,12 +60,17 @@ def latest_event(events: DataFrame, ts: str = "created_at") -> DataFrame:
     return events.agg(F.max(ts).alias("latest"))
 
 
-def lag_stats(events: DataFrame, since_minutes: float = 60, as_of: When = None) -> DataFrame:
-    """Ingest lag in seconds; one row, NULL statistics when nothing matches."""
+def lag_stats(
+    events: DataFrame, since_minutes: float = 60, as_of: When = None, late_hours: float | None = None
+) -> DataFrame:
+    """Ingest lag in seconds; one row, NULL statistics when nothing matches.
+
+    With `late_hours`, the late threshold of the table, old dates are not read.
+    """
     at = resolve_as_of(events, "ingested_at", as_of)
     lag = seconds_between(F.col("created_at"), F.col("ingested_at"))
     return (
-        lookback(events, "ingested_at", at, since_minutes)
+        lookback(events, "ingested_at", at, since_minutes, late_hours)
         .where(F.col("ingested_at") >= F.col("created_at"))
         .select(lag.alias("lag"))
         .agg(
@@ -77,9 +82,11 @@ def lag_stats(events: DataFrame, since_minutes: float = 60, as_of: When = None)
     )
 
 
-def lag_report(events: DataFrame, since_minutes: float = 60, as_of: When = None) -> DataFrame:
+def lag_report(
+    events: DataFrame, since_minutes: float = 60, as_of: When = None, late_hours: float | None = None
+) -> DataFrame:
     """Lag statistics with their band; no row when there is no data."""
-    stats = lag_stats(events, since_minutes, as_of).where(F.col("avg_lag_seconds").isNotNull())
+    stats = lag_stats(events, since_minutes, as_of, late_hours).where(F.col("avg_lag_seconds").isNotNull())
     return stats.withColumn("status", lag_band(F.col("avg_lag_seconds")))
 
 

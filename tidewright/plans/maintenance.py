@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.schemas import EVENT_TABLE_SCHEMA, LATE_THRESHOLD_HOURS
-from tidewright.sources.files import DataFile, data_files, delete, move
+from tidewright.sources.files import DataFile, data_files, delete, move, partition_names
 from tidewright.sources.tables import read_dead_letters, read_or_empty
 from tidewright.streaming.ingest import IngestPaths, ingest_batch
 
@@ -26,7 +26,7 @@ SUMMARY_SCHEMA = (
 
 def partitions(spark: SparkSession, path: str) -> list[str]:
     """Date partitions in ascending order; `date=late` sorts last."""
-    return sorted({f.partition for f in data_files(spark, path) if f.partition.startswith("date=")})
+    return [name for name in partition_names(spark, path) if name.startswith("date=")]
 
 
 def _jobs(groups: dict[str, list[DataFile]]) -> list[list[str]]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.operators.dedupe import first_per_key, not_stored
 from tidewright.schemas import ANOMALY_SCHEMA
+from tidewright.session import written
+from tidewright.sources.sinks import overwrite
 from tidewright.sources.tables import read_anomalies
 
 _COLUMNS = [f.name for f in ANOMALY_SCHEMA.fields]
@@ -32,11 +35,6 @@ def fresh_rows(new: DataFrame, existing: DataFrame) -> DataFrame:
     return not_stored(unique, existing, "anomaly_id")
 
 
-def merged(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """The store after a merge: existing rows untouched, fresh rows added."""
-    return existing.unionByName(fresh_rows(new, existing))
-
-
 def newest_first(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.desc("detected_at"), "anomaly_id")
 
@@ -53,8 +51,18 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 def save(spark: SparkSession, anomalies: DataFrame, path: str) -> None:
     """Add anomalies that are not stored yet. Stored rows are never rewritten."""
-    fresh = fresh_rows(to_rows(anomalies), read_anomalies(spark, path))
-    fresh.write.mode("append").parquet(path)
+    fresh = fresh_rows(to_rows(anomalies), read_anomalies(spark, path)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # A silent sweep leaves no file behind.
+        if not fresh.isEmpty():
+            fresh.coalesce(1).write.mode("append").parquet(path)
+    finally:
+        fresh.unpersist()
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """One file for all stored anomalies; run it while no detector writes."""
+    overwrite(written(read_anomalies(spark, path), "anomalies").coalesce(1), path)
 
 
 def by_id(rows: DataFrame, anomaly_id: str) -> DataFrame:

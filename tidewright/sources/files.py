@@ -43,6 +43,15 @@ def data_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> list
     return found
 
 
+def partition_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the partition folders right below a root; no file is listed."""
+    fs, path = _fs(spark, root)
+    if not fs.exists(path):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory())
+    return sorted(name for name in names if "=" in name and not name.startswith(("_", ".")))
+
+
 def has_data(spark: SparkSession, root: str, suffix: str = ".parquet") -> bool:
     """True as soon as one visible data file turns up."""
     fs, path = _fs(spark, root)
@@ -56,6 +65,11 @@ def has_data(spark: SparkSession, root: str, suffix: str = ".parquet") -> bool:
     return False
 
 
+def has_path(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _fs(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidewright.operators.flatten import event_columns
+from tidewright.sources.files import delete, has_path, move
 
 
 def _by_date(rows: DataFrame) -> DataFrame:
@@ -62,3 +65,15 @@ def write_dead_letters(rows: DataFrame, path: str, batch: str) -> None:
 def overwrite(rows: DataFrame, path: str) -> None:
     """Replace a whole table (CI runs, cases, embeddings)."""
     rows.write.mode("overwrite").parquet(path)
+
+
+def swap_in(rows: DataFrame, path: str) -> None:
+    """Replace a small result table by renaming, so readers find the old or the new one."""
+    spark = rows.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fresh, old = (f"{parent}/_{kind}-{name}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    rows.coalesce(1).write.parquet(fresh)
+    if has_path(spark, path):
+        move(spark, path, old)
+    move(spark, fresh, path)
+    delete(spark, old)

@@ -13,7 +13,7 @@ from tidewright.schemas import (
     EVENT_TABLE_SCHEMA,
     LATE_PARTITION,
 )
-from tidewright.sources.files import data_files, has_data
+from tidewright.sources.files import has_data, partition_names
 
 
 def read_or_empty(
@@ -41,7 +41,7 @@ def read_newest_events(spark: SparkSession, path: str) -> DataFrame:
     Enough for the newest event time, without reading the history.
     """
     events = read_events(spark, path)
-    days = {f.partition.removeprefix("date=") for f in data_files(spark, path)}
+    days = {name.removeprefix("date=") for name in partition_names(spark, path)}
     dated = sorted(days - {LATE_PARTITION})
     return events.where(F.col("date").isin([*dated[-1:], LATE_PARTITION]))
 

@@ -4,7 +4,9 @@
 validation once and runs `store_judged` per micro-batch. Writing comes before
 the checkpoint commit, so a failed batch is run again, and every write stands a
 second run: events are anti-joined with the stored ids, dead letters and
-counters replace their own batch partition.
+metrics replace their own batch partition. Counters are written before the
+events and, when a batch runs again, those of its first run stand: by then its
+own events may be stored, and counting them anew would call them repeats.
 """
 
 from __future__ import annotations
@@ -15,18 +17,19 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import to_micros
 from tidewright.operators import rules
-from tidewright.operators.dedupe import first_per_key, not_stored, stored_candidates
+from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, stored_candidates, undated_days
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import LATE_PARTITION, LATE_THRESHOLD_HOURS
 from tidewright.session import pin_utc
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
+from tidewright.sources.files import has_data
 from tidewright.sources.streams import FLUSH_SECONDS
-from tidewright.sources.tables import read_events
+from tidewright.sources.tables import read_events, read_or_empty
 
 log = logging.getLogger(__name__)
 
@@ -44,6 +47,11 @@ class IngestPaths:
     metrics: str | None = None
     counters: str | None = None
 
+    @property
+    def undated(self) -> str:
+        """Ids of stored events without a usable time, with the day each was filed under."""
+        return f"{self.events.rstrip('/')}_undated"
+
 
 def judge(raw: DataFrame) -> DataFrame:
     """Parse and validate raw texts (column `value`), batch or stream.
@@ -102,6 +110,31 @@ def _replace_batch(rows: DataFrame, path: str, batch: str) -> None:
     )
 
 
+COUNTERS = ("received", "dead_lettered", "skipped", "duplicate_in_batch", "already_stored", "late", "written")
+# What the rows of a batch alone decide.
+_OWN_COUNTERS = COUNTERS[:4]
+UNDATED_SCHEMA = "event_id string, day string"
+
+
+def _first_counts(spark: SparkSession, path: str, batch: str) -> dict[str, int] | None:
+    """Counters that an earlier run of the batch has written."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
+    folder = f"{path.rstrip('/')}/ingest_batch={name}"
+    if not has_data(spark, folder):
+        return None
+    row = spark.read.schema(", ".join(f"{c} bigint" for c in COUNTERS)).parquet(folder).first()
+    return row.asDict() if row else None
+
+
+def _undated_index(spark: SparkSession, paths: IngestPaths) -> DataFrame:
+    """Built once from a table that is older than its index: undated events carry their ingest time."""
+    index = read_or_empty(spark, paths.undated, T.StructType.fromDDL(UNDATED_SCHEMA))
+    if not has_data(spark, paths.undated) and has_data(spark, paths.events):
+        old = read_events(spark, paths.events).where("created_at = ingested_at")
+        return old.select("event_id", F.col("date").alias("day"))
+    return index
+
+
 def ingest_batch(
     raw: DataFrame,
     paths: IngestPaths,
@@ -124,39 +157,59 @@ def store_judged(
     spark = pin_utc(judged.sparkSession)
     stamp = stamp or utc_now()
     settled = settle(judged, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
-    new = None
+    marked = None
     try:
-        seen = settled.agg(
+        passed = F.col("error_reason").isNull() & ~F.coalesce(F.col("skipped"), F.lit(False))
+        own = settled.withColumns({c: F.when(passed, F.col(c)) for c in ("created_at", "created_at_ok", "date")})
+        seen = own.agg(
             F.count("*").alias("received"),
             F.count_if(F.col("error_reason").isNotNull()).alias("dead_lettered"),
             F.count_if(F.col("skipped")).alias("skipped"),
+            *batch_span(),
         ).first()
         accepted = seen["received"] - seen["dead_lettered"] - seen["skipped"]
-        unique = late = written = 0
+        kept = {"unique": 0, "late": 0, "written": 0}
         if accepted:
             rows = stored_columns(settled)
             first = first_per_key(rows, "event_id", "position", "_seq")
-            # Column pruning keeps this count to ids, dates and positions.
-            kept = first.agg(
+            days = undated_days(rows, _undated_index(spark, paths)) if seen["undated"] else []
+            stored = stored_candidates(read_events(spark, paths.events), seen, days)
+            repeated = known_ids(rows, stored).withColumn("_stored", F.lit(True))
+            # Held, so that counting and writing see the same rows.
+            marked = (
+                first.join(repeated, "event_id", "left")
+                .withColumn("_stored", F.col("_stored").isNotNull())
+                .persist(StorageLevel.MEMORY_AND_DISK)
+            )
+            kept = marked.agg(
                 F.count("*").alias("unique"),
                 F.count_if(F.col("date") == LATE_PARTITION).alias("late"),
+                F.count_if(~F.col("_stored")).alias("written"),
             ).first()
-            unique, late = kept["unique"], kept["late"]
-            stored = stored_candidates(rows, read_events(spark, paths.events), stamp)
-            # Held, so that counting and writing see the same rows.
-            new = not_stored(first, stored).persist(StorageLevel.MEMORY_AND_DISK)
-            written = new.count()
-            if written:
-                append_events(new, paths.events)
         counts = {
             "received": seen["received"],
             "dead_lettered": seen["dead_lettered"],
             "skipped": seen["skipped"],
-            "duplicate_in_batch": accepted - unique,
-            "already_stored": unique - written,
-            "late": late,
-            "written": written,
+            "duplicate_in_batch": accepted - kept["unique"],
+            "already_stored": kept["unique"] - kept["written"],
+            "late": kept["late"],
+            "written": kept["written"],
         }
+        if paths.counters:
+            before = _first_counts(spark, paths.counters, batch)
+            if before and all(before[c] == counts[c] for c in _OWN_COUNTERS):
+                counts = before
+            else:
+                row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
+                _replace_batch(row.coalesce(1), paths.counters, batch)
+        if kept["written"]:
+            new = marked.where(~F.col("_stored"))
+            if seen["undated"]:
+                # Before the events: an id too many only names a day to look in.
+                new.where(~F.col("created_at_ok")).select("event_id", F.col("date").alias("day")).coalesce(
+                    1
+                ).write.mode("append").parquet(paths.undated)
+            append_events(new, paths.events)
         if seen["dead_lettered"]:
             try:
                 write_dead_letters(rejected_rows(settled), paths.dead_letters, batch)
@@ -170,14 +223,11 @@ def store_judged(
                 F.map_filter("metrics", lambda k, _: k != "event_type").alias("metrics"),
             )
             _replace_batch(metrics, paths.metrics, batch)
-        if paths.counters:
-            row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
-            _replace_batch(row.coalesce(1), paths.counters, batch)
         log.info("batch %s: %s", batch, counts)
         return counts
     finally:
-        if new is not None:
-            new.unpersist()
+        if marked is not None:
+            marked.unpersist()
         settled.unpersist()
 
 

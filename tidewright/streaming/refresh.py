@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import now_micros, to_micros
 from tidewright.operators import activity, detection, ranking
+from tidewright.plans.feed import recent_feed
 from tidewright.schemas import EVENT_TABLE_SCHEMA
 from tidewright.sources import anomaly_store
-from tidewright.sources.sinks import overwrite
+from tidewright.sources.sinks import swap_in
 from tidewright.sources.tables import read_ci_runs, read_events
 
 # Seconds between two refreshes and two detection sweeps.
@@ -20,14 +21,21 @@ SWEEP_SECONDS = 5
 
 
 def metric_tables(
-    events: DataFrame, as_of: int, since_minutes: float = 60, limit: int = 10
+    spark: SparkSession,
+    events_path: str,
+    as_of: int,
+    since_minutes: float = 60,
+    limit: int = 10,
+    late_hours: float | None = None,
 ) -> dict[str, DataFrame]:
+    """Every table reads only the dates it needs; the lag does so with the table's late threshold."""
+    events = read_events(spark, events_path)
     counts = activity.event_counts(events, since_minutes, as_of)
     return {
         "event_counts": ranking.share_of_total(counts, "event_count"),
         "top_entities": activity.top_entities(events, since_minutes, limit, as_of),
-        "lag": activity.lag_report(events, since_minutes, as_of),
-        "recent": activity.recent_events(events),
+        "lag": activity.lag_report(events, since_minutes, as_of, late_hours),
+        "recent": recent_feed(spark, events_path),
     }
 
 
@@ -37,11 +45,16 @@ def refresh_metrics(
     out_path: str,
     as_of: datetime | int | None = None,
     since_minutes: float = 60,
+    late_hours: float | None = None,
 ) -> None:
-    """Recompute every look-back table; each is a small aggregate."""
+    """Recompute every look-back table; each is a small aggregate.
+
+    A result is written beside the old one and takes its place when complete.
+    """
     at = now_micros() if as_of is None else to_micros(as_of)
-    for name, rows in metric_tables(read_events(spark, events_path), at, since_minutes).items():
-        overwrite(rows, f"{out_path}/{name}")
+    found = metric_tables(spark, events_path, at, since_minutes, late_hours=late_hours)
+    for name, rows in found.items():
+        swap_in(rows, f"{out_path}/{name}")
 
 
 def sweep(
@@ -84,11 +97,12 @@ def start_refresh(
     as_of: datetime | int | None = None,
     since_minutes: float = 60,
     seconds: int | None = REFRESH_SECONDS,
+    late_hours: float | None = None,
 ) -> StreamingQuery:
     """Refresh the metric tables whenever new event files landed."""
     return _start(
         _arrivals(spark, events_path),
-        lambda: refresh_metrics(spark, events_path, out_path, as_of, since_minutes),
+        lambda: refresh_metrics(spark, events_path, out_path, as_of, since_minutes, late_hours),
         checkpoint,
         seconds,
     )
