@@ -27,41 +27,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from tidewright.llm import packed
 from tidewright.llm.interval_expansion import repeat_classes
-from tidewright.llm.recompression import Windows, cover, later_answers, spans
-from tidewright.llm.shingles import mix
+from tidewright.llm.recompression import Windows, cover, later_answers, sequence_hashes, spans, window_pairs
 
 WINDOW = 100
 SEED_BYTES = 40
 HOT_CHUNKS = 64
-BLOCK_BYTES = 1_500_000
+BLOCK_BYTES = 1_000_000
 RESULT = "doc_id long, n_bytes long, n_removed long, starts array<int>, stops array<int>, kept binary"
 
 _TABLES = np.random.default_rng(2024).integers(0, 1 << 64, (3, 256), np.uint64)
-_BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x27BB2EE687B0B0FD)
-_powers_held: dict[tuple[int, bool], np.ndarray] = {}
-
-
-def _powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
-    held = _powers_held.get((base, inverse))
-    if held is None or len(held) < n:
-        held = np.full(max(n, packed.CHUNK_BYTES * 3 // 2), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
-        held[0] = 1
-        held = _powers_held[base, inverse] = np.cumprod(held, dtype=np.uint64)
-    return held[:n]
-
-
-def _sums(data: np.ndarray, which: int) -> np.ndarray:
-    n = len(data)
-    return np.concatenate(([np.uint64(0)], np.cumsum(_TABLES[which][data] * _powers(_BASES[which], n), dtype=np.uint64)))
-
-
-def _hashed(sums: np.ndarray, which: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    inverse = _powers(_BASES[which], len(sums), True)
-    return mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -86,8 +65,7 @@ class Named:
         self.close = np.zeros(0, bool)
         if n < window:
             return
-        sums, inverse = _sums(self.data, 2), _powers(_BASES[2], n - seed + 1, True)
-        hashed = mix((sums[seed:] - sums[: n - seed + 1]) * inverse)
+        hashed = sequence_hashes(_TABLES[2][self.data], seed, 0x27BB2EE687B0B0FD)
         reach = window - seed + 1
         least = sliding(hashed, reach, np.minimum)
         self.valid = self.owner[: n - window + 1] == self.owner[window - 1 :]
@@ -185,7 +163,9 @@ def _ask(n_chunks: int, window: int, seed: int):
         first, cuts = np.zeros(0, bool), []
         if len(start):
             stop = start + length + window - 1
-            one, two = (_hashed(_sums(found.data, k), k, start, stop) for k in (0, 1))
+            raw = found.data.tobytes()
+            digests = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
+            one, two = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
             order = np.lexsort((start, two, one, at))
             start, length, stop, at, one, two = (x[order] for x in (start, length, stop, at, one, two))
             first = np.ones(len(start), bool)
@@ -193,7 +173,6 @@ def _ask(n_chunks: int, window: int, seed: int):
             values, close = found.values[at[first]], found.close[at[first]]
             own_start, own_stop = start[first], stop[first]
             docs = order_of[found.owner[own_start]]
-            raw = found.data.tobytes()
             strings = [raw[a:b] for a, b in zip(own_start.tolist(), own_stop.tolist(), strict=True)]
             cuts = packed.bucket_cuts(values, n_chunks)
             rows += [
@@ -220,7 +199,8 @@ def _expanded(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _single(data: np.ndarray, starts: np.ndarray, window: int) -> Windows:
-    return Windows(_TABLES[0][data], _TABLES[1][data], np.sort(starts), window)
+    starts = np.sort(starts)
+    return Windows(*window_pairs(_TABLES[0][data], _TABLES[1][data], starts, window), starts)
 
 
 def _answer(window: int):

@@ -68,13 +68,13 @@ def repeat_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     # The text goes on with zeros, so that each place has a suffix of `least` bytes.
     whole = np.concatenate((text, np.zeros(least, np.uint8)))
     total = len(whole)
-    order = suffix_rows(whole, least)
-    row_of = np.empty(total, np.int64)
-    row_of[order] = np.arange(total)
+    order = suffix_rows(whole, least).astype(np.int32)
+    row_of = np.empty(total, np.int32)
+    row_of[order] = np.arange(total, dtype=np.int32)
     # Row of the suffix one byte longer, by the byte before; the text's first place has none.
     back = np.where(order > 0, row_of[order - 1], -1)
     # For a row, the row from which the row before its image comes.
-    ahead = np.where(order + 1 < total, row_of[np.minimum(order + 1, total - 1)], -1)
+    ahead = np.where(order < total - 1, row_of[np.minimum(order + 1, total - 1)], -1)
     byte = whole[order]
     bound = np.zeros(total + 1, bool)
     bound[0] = bound[total] = True

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewright.llm.common import as_bytes
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max
 
 MESSAGES = "bucket long, chunk long, kind int, body binary, docs binary"

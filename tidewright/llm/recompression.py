@@ -100,25 +100,36 @@ class Parsed:
         return (self.low >= self.high) | (before[self.high] == before[self.low])
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    powers = np.full(n, base, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
-
-
-def sequence_hashes(words: np.ndarray, starts: np.ndarray, window: int, base: int) -> np.ndarray:
-    """Hash of the `window` words from each start, from prefix sums."""
-    inverse = pow(base, -1, 1 << 64)
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(words * _powers(len(words), base), dtype=np.uint64)))
-    return mix((sums[starts + window] - sums[starts]) * _powers(len(words), inverse)[starts])
+def sequence_hashes(values: np.ndarray, window: int, base: int) -> np.ndarray:
+    """Hash of every `window` consecutive values, put together from powers of two."""
+    if len(values) < window:
+        return np.zeros(0, np.uint64)
+    total, width, power = None, 0, base
+    part, size = values, 1
+    while True:
+        if window & size:
+            # What is there so far, followed by `size` more values.
+            total = part if total is None else total[: len(values) - width - size + 1] * np.uint64(
+                pow(base, size, 1 << 64)
+            ) + part[width : len(values) - size + 1]
+            width += size
+        size *= 2
+        if size > window:
+            return mix(total)
+        part = part[: -(size // 2)] * np.uint64(power) + part[size // 2 :]
+        power = power * power & (1 << 64) - 1
+
+
+def window_pairs(values: np.ndarray, again: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the windows at the given starts."""
+    high = sequence_hashes(values, window, 0x5851F42D4C957F2D)[starts]
+    return high, sequence_hashes(again, window, 0x14057B7EF767814F)[starts]
 
 
 class Windows:
     """The chunk's candidate windows in order of their hash, the earliest of each sequence first."""
 
-    def __init__(self, words: np.ndarray, again: np.ndarray, starts: np.ndarray, window: int):
-        high = sequence_hashes(words, starts, window, 0x5851F42D4C957F2D)
-        low = sequence_hashes(again, starts, window, 0x14057B7EF767814F)
+    def __init__(self, high: np.ndarray, low: np.ndarray, starts: np.ndarray):
         order = np.argsort(high, kind="stable")
         high, low = high[order], low[order]
         first = np.ones(len(order), bool)
@@ -176,7 +187,8 @@ def _ask(n_chunks: int, window: int, rounds: int):
         values, _ = parsed.names()
         open_ = parsed.candidates(values, packed.read_answers(values, packed.told(back, 0), n_chunks))
         again, _ = word_hashes(split, 1)
-        found = Windows(words, again, parsed.starts[open_], window)
+        asked = parsed.starts[open_]
+        found = Windows(*window_pairs(words, again, asked, window), asked)
         owners = np.repeat(np.arange(len(counts)), counts)
         rows = found.messages(owners, packed.id_order(ids), number, n_chunks)
         # Which windows were asked about goes back to the chunk unchanged.
@@ -218,10 +230,9 @@ def _remove(n_chunks: int, window: int):
         starts = starts[owner[: len(starts)] == owner[window - 1 :]] if n >= window else starts
         removed = np.zeros(n, bool)
         if len(starts):
-            asked = packed.told(back, 2)
-            open_ = packed.from_bits(next(iter(asked.values())), len(starts))
+            open_ = packed.from_bits(next(iter(packed.told(back, 2).values())), len(starts))
             again, _ = word_hashes(split, 1)
-            found = Windows(words, again, starts[open_], window)
+            found = Windows(*window_pairs(words, again, starts[open_], window), starts[open_])
             answers, later = packed.told(back, 1), ~found.first
             of_first = np.zeros(len(found.high), bool)
             for bucket, a, b in packed.bucket_cuts(found.high, n_chunks):
