@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -24,8 +25,16 @@ _FOLD = bytes(
 _shipped: set[str] = set()
 
 
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package's code to the executors of this application, once, through Spark's own file server."""
+    """Give the package's code to the executors of this application, once, through Spark's own file server.
+
+    Texts go to Python in batches of some megabytes, as large ones are held
+    several times over on both sides.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -58,6 +67,26 @@ def folded_words(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system; Spark keeps Python workers alive between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task function that leaves no freed memory behind."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A text column as UTF-8 without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -71,7 +100,7 @@ def count_words(text: Column) -> Column:
     ).otherwise(0).cast("long")
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `limit` bytes of text each, at least one row."""
     sizes = [len(x) if x else 0 for x in as_bytes(batch.column(column))]
     start = held = 0

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidewright.llm.common import as_bytes, folded_words, slices
+from tidewright.llm.common import as_bytes, folded_words, slices, tidy
 
 WIDTH = 10
 PART_BYTES = 1 << 20
@@ -118,7 +118,7 @@ def _scan(tables, own: int):
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
-    return run
+    return tidy(run)
 
 
 def contamination(

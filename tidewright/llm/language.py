@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tidewright.llm.common import as_bytes, slices
+from tidewright.llm.common import as_bytes, slices, tidy
 
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 16
@@ -187,7 +187,7 @@ def _predict(model):
                     names=[*batch.schema.names, *ADDED],
                 )
 
-    return run
+    return tidy(run)
 
 
 def _scores(texts: list[bytes], m: LanguageModel, piece: int = 1 << 20) -> np.ndarray:

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewright.llm.common import as_bytes, folded_space_words, slices
+from tidewright.llm.common import as_bytes, folded_space_words, slices, tidy
 from tidewright.llm.shingles import mix, shingle_sets
 from tidewright.session import written
 
@@ -69,7 +69,7 @@ def _signatures(width: int):
                     names=["doc_id", "n_shingles", "set_key", "sketch"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def _sets(width: int):
@@ -81,7 +81,7 @@ def _sets(width: int):
                     [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "held"]
                 )
 
-    return run
+    return tidy(run)
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +130,7 @@ def _neighbours(percent: int):
                 [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
 
-    return run
+    return tidy(run)
 
 
 def _estimated(least: float):
@@ -143,7 +143,7 @@ def _estimated(least: float):
                 kept.append(union_estimate(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= least)
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return run
+    return tidy(run)
 
 
 def union_estimate(x: np.ndarray, y: np.ndarray) -> float:
@@ -276,7 +276,7 @@ def _compare(percent: int, exact: bool):
         if len(held) > 1 and (pairs := edges(held)):
             yield out(pairs)
 
-    return run
+    return tidy(run)
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

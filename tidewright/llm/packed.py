@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import as_bytes
+from tidewright.llm.common import as_bytes, release_memory
 
 CHUNK_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -76,7 +76,8 @@ def unpack_ids(held: bytes) -> np.ndarray:
 
 
 def messages(rows: list[tuple]) -> pa.Table:
-    """(bucket, chunk, kind, body, docs) rows to a table."""
+    """(bucket, chunk, kind, body, docs) rows to a table; a chunk's last step."""
+    release_memory()
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     names = ["bucket", "chunk", "kind", "body", "docs"]
@@ -84,7 +85,8 @@ def messages(rows: list[tuple]) -> pa.Table:
 
 
 def answers(rows: list[tuple]) -> pa.Table:
-    """(chunk, bucket, kind, body) rows to a table."""
+    """(chunk, bucket, kind, body) rows to a table; a bucket's last step."""
+    release_memory()
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "bucket", "kind", "body"])

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.llm.common import as_bytes, slices, space_words
+from tidewright.llm.common import as_bytes, slices, space_words, tidy
 
 SAMPLE = 2000
 EPOCHS = 4
@@ -265,7 +265,7 @@ def _judge(field):
                     names=[x.split()[0] for x in SCHEMA.split(", ")],
                 )
 
-    return run
+    return tidy(run)
 
 
 def judge(docs: DataFrame, field: LineField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

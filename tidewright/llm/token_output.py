@@ -27,7 +27,9 @@ kept; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,12 +38,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm.common import as_bytes, slices, space_words
+from tidewright.llm.common import as_bytes, slices, space_words, tidy
 from tidewright.session import work_dir
 
 END_ID = 1
 # Words that a worker keeps encoded; more only cost encoding again.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 BLOCK_IDS = 1 << 18
 
 TOKENS = "part int, seq long, before long, doc_id long, ids binary"
@@ -50,8 +52,6 @@ BLOCKS = (
 )
 READ = "doc_id long, part int, in_part long, n_tokens long, ids binary"
 
-_SEPARATOR = "\x01"
-
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -59,48 +59,100 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# What the tokenizer of the queries does before its merges. Fixed values of its file.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+# ASCII without the apostrophe, and the letters of Latin-1: composed, in simple pairs of cases.
+_EASY = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_PIECES = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary; white space stays."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return letters | {32: " "}
+
+
 class WordEncoder:
     """Whole texts to ids by way of their distinct words.
 
     Only for tokenizers in which ASCII white space always parts tokens and
-    leaves none itself.
+    leaves none itself. If the file normalizes and splits as stated above, words
+    of simple characters are normalized and split here, and the library merges
+    each distinct piece once; all others go through the whole library.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.cache: dict[bytes, bytes] = {}
         self.limit = limit
-        self.mark = self._ids(_SEPARATOR)
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        steps = parts["pre_tokenizer"].get("pretokenizers", []) if parts["pre_tokenizer"] else []
+        self.merges = None
+        if (
+            parts["normalizer"] == _NORMALIZER
+            and parts["model"].get("end_of_word_suffix") == "</w>"
+            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"] == _SPLIT
+            and steps[0]["behavior"] == "Removed"
+            and steps[0]["invert"]
+            and not steps[1]["add_prefix_space"]
+        ):
+            self.merges = Tokenizer.from_file(path)
+            self.merges.normalizer = normalizers.Sequence([])
+            self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            self.ends = np.zeros(self.size, bool)
+            for token, number in parts["model"]["vocab"].items():
+                self.ends[number] = token.endswith("</w>")
+            self.letters = _byte_letters()
+
+    def _merged(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of every piece; each ends with the one token that closes a word."""
+        found: dict[str, bytes] = {}
+        width = self.dtype.itemsize
+        for at in range(0, len(pieces), 50_000):
+            part = pieces[at : at + 50_000]
+            text = " ".join(part).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * width
+            raw, start = ids.tobytes(), 0
+            for piece, stop in zip(part, stops.tolist(), strict=True):
+                found[piece] = raw[start:stop]
+                start = stop
+        return found
 
     def _learn(self, words: list[bytes]) -> None:
-        """Many words go through the library as one text, parted by a word of one known id."""
-        plain = [w for w in words if b"\x01" not in w] if len(self.mark) == 1 else []
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            text = f" {_SEPARATOR} ".join([w.decode("utf-8", "replace") for w in part])
-            ids = np.array(self._ids(text), self.dtype)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(part) - 1:
-                plain = plain[:at]
-                break
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            starts = np.concatenate(([0], cuts + 1)) * width
-            stops = np.append(cuts, len(ids)) * width
-            self.cache.update(
-                zip(part, [raw[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)], strict=True)
-            )
-        if len(plain) < len(words):
-            for w in words:
-                if w not in self.cache:
-                    self.cache[w] = np.array(self._ids(w.decode("utf-8", "replace")), self.dtype).tobytes()
+        hard = words
+        if self.merges is not None:
+            plain = [w for w in words if w.isalpha()]
+            rest = [w for w in words if not w.isalpha()]
+            easy = [w for w in rest if _EASY.fullmatch(w) and b"<|" not in w]
+            known = set(easy)
+            hard = [w for w in rest if w not in known]
+            lower = b" ".join(plain).lower().decode().split(" ") if plain else []
+            parts = [_PIECES.findall(w.decode().lower()) for w in easy]
+            merged = self._merged(list({*lower, *(p for part in parts for p in part)}))
+            self.cache.update(zip(plain, map(merged.__getitem__, lower), strict=True))
+            for word, part in zip(easy, parts, strict=True):
+                self.cache[word] = b"".join([merged[p] for p in part])
+        texts = [w.decode("utf-8", "replace") for w in hard]
+        for word, found in zip(hard, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self.cache[word] = np.array(found.ids, self.dtype).tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text, the end id last, as bytes of `dtype`."""
@@ -146,7 +198,7 @@ def _encode(path: str):
                 seq += n
                 before += int(counts.sum())
 
-    return run
+    return tidy(run)
 
 
 def _count(dtype: np.dtype, size: int):
@@ -158,7 +210,7 @@ def _count(dtype: np.dtype, size: int):
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    return run
+    return tidy(run)
 
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -217,7 +269,7 @@ def _blocks(dtype: np.dtype, rank_of):
         if held:
             yield flush()
 
-    return run
+    return tidy(run)
 
 
 def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -280,7 +332,7 @@ def _decode(id_of):
                     names=["doc_id", "part", "in_part", "n_tokens", "ids"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def read_tokens(spark: SparkSession, out: str) -> DataFrame:
