@@ -120,8 +120,8 @@ def test_recompression_matches_brute_force(docs, none):
     assert recompression.without_repeats(none).count() == 0
 
 
-@pytest.mark.parametrize("hot_chunks", [1, 64])
-def test_byte_repeats_match_brute_force(docs, none, hot_chunks):
+@pytest.mark.parametrize("hot", [1, 4, 4096])
+def test_byte_repeats_match_brute_force(docs, none, hot):
     seen, want = set(), []
     for number, text in _in_order():
         raw = text.encode()
@@ -131,7 +131,7 @@ def test_byte_repeats_match_brute_force(docs, none, hot_chunks):
                 gone[i : i + 100] = True
             seen.add(raw[i : i + 100])
         want.append((number, len(raw), int(gone.sum()), np.frombuffer(raw, np.uint8)[~gone].tobytes()))
-    found = byte_repeats.without_repeats(docs, hot_chunks=hot_chunks)
+    found = byte_repeats.without_repeats(docs, hot=hot)
     got = [(r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in found.collect()]
     assert sorted(map(_key, got)) == sorted(map(_key, want))
     assert byte_repeats.without_repeats(none).count() == 0

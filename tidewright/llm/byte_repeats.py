@@ -9,9 +9,9 @@
    Where a name has different pieces, a Burrows-Wheeler transform of them is
    expanded to the window length (see `interval_expansion`), which gives the
    classes of equal windows; the earliest window of a class stays.
-3. Names that HOT_CHUNKS chunks or more hold would gather too many pieces in one
-   bucket. Their windows are dealt out one by one by a 104-bit hash of their
-   bytes instead (beside the bucket's own bits), once per chunk.
+3. Names that stand HOT times or more would gather too many pieces in one bucket.
+   Their windows are dealt out one by one by a 104-bit hash of their bytes
+   instead (beside the bucket's own bits), once per chunk.
 
 Texts are shuffled once and read by three passes; what goes between are packed
 values, pieces and bits (see `packed`).
@@ -36,7 +36,7 @@ from tidewright.llm.recompression import Windows, cover, later_answers, sequence
 
 WINDOW = 100
 SEED_BYTES = 40
-HOT_CHUNKS = 64
+HOT = 4096
 BLOCK_BYTES = 1_000_000
 RESULT = "doc_id long, n_bytes long, n_removed long, starts array<int>, stops array<int>, kept binary"
 
@@ -116,28 +116,18 @@ def _name(n_chunks: int, window: int, seed: int):
     def run(key: tuple[pa.Scalar, ...], chunk: pa.Table) -> pa.Table:
         _, texts = packed.in_order(chunk)
         found = Named(texts, window, seed)
-        return packed.messages(packed.value_messages(found.values, found.counts > 1, key[0].as_py(), n_chunks))
+        return packed.messages(packed.value_messages(found.values, found.counts, key[0].as_py(), n_chunks))
 
     return run
 
 
-def _repeated(hot_chunks: int):
+def _repeated(hot: int):
     def run(key: tuple[pa.Scalar, ...], bucket: pa.Table) -> pa.Table:
-        return packed.answers(packed.value_answers(bucket) + _held_by_many(bucket, hot_chunks))
+        return packed.answers(packed.value_answers(bucket, {0: 2, 1: hot}))
 
     return run
 
 
-def _held_by_many(bucket: pa.Table, hot_chunks: int) -> list[tuple]:
-    rows = bucket.to_pylist()
-    sent = [packed.from_low_bytes(np.frombuffer(r["body"], np.uint8).reshape(-1, 5)) for r in rows]
-    if not sent:
-        return []
-    values, n = np.unique(np.concatenate(sent), return_counts=True)
-    many = values[n >= hot_chunks]
-    return [(r["chunk"], r["bucket"], 1, packed.bits(np.isin(s, many))) for r, s in zip(rows, sent, strict=True)]
-
-
 def _ask(n_chunks: int, window: int, seed: int):
     def run(key: tuple[pa.Scalar, ...], chunk: pa.Table, back: pa.Table) -> pa.Table:
         if not chunk.num_rows:
@@ -343,7 +333,7 @@ def without_repeats(
     text_col: str = "text",
     window: int = WINDOW,
     seed: int = SEED_BYTES,
-    hot_chunks: int = HOT_CHUNKS,
+    hot: int = HOT,
 ) -> DataFrame:
     """Every document without the bytes of windows that start earlier elsewhere.
 
@@ -353,7 +343,7 @@ def without_repeats(
     texts, n = packed.chunked(docs, id_col, text_col)
     by_chunk = texts.groupBy("chunk")
     named = by_chunk.applyInArrow(_name(n, window, seed), packed.MESSAGES)
-    repeated = named.groupBy("bucket").applyInArrow(_repeated(hot_chunks), packed.ANSWERS)
+    repeated = named.groupBy("bucket").applyInArrow(_repeated(hot), packed.ANSWERS)
     asked = by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_ask(n, window, seed), packed.MESSAGES)
     told = asked.groupBy("bucket").applyInArrow(_answer(window), packed.ANSWERS)
     return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_remove(n, window), RESULT)

@@ -100,33 +100,34 @@ def from_bits(held: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(held, np.uint8), count=n).astype(bool)
 
 
-def value_messages(values: np.ndarray, twice: np.ndarray, chunk: int, n_buckets: int, kind: int = 0) -> list[tuple]:
-    """Sorted distinct values, five bytes each, and whether the chunk itself holds them twice."""
+def value_messages(values: np.ndarray, counts: np.ndarray, chunk: int, n_buckets: int, kind: int = 0) -> list[tuple]:
+    """Sorted distinct values, five bytes each, and how often the chunk holds them (one byte, 255 for more)."""
+    often = np.minimum(counts, 255).astype(np.uint8)
     return [
-        (bucket, chunk, kind, low_bytes(values[a:b], 5).tobytes(), bits(twice[a:b]))
+        (bucket, chunk, kind, low_bytes(values[a:b], 5).tobytes(), often[a:b].tobytes())
         for bucket, a, b in bucket_cuts(values, n_buckets)
     ]
 
 
-def value_answers(bucket: pa.Table, kind: int = 0) -> list[tuple]:
-    """For every chunk, one bit per value: held twice or by another chunk."""
+def value_answers(bucket: pa.Table, least: dict[int, int]) -> list[tuple]:
+    """For every chunk and kind of answer, one bit per value: all chunks hold it `least[kind]` times or more."""
     rows = bucket.to_pylist()
     if not rows:
         return []
     sent = [np.frombuffer(r["body"], np.uint8).reshape(-1, 5) for r in rows]
-    twice = np.concatenate([from_bits(r["docs"], len(s)) for r, s in zip(rows, sent, strict=True)])
+    counts = np.concatenate([np.frombuffer(r["docs"], np.uint8) for r in rows])
     values = from_low_bytes(np.concatenate(sent))
     order = np.argsort(values)
     ordered = values[order]
     new = np.ones(len(values), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     group = np.cumsum(new) - 1
-    held = np.bincount(group, weights=1 + twice[order]) > 1
-    repeated = np.empty(len(values), bool)
-    repeated[order] = held[group]
+    total = np.empty(len(values), np.int64)
+    total[order] = np.bincount(group, weights=counts[order])[group].astype(np.int64)
     out, at = [], 0
     for r, s in zip(rows, sent, strict=True):
-        out.append((r["chunk"], r["bucket"], kind, bits(repeated[at : at + len(s)])))
+        own = total[at : at + len(s)]
+        out += [(r["chunk"], r["bucket"], kind, bits(own >= n)) for kind, n in least.items()]
         at += len(s)
     return out
 

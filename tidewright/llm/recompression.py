@@ -89,9 +89,8 @@ class Parsed:
         self.symbols, self.low, self.high = symbols, low, high
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct names and whether they stand twice in the chunk."""
-        values, n = np.unique(self.symbols, return_counts=True)
-        return values, n > 1
+        """Sorted distinct names and how often they stand in the chunk."""
+        return np.unique(self.symbols, return_counts=True)
 
     def candidates(self, values: np.ndarray, repeated: np.ndarray) -> np.ndarray:
         """Windows without a name that stands in one place only."""
@@ -169,8 +168,8 @@ def _name(n_chunks: int, window: int, rounds: int):
     def run(key: tuple[pa.Scalar, ...], chunk: pa.Table) -> pa.Table:
         _, texts = packed.in_order(chunk)
         words, counts = word_hashes([space_words(t) for t in texts])
-        values, twice = Parsed(words, counts, window, rounds).names()
-        return packed.messages(packed.value_messages(values, twice, key[0].as_py(), n_chunks))
+        values, often = Parsed(words, counts, window, rounds).names()
+        return packed.messages(packed.value_messages(values, often, key[0].as_py(), n_chunks))
 
     return run
 
@@ -206,7 +205,7 @@ def _answer(key: tuple[pa.Scalar, ...], bucket: pa.Table) -> pa.Table:
 
 
 def _repeated(key: tuple[pa.Scalar, ...], bucket: pa.Table) -> pa.Table:
-    return packed.answers(packed.value_answers(bucket))
+    return packed.answers(packed.value_answers(bucket, {0: 2}))
 
 
 def spans(covered: np.ndarray) -> tuple[list[int], list[int]]:
