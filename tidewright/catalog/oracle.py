@@ -584,7 +584,7 @@ FROM snap WHERE rate IS NOT NULL AND runs > 0""",
         "PullRequestEvent",
         f"""CASE WHEN k % 2 = 0 THEN 'closed' ELSE 'opened' END AS action, event_id AS pr_number,
   {_text('k % 4 = 0')} AS is_merged, {_text('k % 3 = 0')} AS is_draft, 'main' AS target_branch,
-  {_text('k')} AS additions, CAST(NULL AS VARCHAR) AS deletions""",
+  {_text('k')} AS additions, {_text('k // 2')} AS deletions, {_text('k % 5')} AS changed_files""",
     ),
     "validate_issues": _metric(
         "IssuesEvent",
@@ -626,8 +626,10 @@ ORDER BY failed_at DESC, event_id LIMIT 20""",
     + """SELECT raw_type AS event_type, error_reason, 2 * count(*) AS n FROM raw WHERE NOT ok
 GROUP BY ALL""",
     "ingest_counters": _with(EV, RAW)
-    + """SELECT 2 * count(*) AS received, 2 * count(*) FILTER (NOT ok) AS dead_lettered,
-  CAST(0 AS BIGINT) AS skipped, count(*) FILTER (ok) AS written FROM raw""",
+    + f"""SELECT 3 * count(*) AS received, 3 * count(*) FILTER (NOT ok) AS dead_lettered,
+  CAST(0 AS BIGINT) AS skipped, count(*) FILTER (ok) AS duplicate_in_batch,
+  count(*) FILTER (ok) AS already_stored,
+  2 * count(*) FILTER (ok AND {ROUTED_DATE} = 'late') AS late, count(*) FILTER (ok) AS written FROM raw""",
     "stream_metrics": _with(EV, RAW)
     + """SELECT event_type, count(*) AS events, CAST(0 AS BIGINT) AS with_type_key
 FROM raw WHERE ok GROUP BY 1""",

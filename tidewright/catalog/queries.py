@@ -437,7 +437,7 @@ _METRICS = {
     "validate_push": ("PushEvent", ["commit_count", "branch", "is_default_branch", "distinct_size"]),
     "validate_pull_request": (
         "PullRequestEvent",
-        ["action", "pr_number", "is_merged", "is_draft", "target_branch", "additions", "deletions"],
+        ["action", "pr_number", "is_merged", "is_draft", "target_branch", "additions", "deletions", "changed_files"],
     ),
     "validate_issues": (
         "IssuesEvent",
@@ -559,9 +559,12 @@ def stream_dead_letters(spark, sf):
 
 @query
 def ingest_counters(spark, sf):
-    paths = _ingested(spark, sf)
-    totals = ingest.ingest_counters(spark, paths.counters)
-    return totals.select("received", "dead_lettered", "skipped", "written")
+    """One batch as it came and one in which everything comes twice again."""
+    root = work_dir(spark, "counters")
+    paths = ingest.IngestPaths(f"{root}/events", f"{root}/dead", counters=f"{root}/counters")
+    for batch, rows in (("c-0", roles.raw_events(spark, sf)), ("c-1", _redelivered(spark, sf))):
+        ingest.ingest_batch(rows, paths, batch, THRESHOLD_HOURS, STAMP)
+    return ingest.ingest_counters(spark, paths.counters)
 
 
 @query

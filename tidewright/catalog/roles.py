@@ -96,6 +96,8 @@ def _payload() -> Column:
             (k % 4 == 0).alias("merged"),
             (k % 3 == 0).alias("draft"),
             k.alias("additions"),
+            F.floor(k / 2).alias("deletions"),
+            (k % 5).alias("changed_files"),
             F.struct(F.lit("main").alias("ref")).alias("base"),
             _iso(opened).alias("created_at"),
             _iso(F.col("created_at")).alias("merged_at"),

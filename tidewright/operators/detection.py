@@ -28,16 +28,16 @@ def anomaly_id(anomaly_type: Column, detected_at: Column, repo: Column) -> Colum
 
 
 def _record(
-    rows: DataFrame,
     as_of: int,
     anomaly_type: str,
     title: Column,
     severity: Column,
     description: Column,
     metric: dict[str, Column],
-) -> DataFrame:
+) -> Column:
+    """An anomaly of the row's repository as one struct."""
     pairs = [c for k, v in metric.items() for c in (F.lit(k), v.cast("double"))]
-    return rows.select(
+    return F.struct(
         anomaly_id(F.lit(anomaly_type), at_time(as_of), F.col("repo_name")).alias("anomaly_id"),
         F.lit(anomaly_type).alias("type"),
         title.alias("title"),
@@ -50,11 +50,17 @@ def _record(
     )
 
 
+def _records(rows: DataFrame, *rules: tuple[Column, Column]) -> DataFrame:
+    """The records of all rules that hold, from one pass over the rows."""
+    found = F.array_compact(F.array(*[F.when(test, record) for test, record in rules]))
+    return rows.select(F.explode(found).alias("r")).select("r.*")
+
+
 def failure_spike(rates: DataFrame, as_of: int, window_hours: float = 24) -> DataFrame:
     """Failure rate above max(1.5 x baseline, 0.2) with enough runs."""
     rate = F.col("recent_failure_rate")
     base = F.coalesce("baseline_failure_rate", F.lit(0.0))
-    hits = rates.where(
+    test = (
         rate.isNotNull()
         & (F.col("recent_runs") >= MIN_CI_RUNS)
         & (rate > F.greatest(base * 1.5, F.lit(0.2)))
@@ -63,8 +69,7 @@ def failure_spike(rates: DataFrame, as_of: int, window_hours: float = 24) -> Dat
     severity = F.when((ratio >= 3) | (rate >= 0.5), "high").otherwise(
         descending_band(ratio, [(2, "medium")], "low")
     )
-    return _record(
-        hits,
+    record = _record(
         as_of,
         "ci_failure_spike",
         F.concat(F.lit("CI failure rate spiked to "), percent(rate)),
@@ -82,19 +87,19 @@ def failure_spike(rates: DataFrame, as_of: int, window_hours: float = 24) -> Dat
             "baseline_runs": F.col("baseline_runs"),
         },
     )
+    return _records(rates, (test, record))
 
 
-def merge_stretch(times: DataFrame, as_of: int, window_hours: float = 24) -> DataFrame:
-    """Mean merge time above 1.5 x baseline with enough merges on both sides."""
+def _merge_stretch(as_of: int, window_hours: float) -> tuple[Column, Column]:
     recent, base = F.col("recent_avg_merge_hours"), F.col("baseline_avg_merge_hours")
-    hits = times.where(
+    ratio = F.try_divide(recent, base)
+    test = (
         (base > 0)
         & (F.col("recent_merged") >= MIN_MERGED)
         & (F.col("baseline_merged") >= MIN_MERGED)
-    ).withColumn("ratio", F.try_divide(recent, base))
-    ratio = F.col("ratio")
-    return _record(
-        hits.where(ratio > 1.5),
+        & (ratio > 1.5)
+    )
+    return test, _record(
         as_of,
         "merge_time_anomaly",
         F.format_string("PR merge time %sx above baseline", one_decimal(ratio)),
@@ -114,15 +119,18 @@ def merge_stretch(times: DataFrame, as_of: int, window_hours: float = 24) -> Dat
     )
 
 
-def activity_drought(rates: DataFrame, as_of: int, window_hours: float = 24) -> DataFrame:
-    """Event rate below 0.3 x a baseline of at least one event per hour."""
+def merge_stretch(times: DataFrame, as_of: int, window_hours: float = 24) -> DataFrame:
+    """Mean merge time above 1.5 x baseline with enough merges on both sides."""
+    return _records(times, _merge_stretch(as_of, window_hours))
+
+
+def _activity_drought(as_of: int, window_hours: float) -> tuple[Column, Column]:
     recent, base = F.col("recent_pushes_per_hour"), F.col("baseline_pushes_per_hour")
-    hits = rates.where((base >= MIN_BASELINE_RATE) & (recent < base * 0.3))
+    test = (base >= MIN_BASELINE_RATE) & (recent < base * 0.3)
     severity = (
         F.when(recent == 0, "high").when(recent < base * 0.15, "medium").otherwise("low")
     )
-    return _record(
-        hits,
+    return test, _record(
         as_of,
         "commit_drought",
         F.format_string("Commit activity dropped to %s/h", one_decimal(recent)),
@@ -136,6 +144,11 @@ def activity_drought(rates: DataFrame, as_of: int, window_hours: float = 24) ->
     )
 
 
+def activity_drought(rates: DataFrame, as_of: int, window_hours: float = 24) -> DataFrame:
+    """Event rate below 0.3 x a baseline of at least one event per hour."""
+    return _records(rates, _activity_drought(as_of, window_hours))
+
+
 def detect_all(
     events: DataFrame,
     runs: DataFrame,
@@ -144,7 +157,7 @@ def detect_all(
     window_hours: float = windowed.WINDOW_HOURS,
     baseline_hours: float = windowed.BASELINE_HOURS,
 ) -> DataFrame:
-    """Every rule, one union; silent rules contribute nothing.
+    """Every rule; silent rules contribute nothing. Events are read once, runs once.
 
     Without `repo` the result covers the whole stream (repo NULL) and every
     single repository. With it, the event rules look at that repository only
@@ -152,17 +165,12 @@ def detect_all(
     """
     scoped = windowed.for_repo(events, repo)
     rates = windowed.failure_rates(runs, as_of, window_hours, baseline_hours)
-    times = windowed.merge_times(scoped, as_of, window_hours, baseline_hours)
-    pushes = windowed.push_rates(scoped, as_of, window_hours, baseline_hours)
+    activity = windowed.event_windows(scoped, as_of, window_hours, baseline_hours)
     if repo:
         rates = rates.where(F.col("scope") == "all")
-        times = times.where(F.col("scope") == "all").withColumn("repo_name", F.lit(repo))
-        pushes = pushes.where(F.col("scope") == "all").withColumn("repo_name", F.lit(repo))
-    return (
-        failure_spike(rates, as_of, window_hours)
-        .unionByName(merge_stretch(times, as_of, window_hours))
-        .unionByName(activity_drought(pushes, as_of, window_hours))
-    )
+        activity = activity.where(F.col("scope") == "all").withColumn("repo_name", F.lit(repo))
+    found = _records(activity, _merge_stretch(as_of, window_hours), _activity_drought(as_of, window_hours))
+    return failure_spike(rates, as_of, window_hours).unionByName(found)
 
 
 def paired(*metrics: DataFrame) -> DataFrame:
@@ -200,8 +208,7 @@ def health_signal(
     scoped = windowed.for_repo(events, repo)
     rows = paired(
         windowed.failure_rates(runs, as_of, window_hours, baseline_hours),
-        windowed.merge_times(scoped, as_of, window_hours, baseline_hours),
-        windowed.push_rates(scoped, as_of, window_hours, baseline_hours),
+        windowed.event_windows(scoped, as_of, window_hours, baseline_hours),
     )
     if repo:
         rows = rows.where(F.col("scope") == "all")

@@ -202,6 +202,53 @@ def push_rates(
     )
 
 
+def event_windows(
+    events: DataFrame,
+    as_of: int,
+    window_hours: float = WINDOW_HOURS,
+    baseline_hours: float = BASELINE_HOURS,
+) -> DataFrame:
+    """Columns of `merge_times` and `push_rates` side by side, from one scan of the events.
+
+    A repository has a row when it has a merge or a push in the span.
+    """
+    is_push, recent = F.col("event_type") == "PushEvent", F.col("_recent")
+    span = _span(
+        events.where(F.col("event_type").isin("PushEvent", "PullRequestEvent")),
+        as_of, window_hours, baseline_hours,
+    )
+    parsed = evaluated_once(span, {"pr": F.from_json(F.when(~is_push, F.col("payload_json")), _PR_PAYLOAD)})
+    merged = F.coalesce((F.col("pr.action") == "closed") & (F.col("pr.pull_request.merged") == "true"), F.lit(False))
+    hours = hours_between(
+        J.iso_timestamp(F.col("pr.pull_request.created_at")), J.iso_timestamp(F.col("pr.pull_request.merged_at"))
+    )
+    rows = parsed.select("repo_name", "_recent", is_push.alias("_push"), merged.alias("_merged"), hours.alias("hours")).where(
+        "_push or _merged"
+    )
+    push, merge = F.col("_push"), F.col("_merged")
+    sums = per_repo_and_total(
+        rows,
+        _partial("recent_merged", recent & merge)
+        + _partial("recent", recent & merge, F.col("hours"))
+        + _partial("baseline_merged", ~recent & merge)
+        + _partial("baseline", ~recent & merge, F.col("hours"))
+        + _partial("recent_pushes", recent & push)
+        + _partial("baseline_pushes", ~recent & push),
+    )
+    return sums.select(
+        "scope",
+        "repo_name",
+        _ratio(F.col("recent_sum"), F.col("recent_n")).alias("recent_avg_merge_hours"),
+        "recent_merged",
+        _ratio(F.col("baseline_sum"), F.col("baseline_n")).alias("baseline_avg_merge_hours"),
+        "baseline_merged",
+        (F.col("recent_pushes") / F.lit(float(window_hours))).alias("recent_pushes_per_hour"),
+        "recent_pushes",
+        (F.col("baseline_pushes") / F.lit(float(baseline_hours - window_hours))).alias("baseline_pushes_per_hour"),
+        "baseline_pushes",
+    )
+
+
 def merged_recent(
     events: DataFrame,
     as_of: int,
