@@ -183,6 +183,13 @@ def _anomaly_id(kind: str, at: str, repo: str = "repo_name") -> str:
     )
 
 
+def _metric_text(**values: str) -> str:
+    parts = [
+        f"'{name}=' || printf('%.3f', round_even(CAST({x} AS DOUBLE), 3))" for name, x in sorted(values.items())
+    ]
+    return " || ';' || ".join(parts) + " AS metric"
+
+
 def spike(as_of: str, window: int = 24) -> str:
     base = "coalesce(baseline_failure_rate, 0)"
     return f"""
@@ -193,7 +200,9 @@ spike AS (
       THEN 'high' WHEN recent_failure_rate / {base} >= 2 THEN 'medium' ELSE 'low' END AS severity,
     'CI failure rate over the last {window}h is ' || {_pct('recent_failure_rate')} || ' (' ||
       recent_runs || ' runs), vs a ' || {_pct(base)} || ' baseline.' AS description,
-    repo_name AS repo
+    repo_name AS repo,
+    {_metric_text(recent_failure_rate="recent_failure_rate", baseline_failure_rate=base,
+                  recent_runs="recent_runs", baseline_runs="baseline_runs")}
   FROM ci_r WHERE recent_runs >= 5 AND recent_failure_rate > greatest(1.5 * {base}, 0.2)
 )"""
 
@@ -207,7 +216,9 @@ stretch AS (
     CASE WHEN {ratio} >= 3 THEN 'high' WHEN {ratio} >= 2 THEN 'medium' ELSE 'low' END AS severity,
     'PRs merged in the last {window}h averaged ' || {_one('recent_avg_merge_hours')} ||
       'h open-to-merge, vs a ' || {_one('baseline_avg_merge_hours')} || 'h baseline.' AS description,
-    repo_name AS repo
+    repo_name AS repo,
+    {_metric_text(recent_avg_merge_hours="recent_avg_merge_hours", recent_merged="recent_merged",
+                  baseline_avg_merge_hours="baseline_avg_merge_hours", ratio=ratio)}
   FROM pr_r WHERE recent_merged >= 3 AND baseline_merged >= 3 AND baseline_avg_merge_hours > 0
     AND {ratio} > 1.5
 )"""
@@ -223,7 +234,8 @@ drought AS (
       ELSE 'low' END AS severity,
     'PushEvents averaged ' || {_one(recent)} || '/h over the last {window}h, vs a ' ||
       {_one(base)} || '/h baseline.' AS description,
-    repo_name AS repo
+    repo_name AS repo,
+    {_metric_text(recent_pushes_per_hour=recent, baseline_pushes_per_hour=base)}
   FROM push_r WHERE {base} >= 1 AND {recent} < 0.3 * {base}
 )"""
 
@@ -241,6 +253,24 @@ ALL_ANOMALIES = (
   SELECT anomaly_id, type, severity, repo FROM drought)"""
 )
 
+# Window hours, baseline hours and hours after the newest event, chosen so that rules speak up.
+RULE_TIMES = ((24, 168, 20), (6, 168, 0), (2, 48, 1), (12, 336, -100), (48, 336, 0))
+
+
+def _anomalies_at(window: int, baseline: int, shift: int, where: dict[str, str] | None = None) -> str:
+    at = f"({AS_OF} + to_hours({shift}))"
+    tests = where or dict.fromkeys(("spike", "stretch", "drought"), "true")
+    rules = " UNION ALL ".join(f"SELECT * FROM {rule} WHERE {test}" for rule, test in tests.items())
+    return (
+        "SELECT * FROM ("
+        + _with(
+            EV, CI, ci_rates(at, window, baseline), merges(at, window, baseline), pushes(at, window, baseline),
+            spike(at, window), stretch(at, window), drought(at, window),
+        )
+        + f"SELECT anomaly_id, type, severity, repo, metric, {at} AS detected_at FROM ({rules}))"
+    )
+
+
 SNAP = (
     f"""
 wf AS (
@@ -506,22 +536,14 @@ WHERE rank <= 3""",
         EV, pushes(f"({AS_OF} + to_hours(22))"), drought(f"({AS_OF} + to_hours(22))")
     )
     + "SELECT * FROM drought",
-    "all_anomalies": ALL_ANOMALIES,
+    "all_anomalies": "\nUNION ALL\n".join(_anomalies_at(*times) for times in RULE_TIMES),
     "anomaly_sweep": ALL_ANOMALIES,
-    "repo_anomalies": _with(
-        EV.replace("FROM (SELECT *,", "FROM (SELECT *,"),
-        CI,
-        ci_rates(LATER),
-        merges(LATER),
-        pushes(LATER),
-        spike(LATER),
-        stretch(LATER),
-        drought(LATER),
-    )
-    + f"""SELECT anomaly_id, type, severity, repo, {LATER} AS detected_at FROM (
-  SELECT * FROM spike WHERE repo IS NULL UNION ALL
-  SELECT * FROM stretch WHERE repo = 'org/repo-3' UNION ALL
-  SELECT * FROM drought WHERE repo = 'org/repo-3')""",
+    "repo_anomalies": "\nUNION ALL\n".join(
+        _anomalies_at(
+            *times, {"spike": "repo IS NULL", "stretch": "repo = 'org/repo-3'", "drought": "repo = 'org/repo-3'"}
+        )
+        for times in RULE_TIMES
+    ),
     "health_signal": _with(EV, CI, ci_rates(), merges(), pushes())
     + """SELECT scope, nullif(key, '') AS repo_name,
   CASE WHEN rate IS NULL THEN 'unknown' WHEN rate >= 0.35 THEN 'alert' WHEN rate >= 0.15 THEN 'warn'

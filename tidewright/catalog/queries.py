@@ -245,8 +245,8 @@ def _anomaly_columns(found: DataFrame) -> DataFrame:
 def rule_failure_spike(spark, sf):
     at = _as_of(spark, sf)
     rates = windowed.failure_rates(roles.ci_runs(spark, sf), at, 6)
-    return detection.failure_spike(rates, at, 6).select(
-        "anomaly_id", "type", "title", "severity", "description", "repo"
+    return _anomaly_columns(detection.failure_spike(rates, at, 6)).select(
+        "anomaly_id", "type", "title", "severity", "description", "repo", "metric"
     )
 
 
@@ -254,8 +254,8 @@ def rule_failure_spike(spark, sf):
 def rule_merge_stretch(spark, sf):
     at = _as_of(spark, sf)
     times = windowed.merge_times(roles.payload_events(spark, sf), at, 48, 336)
-    return detection.merge_stretch(times, at, 48).select(
-        "anomaly_id", "type", "title", "severity", "description", "repo"
+    return _anomaly_columns(detection.merge_stretch(times, at, 48)).select(
+        "anomaly_id", "type", "title", "severity", "description", "repo", "metric"
     )
 
 
@@ -263,26 +263,33 @@ def rule_merge_stretch(spark, sf):
 def rule_drought(spark, sf):
     at = _as_of(spark, sf, 22)
     rates = windowed.push_rates(roles.events(spark, sf), at)
-    return detection.activity_drought(rates, at).select(
-        "anomaly_id", "type", "title", "severity", "description", "repo"
+    return _anomaly_columns(detection.activity_drought(rates, at)).select(
+        "anomaly_id", "type", "title", "severity", "description", "repo", "metric"
     )
 
 
+# Window hours, baseline hours and hours after the newest event, chosen so that rules speak up.
+RULE_TIMES = ((24, 168, 20), (6, 168, 0), (2, 48, 1), (12, 336, -100), (48, 336, 0))
+
+
+def _anomalies_at_times(spark, sf, repo=None) -> DataFrame:
+    events, runs, found = roles.payload_events(spark, sf), roles.ci_runs(spark, sf), None
+    for window, baseline, shift in RULE_TIMES:
+        rows = detection.detect_all(events, runs, _as_of(spark, sf, shift), repo, window, baseline)
+        found = rows if found is None else found.unionByName(rows)
+    return _anomaly_columns(found).select("anomaly_id", "type", "severity", "repo", "metric", "detected_at")
+
+
 @query
 def all_anomalies(spark, sf):
-    at = _as_of(spark, sf, 20)
-    found = detection.detect_all(roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at)
-    return _anomaly_columns(found).select("anomaly_id", "type", "severity", "repo", "detected_at")
+    """All rules over the stream and every repository, at several times and windows."""
+    return _anomalies_at_times(spark, sf)
 
 
 @query
 def repo_anomalies(spark, sf):
     """The scalar form: one repository for the event rules."""
-    at = _as_of(spark, sf, 20)
-    found = detection.detect_all(
-        roles.payload_events(spark, sf), roles.ci_runs(spark, sf), at, repo="org/repo-3"
-    )
-    return _anomaly_columns(found).select("anomaly_id", "type", "severity", "repo", "detected_at")
+    return _anomalies_at_times(spark, sf, "org/repo-3")
 
 
 @query
