@@ -416,6 +416,23 @@ def test_compaction_cuts_a_large_partition(spark, tmp_path):
     assert tables.read_events(spark, path).select("event_id").distinct().count() == 40_000
 
 
+def test_compaction_mends_what_a_crash_left_twice(spark, paths, monkeypatch):
+    for batch in range(2):
+        ingest.ingest_batch(raw(spark, *[event(f"{batch}-{i}") for i in range(4)]), paths, f"s-{batch}", stamp=NOW)
+
+    def failing(*_):
+        raise OSError("killed")
+
+    monkeypatch.setattr(maintenance, "delete", failing)
+    with pytest.raises(OSError):
+        maintenance.compact(spark, paths.events)
+    monkeypatch.undo()
+    assert tables.read_events(spark, paths.events).count() == 16
+    maintenance.compact(spark, paths.events)
+    assert tables.read_events(spark, paths.events).count() == 8
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != "536870912"
+
+
 def test_compact_missing_table(spark, tmp_path):
     assert maintenance.compact(spark, str(tmp_path / "none")).count() == 0
 

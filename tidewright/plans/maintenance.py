@@ -48,24 +48,36 @@ def _merge(
     """Merge the listed files, publish the result, then drop the originals.
 
     Publishing before deleting means a crash in between leaves rows twice,
-    never none. Readers skip the staging folder because of its underscore.
+    never none. A partition with a published file may be left from such a
+    crash, so there repeated ids are dropped on the way in. Readers skip the
+    staging folder because of its underscore.
     """
     staging = f"{path.rstrip('/')}/_compacting-{uuid.uuid4().hex}"
-    sources = [f.path for files in groups.values() for f in files]
-    rows = spark.read.option("basePath", path).schema(EVENT_TABLE_SCHEMA).parquet(*sources)
-    size_key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size_key)
-    spark.conf.set(size_key, str(target_bytes))
-    try:
-        (
-            rows.hint("rebalance", F.col("date"))
-            .write.option("compression", "snappy")
-            .option("parquet.bloom.filter.enabled#event_id", "true")
-            .partitionBy("date")
-            .parquet(staging)
-        )
-    finally:
-        spark.conf.set(size_key, before)
+    # A session of its own: the target size must not change what others plan.
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    again = {
+        name for name, files in groups.items() if any("/compacted-" in f.path for f in files)
+    }
+
+    def rows_of(names) -> DataFrame | None:
+        sources = [f.path for name in names for f in groups[name]]
+        if not sources:
+            return None
+        return own.read.option("basePath", path).schema(EVENT_TABLE_SCHEMA).parquet(*sources)
+
+    plain, repeated = rows_of(groups.keys() - again), rows_of(again)
+    if repeated is not None:
+        repeated = repeated.dropDuplicates(["date", "event_id"])
+    rows = repeated if plain is None else plain if repeated is None else plain.unionByName(repeated)
+    (
+        rows.hint("rebalance", F.col("date"))
+        .write.option("compression", "snappy")
+        .option("parquet.bloom.filter.enabled#event_id", "true")
+        .partitionBy("date")
+        .parquet(staging)
+    )
     # One row per date.
     counts = {
         f"date={r['date']}": r["n"]
@@ -115,12 +127,6 @@ def compact(
     return spark.createDataFrame(sorted(summary, key=lambda r: r[0]), SUMMARY_SCHEMA)
 
 
-def compact_partition(
-    spark: SparkSession, path: str, partition: str, min_files: int = MIN_FILES
-) -> DataFrame:
-    return compact(spark, path, min_files, only=[partition])
-
-
 def compaction_totals(summary: DataFrame) -> DataFrame:
     return summary.agg(
         F.count_if(~F.col("skipped")).alias("compacted"),
