@@ -43,7 +43,7 @@ from tidewright.session import work_dir
 
 END_ID = 1
 # Words that a worker keeps encoded; more only cost encoding again.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 BLOCK_IDS = 1 << 18
 
 TOKENS = "part int, seq long, before long, doc_id long, ids binary"
@@ -93,7 +93,7 @@ class WordEncoder:
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -113,8 +113,8 @@ class WordEncoder:
             and steps[0]["invert"]
             and not steps[1]["add_prefix_space"]
         ):
-            self.merges = Tokenizer.from_file(path)
-            self.merges.normalizer = normalizers.Sequence([])
+            # The same model, held once.
+            self.merges = Tokenizer(self.tokenizer.model)
             self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
             self.ends = np.zeros(self.size, bool)
             for token, number in parts["model"]["vocab"].items():
