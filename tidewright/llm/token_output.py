@@ -43,7 +43,7 @@ from tidewright.session import work_dir
 
 END_ID = 1
 # Words that a worker keeps encoded; more only cost encoding again.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 320_000
 BLOCK_IDS = 1 << 18
 
 TOKENS = "part int, seq long, before long, doc_id long, ids binary"
