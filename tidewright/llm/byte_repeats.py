@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from tidewright.llm import packed
 from tidewright.llm.interval_expansion import repeat_classes
 from tidewright.llm.recompression import Windows, cover, later_answers, sequence_hashes, spans, window_pairs
+from tidewright.llm.shingles import mix
 
 WINDOW = 100
 SEED_BYTES = 40
@@ -73,7 +74,8 @@ class Named:
         padded = np.zeros(len(least) + 2 * (reach - 1), np.uint64)
         padded[reach - 1 : reach - 1 + len(least)] = np.where(self.valid, least, 0)
         places = np.flatnonzero(sliding(padded, reach, np.maximum) == hashed)
-        named = hashed[places]
+        # Least hashes crowd at the low end; mixed, they fill the buckets evenly.
+        named = mix(hashed[places])
         order = np.argsort(named, kind="stable")
         ordered, at = named[order], places[order]
         first = np.ones(len(order), bool)
@@ -92,7 +94,7 @@ class Named:
         start = np.flatnonzero(head)
         length = np.diff(np.append(start, len(least)))
         good = self.valid[start]
-        self.run_start, self.run_length, self.run_value = start[good], length[good], least[start[good]]
+        self.run_start, self.run_length, self.run_value = start[good], length[good], mix(least[start[good]])
 
 
 def _body(values, lengths, starts, close, strings: list[bytes]) -> bytes:
