@@ -22,9 +22,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, linked from 0.8 of their shingles on."""
     ship(spark)
-    return near_duplicates.without_near_duplicates(docs)
+    return near_duplicates.without_near_duplicates(docs, percent=80)
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,13 +4,16 @@
    form a class, of which one member goes on.
 2. A sketch is the `K` smallest hashes of a set. Runs of three consecutive
    retained values are the terms of inverted lists: two sets at the threshold
-   share each value of their common sketch with a chance of at least 0.85, so
-   that all 38 runs of the first 40 values miss with a chance under 1e-8, and
-   sets of up to 40 values can't miss.
+   share each value of their common sketch with at least that chance, and so many
+   first values are taken (53 at 0.80, 41 at 0.85) that all runs miss with a
+   chance of at most 1e-8; sets of up to so many values can't miss. Sets so short
+   that a link can part every run of three (4 and 5 values at 0.80, none at 0.85)
+   get their runs of two as well.
 3. In every list each set is paired with the one before it in order of size and
    with the list's first set of a size in reach. Pairs whose union sketch
-   estimates `ESTIMATE` or more (nearly five standard errors under the
-   threshold) get one label. Lists that still hold several labels are compared
+   estimates enough get one label; the least estimate comes from the threshold
+   (34 of 64 values at 0.80, 39 at 0.85) so that it drops a link with a chance of
+   at most 1e-6. Lists that still hold several labels are compared
    as a whole, with the same estimate.
 4. So every pair that can be a link is inside one label. There the full sets are
    compared exactly, and what is linked becomes one component.
@@ -20,6 +23,9 @@ of each, only the edges that join what was not joined yet go on, so groups of
 near copies never emit all their pairs, and no link between different texts is
 lost. Nothing is collected to the driver.
 
+The threshold is 0.8 unless given. Under 0.76 the `K` values of a sketch are too
+few for these chances, and the threshold is refused.
+
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; a document with fewer words than the shingle width has its whole
 sequence as one shingle; rows without an id are never linked and stay; rows
@@ -31,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +48,10 @@ from tidewright.llm.shingles import mix, shingle_sets
 from tidewright.session import written
 
 WIDTH = 5
-PERCENT = 85
+PERCENT = 80
 K = 64
-TERM_VALUES, RUN = 40, 3
-ESTIMATE = 0.63
+RUN = 3
+LIST_MISS, ESTIMATE_MISS = 1e-8, 1e-6
 PART = 10_000
 BLOCK = 2048
 SET_BLOCK = 1024
@@ -53,6 +60,33 @@ SIGNATURES = "doc_id long, n_shingles long, set_key binary, sketch binary"
 TERMS = "term long, node long, n long"
 
 
+def term_values(percent: int) -> int:
+    """How many sketch values make terms: the fewest whose runs all miss with a chance of at most `LIST_MISS`."""
+    p = percent / 100
+    # Chances that no run is complete yet, by the number of shared values at the end.
+    open_ = [1.0] + [0.0] * (RUN - 1)
+    for n in range(1, K + 1):
+        open_ = [(1 - p) * sum(open_), *(p * x for x in open_[:-1])]
+        if sum(open_) <= LIST_MISS:
+            return n
+    raise ValueError(f"sketches of {K} values are too short for a threshold of {percent} percent")
+
+
+def short_values(percent: int) -> int:
+    """Largest set in which the `d` unshared values of a link can part every run of three: 2 (d + 1) shared ones at most."""
+    gaps = 2 * (100 - percent) // (3 * percent - 200)
+    return 3 * gaps + 2 if gaps else 0
+
+
+def least_estimate(percent: int) -> float:
+    """The estimate that a pair at the threshold falls short of with a chance of at most `ESTIMATE_MISS`."""
+    p, count, below = percent / 100, 0, (1 - percent / 100) ** K
+    while count < K and below <= ESTIMATE_MISS:
+        count += 1
+        below += comb(K, count) * p**count * (1 - p) ** (K - count)
+    return count / K
+
+
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -84,24 +118,36 @@ def _sets(width: int):
     return tidy(run)
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        nodes, sizes = batch.column("node").to_numpy(), batch.column("n").to_numpy()
-        sketches = [np.frombuffer(s, np.uint64)[:TERM_VALUES] for s in batch.column("sketch").to_pylist()]
-        counts = np.array([max(0, len(s) - RUN + 1) for s in sketches], np.int64)
-        found = []
-        for s in sketches:
-            if len(s) >= RUN:
-                n = len(s) - RUN + 1
-                term = s[:n]
-                for k in range(1, RUN):
-                    term = mix(term + s[k : k + n])
-                found.append(term)
-        terms = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms), pa.array(np.repeat(nodes, counts)), pa.array(np.repeat(sizes, counts))],
-            names=["term", "node", "n"],
-        )
+def _runs_of(values: np.ndarray, run: int) -> np.ndarray:
+    """Hash of every `run` consecutive values."""
+    n = max(0, len(values) - run + 1)
+    term = values[:n]
+    for k in range(1, run):
+        term = mix(term + values[k : k + n])
+    return term
+
+
+def _terms(percent: int):
+    most, short = term_values(percent), short_values(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes = batch.column("node").to_numpy(), batch.column("n").to_numpy()
+            found = []
+            for sketch in batch.column("sketch").to_pylist():
+                values = np.frombuffer(sketch, np.uint64)[:most]
+                terms = _runs_of(values, RUN)
+                if len(values) <= short:
+                    terms = np.concatenate((terms, _runs_of(values, RUN - 1)))
+                found.append(terms)
+            counts = np.array([len(t) for t in found], np.int64)
+            terms = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms), pa.array(np.repeat(nodes, counts)), pa.array(np.repeat(sizes, counts))],
+                names=["term", "node", "n"],
+            )
+
+    return run
 
 
 def _neighbours(percent: int):
@@ -225,6 +271,7 @@ def _compare(percent: int, exact: bool):
     """
     kind = np.uint64 if exact else np.dtype("<u4")
     values = 30_000 if exact else 1 << 14
+    least = least_estimate(percent)
 
     def edges(rows) -> list[tuple[int, int]]:
         nodes = np.array([r[0] for r in rows])
@@ -250,7 +297,7 @@ def _compare(percent: int, exact: bool):
                     whole = shared.astype(np.int64)
                     open_ &= 100 * whole >= percent * (sizes[own][:, None] + sizes[other][None, :] - whole)
                 else:
-                    open_ &= _estimates(x, y, shared) >= ESTIMATE
+                    open_ &= _estimates(x, y, shared) >= least
                 p, q = np.nonzero(open_)
                 for a, b in zip(own[p].tolist(), other[q].tolist(), strict=True):
                     if forest.join(int(labels[a]), int(labels[b])):
@@ -340,11 +387,11 @@ def connected(links: DataFrame, purpose: str = "components") -> DataFrame:
             return labels
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose union sketch estimates enough."""
     sketches = nodes.select("node", "sketch")
     both = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-    return both.mapInArrow(_estimated(ESTIMATE), "a long, b long")
+    return both.mapInArrow(_estimated(least_estimate(percent)), "a long, b long")
 
 
 def components(
@@ -360,7 +407,7 @@ def components(
         ),
         "sketches",
     )
-    terms = nodes.select("node", "n", "sketch").mapInArrow(_terms, TERMS)
+    terms = nodes.select("node", "n", "sketch").mapInArrow(_terms(percent), TERMS)
     longer = terms.groupBy("term").agg(F.count("*").alias("length")).where("length > 1")
     lists = written(terms.join(longer, "term"), "inverted-lists")
 
@@ -374,7 +421,7 @@ def components(
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    labels = connected(_likely(along, nodes), "labels")
+    labels = connected(_likely(along, nodes, percent), "labels")
 
     # Lists with several labels are compared as a whole, also by estimate.
     labelled = lists.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))

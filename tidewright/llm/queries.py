@@ -73,7 +73,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.components(table(spark, sf_dir, "documents"))
+    return near_duplicates.components(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query
