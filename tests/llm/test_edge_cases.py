@@ -433,3 +433,19 @@ def test_language_is_right_on_documents_that_were_held_out(spark):
     found = language.identify(docs, language.fit(docs, learn_from=language.learnable(), sample_per_language=150))
     right = found.where(language.held_out()).agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_words_are_encoded_as_by_the_library(limit):
+    encoder = token_output.WordEncoder(token_output.tokenizer_path(), limit=limit)
+    rng = random.Random(limit)
+    letters = "aAbZz09'.,<|>-_~éÉàÀßÿŸ×÷Ððıİ́  　ΑΣς漢字ñÑþÞ\x00\x85\x1c\U0001f600"
+    made = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(600)]
+    made += ["don't", "WE'LL", "x" * 300, "É" * 90, "<|endoftext|>", "a<|startoftext|>b", "Ã", "<|ENDOFTEXT|>"]
+    texts = [rng.choice(" \n\t\r\x0b\x0c").join(rng.choices(made, k=rng.randint(0, 40))) for _ in range(60)] + [None, "", " "]
+    for at in range(0, len(texts), 7):
+        part = texts[at : at + 7]
+        got = encoder.encode([None if t is None else t.encode() for t in part])
+        for text, ids in zip(part, got, strict=True):
+            want = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+            assert np.frombuffer(ids, encoder.dtype).tolist() == want

@@ -16,9 +16,7 @@ protocol holds on any storage and lost executors leave nothing half-written):
   `no_id` (one byte per document, 1 for a null id), `counts` (uint32 ids per
   document), `control`, `data`.
 
-Texts are encoded once. White space never joins words in this tokenizer, so
-each distinct word between ASCII white space is encoded by the library once
-per worker and looked up after that.
+Texts are encoded once, by way of their distinct words (`word_ids`).
 
 Defined cases: null text is empty and yields the end id alone; documents are
 ordered by (id, hash of the text) with null ids first, so repeated rows are all
@@ -27,9 +25,6 @@ kept; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,12 +33,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm.common import as_bytes, slices, space_words, tidy
+from tidewright.llm.common import as_bytes, slices, tidy
+from tidewright.llm.word_ids import WordEncoder, ids_column, tokenizer_path, worker_encoder
 from tidewright.session import work_dir
 
 END_ID = 1
-# Words that a worker keeps encoded; more only cost encoding again.
-CACHED_WORDS = 320_000
 BLOCK_IDS = 1 << 18
 
 TOKENS = "part int, seq long, before long, doc_id long, ids binary"
@@ -53,137 +47,14 @@ BLOCKS = (
 READ = "doc_id long, part int, in_part long, n_tokens long, ids binary"
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-# What the tokenizer of the queries does before its merges. Fixed values of its file.
-_NORMALIZER = {
-    "type": "Sequence",
-    "normalizers": [
-        {"type": "NFC"},
-        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
-        {"type": "Lowercase"},
-    ],
-}
-_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
-# ASCII without the apostrophe, and the letters of Latin-1: composed, in simple pairs of cases.
-_EASY = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-_PIECES = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable character that stands for each byte in a byte-level vocabulary; white space stays."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-    return letters | {32: " "}
-
-
-class WordEncoder:
-    """Whole texts to ids by way of their distinct words.
-
-    Only for tokenizers in which ASCII white space always parts tokens and
-    leaves none itself. If the file normalizes and splits as stated above, words
-    of simple characters are normalized and split here, and the library merges
-    each distinct piece once; all others go through the whole library.
-    """
-
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.cache: dict[bytes, bytes] = {}
-        self.limit = limit
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        steps = parts["pre_tokenizer"].get("pretokenizers", []) if parts["pre_tokenizer"] else []
-        self.merges = None
-        if (
-            parts["normalizer"] == _NORMALIZER
-            and parts["model"].get("end_of_word_suffix") == "</w>"
-            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
-            and steps[0]["pattern"] == _SPLIT
-            and steps[0]["behavior"] == "Removed"
-            and steps[0]["invert"]
-            and not steps[1]["add_prefix_space"]
-        ):
-            # The same model, held once.
-            self.merges = Tokenizer(self.tokenizer.model)
-            self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
-            self.ends = np.zeros(self.size, bool)
-            for token, number in parts["model"]["vocab"].items():
-                self.ends[number] = token.endswith("</w>")
-            self.letters = _byte_letters()
-
-    def _merged(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of every piece; each ends with the one token that closes a word."""
-        found: dict[str, bytes] = {}
-        width = self.dtype.itemsize
-        for at in range(0, len(pieces), 50_000):
-            part = pieces[at : at + 50_000]
-            text = " ".join(part).encode().decode("latin-1").translate(self.letters)
-            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * width
-            raw, start = ids.tobytes(), 0
-            for piece, stop in zip(part, stops.tolist(), strict=True):
-                found[piece] = raw[start:stop]
-                start = stop
-        return found
-
-    def _learn(self, words: list[bytes]) -> None:
-        hard = words
-        if self.merges is not None:
-            plain = [w for w in words if w.isalpha()]
-            rest = [w for w in words if not w.isalpha()]
-            easy = [w for w in rest if _EASY.fullmatch(w) and b"<|" not in w]
-            known = set(easy)
-            hard = [w for w in rest if w not in known]
-            lower = b" ".join(plain).lower().decode().split(" ") if plain else []
-            parts = [_PIECES.findall(w.decode().lower()) for w in easy]
-            merged = self._merged(list({*lower, *(p for part in parts for p in part)}))
-            self.cache.update(zip(plain, map(merged.__getitem__, lower), strict=True))
-            for word, part in zip(easy, parts, strict=True):
-                self.cache[word] = b"".join([merged[p] for p in part])
-        texts = [w.decode("utf-8", "replace") for w in hard]
-        for word, found in zip(hard, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.cache[word] = np.array(found.ids, self.dtype).tobytes()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text, the end id last, as bytes of `dtype`."""
-        split = [space_words(t) for t in texts]
-        seen = set().union(*split) if split else set()
-        missing = seen.difference(self.cache)
-        if len(self.cache) + len(missing) > self.limit:
-            self.cache = {w: self.cache[w] for w in seen if w in self.cache}
-        self._learn(list(missing))
-        end, get = np.array([END_ID], self.dtype).tobytes(), self.cache.__getitem__
-        return [b"".join(map(get, words)) + end for words in split]
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def _encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = worker_encoder(path, END_ID)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                ids = encoder.encode(as_bytes(batch.column("text")))
-                n = len(ids)
-                counts = np.array([len(x) for x in ids], np.int64) // encoder.dtype.itemsize
+                ids, counts = encoder.encode_all(as_bytes(batch.column("text")))
+                n = len(counts)
                 starts = before + np.cumsum(counts) - counts
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -191,7 +62,7 @@ def _encode(path: str):
                         pa.array(np.arange(seq, seq + n, dtype=np.int64)),
                         pa.array(starts),
                         batch.column("doc_id"),
-                        pa.array(ids, pa.binary()),
+                        ids_column(ids, counts),
                     ],
                     names=["part", "seq", "before", "doc_id", "ids"],
                 )
@@ -276,7 +147,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
     """Encode every text and write the folder described above."""
     path = path or tokenizer_path()
     spark = docs.sparkSession
-    encoder = WordEncoder(path)
+    encoder = WordEncoder(path, END_ID)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
@@ -372,9 +243,11 @@ def token_digests(spark: SparkSession, out: str) -> DataFrame:
     )
 
 
-def encoded_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the documents' ids and return what reading the files gives."""
+def encoded_documents(
+    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", out: str | None = None
+) -> DataFrame:
+    """Write the documents' ids to the folder `out`, a fresh work folder unless given, and return what reading it gives."""
     spark = docs.sparkSession
-    out = work_dir(spark, "token-output")
+    out = out or work_dir(spark, "token-output")
     write_tokens(docs, out, path, id_col, text_col)
     return token_digests(spark, out)
