@@ -111,3 +111,9 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def picked(rows: DataFrame, **columns: str) -> DataFrame:
+    """Columns by their exact names under new ones, whatever else the table holds."""
+    numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return numbered.select(*[F.col(f"c{rows.columns.index(old)}").alias(new) for new, old in columns.items()])

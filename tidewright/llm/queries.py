@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidewright.llm import byte_repeats, chat, decontamination, language, licenses, mixing, near_duplicates, quality, recompression, token_output
+from tidewright.llm import (
+    byte_repeats,
+    centroids,
+    chat,
+    decontamination,
+    language,
+    licenses,
+    mixing,
+    near_duplicates,
+    packing,
+    prefix_trie,
+    quality,
+    recompression,
+    token_output,
+)
 from tidewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +111,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(added)))
 
 
+@query
+def op11_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -240,3 +270,83 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
     ELSE list_filter(w, lambda x, i: NOT list_contains(places, i - 1)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN named USING (doc_id)
 """
+
+
+def _rounds(n: int) -> str:
+    """Assignment `a<i>` to the centroids `c<i>`, and the centroids after it."""
+    steps = []
+    for i in range(n + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(k.v) AS v, min(CAST(list_sum(list_transform(range(1, 65),
+    lambda j: (k.v[j] - c.v[j]) * (k.v[j] - c.v[j]))) AS BIGINT) * 8 + c.c) AS m
+  FROM kept k, c{i} c GROUP BY vec_id
+)""")
+        if i < n:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(any_value(u.v), any_value(c.v)) AS v FROM c{i} c LEFT JOIN (
+    SELECT c, list((s - (s % n + n) % n) // n ORDER BY j) AS v FROM (
+      SELECT m % 8 AS c, j, CAST(sum(v[j]) AS BIGINT) AS s, count(*) AS n FROM a{i}, unnest(range(1, 65)) u(j) GROUP BY ALL
+    ) GROUP BY c
+  ) u ON u.c = c.c GROUP BY c.c
+)""")
+    return ",\n".join(steps)
+
+
+ORACLE["op12_centroids"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v
+  FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {centroids.CLUSTERS})
+),
+{_rounds(centroids.ROUNDS)},
+last AS (SELECT vec_id, m % 8 AS cluster, m // 8 AS distance FROM a{centroids.ROUNDS})
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM last JOIN c{centroids.ROUNDS} c ON c.c = cluster
+"""
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+o AS (
+  SELECT conv_id, list({'role': role, 'text': text}
+      ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS turns,
+    list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x))),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) AS crc
+  FROM t GROUP BY conv_id
+),
+r AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+  FROM (SELECT *, CAST(xor(crc, 4294967295) % 9 AS BIGINT) AS h FROM o) o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 5
+),
+m AS MATERIALIZED (
+  SELECT conv_id, d AS depth, sha256(CAST(to_json(turns[1:d]) AS VARCHAR)) AS name,
+    CASE WHEN d > 0 THEN sha256(CAST(to_json(turns[1:d - 1]) AS VARCHAR)) END AS above,
+    CASE WHEN d > 0 THEN strlen(turns[d].text) ELSE 0 END AS bytes, d = len(turns) AS ends
+  FROM r, unnest(range(len(turns) + 1)) u(d)
+),
+n AS MATERIALIZED (
+  SELECT depth, name, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM m GROUP BY depth, name
+),
+k AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n_children, 0) AS n_children
+  FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND p.name = n.above
+  LEFT JOIN (SELECT depth - 1 AS depth, above, count(*) AS n_children FROM n GROUP BY ALL) c
+    ON c.depth = n.depth AND c.above = n.name
+),
+s AS (
+  SELECT m.depth, m.name, count(*) FILTER (WHERE k.n_children = 0) AS n_leaves,
+    CAST(sum((k.n_convs - 1) * k.bytes) AS BIGINT) AS saved_tokens
+  FROM m JOIN k ON k.conv_id = m.conv_id AND k.depth >= m.depth GROUP BY m.depth, m.name
+)
+SELECT k.conv_id, k.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM k JOIN s ON s.depth = k.depth AND s.name = k.name
+"""
