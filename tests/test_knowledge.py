@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.hash_vectors import cosine, hash_vector
 from tidewright.functions.text import reverted_number
 from tidewright.operators import cases as C
-from tidewright.operators import evaluation, neighbors, outcomes
+from tidewright.operators import evaluation, neighbor_index, neighbors, outcomes
 from tidewright.plans import knowledge
 
 
@@ -132,6 +132,8 @@ def test_neighbours_against_brute_force(spark, n, k, seed):
     assert {(r.query_id, r["rank"], r.case_id) for r in direct} == want
     blocks = neighbors.nearest(q, c, k, block_queries=7).collect()
     assert {(r.query_id, r["rank"], r.case_id) for r in blocks} == want
+    both = neighbors.nearest(q, c, k, block_queries=25, block_rows=90).collect()
+    assert {(r.query_id, r["rank"], r.case_id) for r in both} == want
     assert len(blocks) == len(direct) == len(want)
 
 
@@ -151,6 +153,67 @@ def test_the_query_side_is_computed_once(spark):
     assert runs.value == 150
 
 
+def test_blocks_are_groups_of_one_job(spark):
+    rows = vectors(6, 200)
+    c = spark.createDataFrame(rows, "case_id long, embedding array<float>")
+    q = c.withColumnRenamed("case_id", "query_id")
+    tracker, jobs = spark.sparkContext.statusTracker(), {}
+    for limit in (100, 20):
+        spark.sparkContext.setJobGroup(f"blocks-{limit}", "")
+        neighbors.nearest(q, c, 3, block_queries=limit, block_rows=limit)
+        jobs[limit] = len(tracker.getJobIdsForGroup(f"blocks-{limit}"))
+    spark.sparkContext.setJobGroup("rest", "")
+    # 9 or 169 groups, the same jobs.
+    assert jobs[100] == jobs[20]
+    plan = neighbors.block_join(q, c, 3, 4, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "WindowGroupLimit" in plan
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan
+
+
+def recall(found, want):
+    return len({(r.query_id, r.case_id) for r in found} & {(i, j) for i, _, j in want}) / len(want)
+
+
+@pytest.mark.parametrize("kind", ["clustered", "scattered", "hot"])
+def test_index_reaches_its_recall(spark, kind):
+    rng = np.random.default_rng(11)
+    if kind == "clustered":
+        rows = vectors(3, 1500, dim=16, clusters=60, same=0.0)
+    elif kind == "hot":
+        rows = vectors(4, 900, dim=16, clusters=40)
+    else:
+        rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(1500, 24)))]
+    asked = [r for r in rows if r[0] % 100 == 0]
+    c = spark.createDataFrame(rows, "case_id long, embedding array<float>")
+    q = spark.createDataFrame(asked, "query_id long, embedding array<float>")
+    index = neighbor_index.fit(c, 5, sample_rows=800)
+    assert index.sample_recall >= neighbor_index.TARGET_RECALL
+    found = index.nearest(q, c, 5).collect()
+    want = brute(asked, rows, 5)
+    assert all(r.query_id in dict(asked) for r in found) and {r["rank"] for r in found} == {1, 2, 3, 4, 5}
+    if kind != "hot":
+        assert recall(found, want) >= 0.9
+    # Equal vectors share every bucket, and of those the ids decide as in the exact search.
+    first = {(r.query_id, r.case_id) for r in found if r["rank"] == 1}
+    assert first == {(i, j) for i, rank, j in want if rank == 1}
+    # Small blocks split the large buckets and find the same.
+    split = index.nearest(q, c, 5, block_queries=4, block_rows=50).collect()
+    assert {tuple(r) for r in split} == {tuple(r) for r in found}
+    if kind == "clustered":
+        assert index.bits > 4
+
+
+def test_index_of_little(spark):
+    c = spark.createDataFrame(vectors(1, 4), "case_id long, embedding array<float>")
+    q = c.withColumnRenamed("case_id", "query_id")
+    for corpus in (c.limit(0), c.limit(1), c):
+        index = neighbor_index.fit(corpus, 5)
+        assert index.nearest(q.limit(0), corpus).count() == 0
+        found = index.nearest(q, corpus, 5).collect()
+        exact = neighbors.nearest(q, corpus, 5).collect()
+        assert {(r.query_id, r["rank"], r.case_id) for r in found} == {(r.query_id, r["rank"], r.case_id) for r in exact}
+
+
 def test_missing_vectors_are_an_error(spark):
     c = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "case_id long, embedding array<float>")
     q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<float>")

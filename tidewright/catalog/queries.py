@@ -16,6 +16,7 @@ from tidewright.operators import (
     detection,
     evaluation,
     flatten,
+    neighbor_index,
     neighbors,
     outcomes,
     ranking,
@@ -945,9 +946,37 @@ def cosine_topk(spark, sf):
 
 @query
 def index_neighbors(spark, sf):
-    """The same with many blocks of queries."""
+    """The same with many blocks on both sides."""
     asked, corpus = roles.vectors(spark, sf, "query_id"), roles.vectors(spark, sf)
-    return _matches(neighbors.nearest(asked, corpus, 5, block_queries=50))
+    return _matches(neighbors.nearest(asked, corpus, 5, block_queries=200, block_rows=300))
+
+
+def _hundredths(spark, sf) -> DataFrame:
+    return roles.vectors(spark, sf, "query_id").where(F.col("query_id") % 100 == 0)
+
+
+@query
+def approx_neighbors(spark, sf):
+    """Every hundredth vector as a query against every vector in its buckets."""
+    corpus = roles.vectors(spark, sf)
+    return _matches(neighbor_index.fit(corpus, 5).nearest(_hundredths(spark, sf), corpus, 5))
+
+
+@query
+def approx_recall(spark, sf):
+    """The same compared with the exact search."""
+    corpus = roles.vectors(spark, sf)
+    found = neighbor_index.fit(corpus, 5).nearest(_hundredths(spark, sf), corpus, 5)
+    true = neighbors.nearest(_hundredths(spark, sf), corpus, 5)
+    hit = found.select("query_id", "case_id", F.lit(1.0).alias("hit"))
+    return (
+        true.join(hit, ["query_id", "case_id"], "left")
+        .agg(
+            F.countDistinct("query_id").alias("n_queries"),
+            F.count("*").alias("n_pairs"),
+            (F.avg(F.coalesce("hit", F.lit(0.0))) >= 0.9).alias("recall_reached"),
+        )
+    )
 
 
 def _corpus(spark, sf) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact cosine top-k for many queries at once.
 
-The query side is stored once and goes to the executors in blocks of bounded
-size; each block reads the corpus once, in place, without a shuffle, and only
-the k best rows of each query and task leave it. Many queries mean many blocks,
-whose results gather in one stored table.
+The query side is stored once and measured. If it fits one block of bounded size
+it goes to the executors, which read the corpus in place, without a shuffle.
+Otherwise both sides are dealt into blocks, and every block of queries meets
+every block of the corpus as a group of its own: one job, however many blocks.
+Either way only the k best rows of each query and task or group leave it.
 
 Similarities are compared after rounding to nine decimals, finer than the
 float vectors themselves; equal ones are ordered by id.
@@ -12,17 +13,17 @@ float vectors themselves; equal ones are ordered by id.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewright.functions.bands import similarity_band
 from tidewright.operators.ranking import top_k
 from tidewright.operators.skew import skew_safe_lookup
-from tidewright.session import work_dir, written
+from tidewright.session import written
 
 # The task functions travel with their code, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Query side that is sent to every executor at once.
 MAX_BLOCK_BYTES = 16 * 1024 * 1024
 MAX_BLOCK_QUERIES = 4096
+# Corpus rows that meet a block of queries in one task.
+MAX_BLOCK_ROWS = 65536
 _ROWS_AT_ONCE = 1024
 _DECIMALS = 9
 
@@ -111,11 +114,74 @@ def _scan(block: list, queries: DataFrame, corpus: DataFrame, k: int) -> DataFra
     return corpus.select("case_id", "embedding").mapInPandas(scan, _result_schema(queries, corpus))
 
 
+def _meet(k: int):
+    """The k best rows of one block of the corpus for each query of one block."""
+
+    def meet(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        best: list[pd.DataFrame] = []
+        if len(asked) and len(held):
+            ids, vectors = asked["query_id"].to_numpy(), _unit_rows(asked["embedding"])
+            held = held.sort_values("case_id")
+            for at in range(0, len(held), _ROWS_AT_ONCE):
+                part = held.iloc[at : at + _ROWS_AT_ONCE]
+                rows = _unit_rows(part["embedding"])
+                if rows.shape[1] != vectors.shape[1]:
+                    raise ValueError(f"queries have {vectors.shape[1]} dimensions, the corpus {rows.shape[1]}")
+                scores = np.round(vectors @ rows.T, _DECIMALS)
+                who, which = _best(scores, k)
+                best.append(
+                    pd.DataFrame(
+                        {"query_id": ids[who], "case_id": part["case_id"].to_numpy()[which], "similarity": scores[who, which]}
+                    )
+                )
+        if not best:
+            return pd.DataFrame({"query_id": [], "case_id": [], "similarity": []})
+        return best[0] if len(best) == 1 else _merged(best, k)
+
+    return meet
+
+
+def meet_in_cells(asked: DataFrame, held: DataFrame, cell: list[str], k: int) -> DataFrame:
+    """Best k rows per query of every cell in which both sides have rows."""
+    left = asked.select(*cell, "query_id", "embedding").groupBy(*cell)
+    right = held.select(*cell, "case_id", "embedding").groupBy(*cell)
+    return left.cogroup(right).applyInPandas(_meet(k), _result_schema(asked, held))
+
+
+def blocks_of(n: int, limit: int) -> int:
+    """Blocks for n rows dealt out by hash; a quarter of room keeps them under the limit."""
+    return 1 if n <= limit else -(-5 * n // (4 * limit))
+
+
+def _block_of(key: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def _every(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
+def block_join(queries: DataFrame, corpus: DataFrame, k: int, query_blocks: int, corpus_blocks: int) -> DataFrame:
+    """Every block of queries against every block of the corpus, merged by rank.
+
+    A row travels once for each block of the other side, so `query_blocks` copies
+    of the corpus and `corpus_blocks` copies of the queries are shuffled.
+    """
+    asked = queries.withColumn("query_block", _block_of("query_id", query_blocks)).withColumn(
+        "corpus_block", _every(corpus_blocks)
+    )
+    held = corpus.withColumn("corpus_block", _block_of("case_id", corpus_blocks)).withColumn(
+        "query_block", _every(query_blocks)
+    )
+    return _ranked(meet_in_cells(asked, held, ["query_block", "corpus_block"], k), k)
+
+
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
     k: int = 5,
     block_queries: int = MAX_BLOCK_QUERIES,
+    block_rows: int = MAX_BLOCK_ROWS,
 ) -> DataFrame:
     """Top-k corpus rows per query: query_id, case_id, similarity, rank.
 
@@ -124,32 +190,34 @@ def nearest(
     result is returned, as it is usually read more than once. Vectors that are
     missing or differ in length are an error.
     """
-    spark = corpus.sparkSession
     slim = written(queries.select("query_id", "embedding"), "queries")
     size = slim.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    schema = _result_schema(queries, corpus)
     if not size["n"]:
-        return _ranked(spark.createDataFrame([], schema), k)
-    limit = max(1, min(block_queries, MAX_BLOCK_BYTES // (8 * max(1, size["dim"] or 1))))
-    # Hashing fills the blocks evenly; a quarter of room keeps them under the limit.
-    blocks = 1 if size["n"] <= limit else -(-5 * size["n"] // (4 * limit))
-    path = work_dir(spark, "neighbors")
-    for block in range(blocks):
-        held = slim.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
-        if held:
-            _ranked(_scan(held, queries, corpus, k), k).write.mode("append").parquet(path)
-    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
-    return spark.read.schema(ranked).parquet(path)
+        return _ranked(corpus.sparkSession.createDataFrame([], _result_schema(queries, corpus)), k)
+    fitting = max(1, MAX_BLOCK_BYTES // (8 * max(1, size["dim"] or 1)))
+    query_blocks = blocks_of(size["n"], min(block_queries, fitting))
+    if query_blocks == 1:
+        found = _ranked(_scan(slim.collect(), queries, corpus, k), k)
+    else:
+        corpus_blocks = blocks_of(corpus.count(), min(block_rows, fitting))
+        found = block_join(slim, corpus, k, query_blocks, corpus_blocks)
+    return written(found, "neighbors")
 
 
 def with_band(matches: DataFrame) -> DataFrame:
     return matches.withColumn("similarity_band", similarity_band(F.col("similarity")))
 
 
-def search(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
+def search(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int = 5,
+    find: Callable[[DataFrame, DataFrame, int], DataFrame] = nearest,
+) -> DataFrame:
     """Top-k with the metadata of the matched case and the similarity band.
 
-    Many queries may match the same case, so the look-up is skew-safe.
+    Many queries may match the same case, so the look-up is skew-safe. `find`
+    may be a fitted index's `nearest` for an approximate search.
     """
-    found = with_band(nearest(queries, corpus, k))
+    found = with_band(find(queries, corpus, k))
     return skew_safe_lookup(found, corpus.drop("embedding"), "case_id")
