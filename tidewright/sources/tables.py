@@ -17,7 +17,7 @@ from tidewright.sources.files import has_data, partition_names
 
 
 def read_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
 ) -> DataFrame:
     """Read with a declared schema.
 

@@ -4,9 +4,10 @@
 validation once and runs `store_judged` per micro-batch. Writing comes before
 the checkpoint commit, so a failed batch is run again, and every write stands a
 second run: events are anti-joined with the stored ids, dead letters and
-metrics replace their own batch partition. Counters are written before the
-events and, when a batch runs again, those of its first run stand: by then its
-own events may be stored, and counting them anew would call them repeats.
+metrics replace their own batch partition. Counters and partial aggregates are
+written before the events and, when a batch runs again, those of its first run
+stand: by then its own events may be stored, and counting them anew would call
+them repeats.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, st
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import LATE_PARTITION, LATE_THRESHOLD_HOURS
 from tidewright.session import pin_utc
+from tidewright.sources.partials import write_partials
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
 from tidewright.sources.files import has_data
 from tidewright.sources.streams import FLUSH_SECONDS
@@ -40,12 +42,21 @@ def utc_now() -> datetime:
 
 @dataclass(frozen=True)
 class IngestPaths:
-    """Target tables; `metrics` and `counters` are optional."""
+    """Target tables; all but the first two are optional.
+
+    `partials` holds hourly aggregates for the incremental refresh and needs
+    `counters`, by which a batch that runs again is recognised.
+    """
 
     events: str
     dead_letters: str
     metrics: str | None = None
     counters: str | None = None
+    partials: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.partials and not self.counters:
+            raise ValueError("partials need counters")
 
     @property
     def undated(self) -> str:
@@ -200,6 +211,10 @@ def store_judged(
             if before and all(before[c] == counts[c] for c in _OWN_COUNTERS):
                 counts = before
             else:
+                if paths.partials and kept["written"]:
+                    # Before the counters, so that they never stand without the partials.
+                    new = event_columns(marked.where(~F.col("_stored")), "date")
+                    write_partials(new, paths.partials, batch)
                 row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
                 _replace_batch(row.coalesce(1), paths.counters, batch)
         if kept["written"]:

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import now_micros, to_micros
-from tidewright.operators import activity, detection, ranking
+from tidewright.operators import activity, detection, hourly, ranking
 from tidewright.plans.feed import recent_feed
 from tidewright.schemas import EVENT_TABLE_SCHEMA
-from tidewright.sources import anomaly_store
+from tidewright.sources import anomaly_store, partials
 from tidewright.sources.sinks import swap_in
 from tidewright.sources.tables import read_ci_runs, read_events
 
@@ -27,9 +27,22 @@ def metric_tables(
     since_minutes: float = 60,
     limit: int = 10,
     late_hours: float | None = None,
+    partials_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Every table reads only the dates it needs; the lag does so with the table's late threshold."""
+    """Every table reads only the dates it needs; the lag does so with the table's late threshold.
+
+    With the partials of the ingest, events are read for the broken first hour
+    alone, and distinct actors are estimated.
+    """
     events = read_events(spark, events_path)
+    if partials_path:
+        parts = hourly.counts_since(partials.read_activity(spark, partials_path), events, as_of, since_minutes)
+        return {
+            "event_counts": ranking.share_of_total(hourly.event_counts(parts), "event_count"),
+            "top_entities": hourly.top_entities(parts, limit),
+            "lag": hourly.lag_report(partials.read_lag(spark, partials_path), as_of, since_minutes),
+            "recent": recent_feed(spark, f"{partials_path}/newest"),
+        }
     counts = activity.event_counts(events, since_minutes, as_of)
     return {
         "event_counts": ranking.share_of_total(counts, "event_count"),
@@ -46,13 +59,14 @@ def refresh_metrics(
     as_of: datetime | int | None = None,
     since_minutes: float = 60,
     late_hours: float | None = None,
+    partials_path: str | None = None,
 ) -> None:
-    """Recompute every look-back table; each is a small aggregate.
+    """Renew every look-back table; each is a small aggregate.
 
     A result is written beside the old one and takes its place when complete.
     """
     at = now_micros() if as_of is None else to_micros(as_of)
-    found = metric_tables(spark, events_path, at, since_minutes, late_hours=late_hours)
+    found = metric_tables(spark, events_path, at, since_minutes, late_hours=late_hours, partials_path=partials_path)
     for name, rows in found.items():
         swap_in(rows, f"{out_path}/{name}")
 
@@ -98,11 +112,12 @@ def start_refresh(
     since_minutes: float = 60,
     seconds: int | None = REFRESH_SECONDS,
     late_hours: float | None = None,
+    partials_path: str | None = None,
 ) -> StreamingQuery:
     """Refresh the metric tables whenever new event files landed."""
     return _start(
         _arrivals(spark, events_path),
-        lambda: refresh_metrics(spark, events_path, out_path, as_of, since_minutes, late_hours),
+        lambda: refresh_metrics(spark, events_path, out_path, as_of, since_minutes, late_hours, partials_path),
         checkpoint,
         seconds,
     )
