@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.operators import dedupe, flatten, rules
 from tidewright.plans import maintenance
 from tidewright.schemas import EVENT_TABLE_SCHEMA
-from tidewright.sources import files, streams, tables
+from tidewright.sources import batches, files, manifest, streams, tables
 from tidewright.streaming import ingest
 
 
@@ -388,13 +388,14 @@ def test_compaction(spark, paths, tmp_path):
         rows = [event(f"{batch}-{i}") for i in range(4)]
         ingest.ingest_batch(raw(spark, *rows), paths, f"s-{batch}", stamp=NOW)
     ingest.ingest_batch(raw(spark, event("old", created=ago(hours=90))), paths, "s-3", stamp=NOW)
-    before = {f.path for f in files.data_files(spark, paths.events)}
+    before = {f.path for f in maintenance.live_files(spark, paths.events)}
     summary = {r.partition: r for r in maintenance.compact(spark, paths.events).collect()}
     day, late = summary["date=2026-03-10"], summary["date=late"]
     assert (day.skipped, day.files_before, day.files_after, day.rows) == (False, 3, 1, 12)
     assert (late.skipped, late.files_before, late.rows, late.output_paths) == (True, 1, 0, None)
-    after = {f.path for f in files.data_files(spark, paths.events)}
+    after = {f.path for f in maintenance.live_files(spark, paths.events)}
     assert len(after) == 2 and len(after & before) == 1
+    assert len(files.data_files(spark, paths.events)) == 1  # the merged originals are gone
     spark.catalog.clearCache()
     assert tables.read_events(spark, paths.events).count() == 13
     assert maintenance.partitions(spark, paths.events) == ["date=2026-03-10", "date=late"]
@@ -416,23 +417,119 @@ def test_compaction_cuts_a_large_partition(spark, tmp_path):
     assert tables.read_events(spark, path).select("event_id").distinct().count() == 40_000
 
 
-def test_compaction_mends_what_a_crash_left_twice(spark, paths, monkeypatch):
+def test_readers_see_each_row_once_while_a_compaction_runs(spark, paths, monkeypatch):
     for batch in range(2):
         ingest.ingest_batch(raw(spark, *[event(f"{batch}-{i}") for i in range(4)]), paths, f"s-{batch}", stamp=NOW)
+    seen = []
+
+    def count(*_):
+        spark.catalog.clearCache()
+        seen.append(tables.read_events(spark, paths.events).count())
 
     def failing(*_):
+        count()
         raise OSError("killed")
 
+    real = manifest.commit
+
+    def watched(*args):
+        count()
+        real(*args)
+        count()
+
+    # Before and after the switch, and where the deletion of the originals fails.
+    monkeypatch.setattr(manifest, "commit", watched)
     monkeypatch.setattr(maintenance, "delete", failing)
     with pytest.raises(OSError):
         maintenance.compact(spark, paths.events)
     monkeypatch.undo()
-    assert tables.read_events(spark, paths.events).count() == 16
-    maintenance.compact(spark, paths.events)
-    assert tables.read_events(spark, paths.events).count() == 8
+    assert seen == [8, 8, 8]
+    assert len(files.data_files(spark, paths.events)) == 2  # originals wait for deletion
+    # What arrives meanwhile stays, and the next run tidies up and merges once more.
+    ingest.ingest_batch(raw(spark, event("0-0"), event("new")), paths, "s-2", stamp=NOW)
+    ingest.ingest_batch(raw(spark, event("newer")), paths, "s-3", stamp=NOW)
+    (row,) = maintenance.compact(spark, paths.events).collect()
+    assert (row.files_before, row.files_after, row.rows) == (3, 1, 10)
+    assert len(maintenance.live_files(spark, paths.events)) == 1
+    assert tables.read_events(spark, paths.events).select("event_id").distinct().count() == 10
+    assert files.data_files(spark, paths.events) == []
+    assert tables.read_newest_events(spark, paths.events).count() == 10
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != "536870912"
 
 
+def test_two_compactions_at_once_do_not_both_win(spark, paths):
+    ingest.ingest_batch(raw(spark, event("a")), paths, "s-0", stamp=NOW)
+    known = manifest.state(spark, paths.events)
+    manifest.commit(spark, paths.events, known.after("one", []))
+    with pytest.raises(RuntimeError):
+        manifest.commit(spark, paths.events, known.after("two", []))
+
+
+def test_partition_files_come_from_the_table(spark, paths):
+    for batch in range(3):
+        ingest.ingest_batch(raw(spark, event(f"{batch}")), paths, f"s-{batch}", stamp=NOW)
+    ingest.ingest_batch(raw(spark, event("old", created=ago(hours=90))), paths, "s-3", stamp=NOW)
+    want = {"date=2026-03-10": (3, 3), "date=late": (1, 1)}
+    assert {r.partition: (r.files, r.rows) for r in maintenance.partition_files(spark, paths.events).collect()} == want
+    maintenance.compact(spark, paths.events)
+    want["date=2026-03-10"] = (1, 3)
+    assert {r.partition: (r.files, r.rows) for r in maintenance.partition_files(spark, paths.events).collect()} == want
+    assert maintenance.partition_files(spark, paths.events + "-none").count() == 0
+
+
+def test_rolled_batches_are_recognised(spark, paths, monkeypatch):
+    def send(i):
+        ingest.ingest_batch(raw(spark, event(f"e{i}"), "not json", event("", created=ago(days=i))), paths, f"s-{i}", stamp=NOW)
+
+    for i in range(4):
+        send(i)
+
+    def state():
+        spark.catalog.clearCache()
+        dead = sorted(tuple(r) for r in tables.read_dead_letters(spark, paths.dead_letters).collect())
+        metrics = sorted(str(tuple(r)) for r in tables.read_batches(spark, paths.metrics, ingest.METRICS_SCHEMA).collect())
+        return dead, metrics, ingest.ingest_counters(spark, paths.counters).first()
+
+    before = state()
+    assert len(before[0]) >= 4
+    # A crash between the switch and the deletion leaves nothing twice.
+    monkeypatch.setattr(batches, "delete", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        ingest.roll_up_batches(spark, paths, unchanged_hours=0)
+    monkeypatch.undo()
+    assert state() == before
+    assert ingest.roll_up_batches(spark, paths, unchanged_hours=24)["metrics"] == 0
+    ingest.roll_up_batches(spark, paths, unchanged_hours=0)
+    assert state() == before
+    for table in (paths.dead_letters, paths.metrics, paths.counters):
+        assert files.data_files(spark, table) == []
+        assert len(files.data_files(spark, f"{table}/_rolled")) == 1
+        assert batches.is_rolled(spark, table, "s-1") and not batches.is_rolled(spark, table, "s-9")
+    # Replaying sealed batches adds nothing; new ones are written beside and merged later.
+    send(1)
+    assert state() == before
+    send(5)
+    assert len(state()[0]) > len(before[0])
+    send(6)
+    after = state()
+    assert ingest.roll_up_batches(spark, paths, unchanged_hours=0)["dead_letters"] == 2
+    assert state() == after and files.data_files(spark, paths.dead_letters) == []
+
+
+def test_compaction_of_some_dates_leaves_the_others(spark, tmp_path):
+    # One task writes files of one name into every date.
+    path = str(tmp_path / "dates")
+    for load in range(2):
+        days = [event(f"{load}-{i}", created=ago(days=i)) for i in range(4)]
+        rows = flatten.with_partition(flatten.flatten(flatten.parse_raw(raw(spark, *days)), F.lit(NOW)), 1000)
+        flatten.event_columns(rows, "date").coalesce(1).write.mode("append").partitionBy("date").parquet(path)
+    chosen = ["date=2026-03-09", "date=2026-03-08"]
+    assert {r.partition for r in maintenance.compact(spark, path, only=chosen).collect()} == set(chosen)
+    assert tables.read_events(spark, path).groupBy("date").count().where("count = 2").count() == 4
+    assert len(maintenance.live_files(spark, path)) == 6
+    assert maintenance.partitions(spark, path) == [f"date=2026-03-{d:02}" for d in (7, 8, 9, 10)]
+
+
 def test_compact_missing_table(spark, tmp_path):
     assert maintenance.compact(spark, str(tmp_path / "none")).count() == 0
 

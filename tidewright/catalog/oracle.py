@@ -810,3 +810,15 @@ ORACLE["format_comparison"] = "\nUNION ALL\n".join(
     for name, sql in ORACLE.items()
     if name.startswith("bench_q")
 )
+
+ORACLE["metric_refresh_hourly"] = ORACLE["metric_refresh"].replace(
+    "to_days(7)", "to_days(7) - to_minutes(25)"
+)
+ORACLE["top_entities_sketch"] = _with(EV) + f"""SELECT repo_name, count(*) AS event_count, max(created_at) AS last_seen_at,
+  true AS actors_close FROM ev WHERE created_at >= {STAMP} - to_days(40) - to_minutes(25)
+GROUP BY 1 ORDER BY event_count DESC, repo_name LIMIT 10"""
+ORACLE["rolled_dead_letters"] = ORACLE["stream_dead_letters"]
+ORACLE["partition_files"] = _with(EV) + """SELECT partition, CASE WHEN i <= total // 2 THEN 1 ELSE files END AS files, n AS rows FROM (
+  SELECT 'date=' || strftime(created_at, '%Y-%m-%d') AS partition, count(DISTINCT event_type) AS files, count(*) AS n,
+    row_number() OVER (ORDER BY partition) AS i, count(*) OVER () AS total
+  FROM ev GROUP BY 1)"""

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.catalog import roles
 from tidewright.functions.bands import evidence_strength
-from tidewright.functions.time_bounds import MICROS_PER_HOUR, date_key, hour_bucket, latest_micros
+from tidewright.functions.time_bounds import MICROS_PER_HOUR, date_key, hour_bucket, latest_micros, to_micros
 from tidewright.operators import (
     activity,
     cases as C,
     detection,
     evaluation,
     flatten,
+    hourly,
     neighbor_index,
     neighbors,
     outcomes,
@@ -527,12 +528,16 @@ def dedupe_stored(spark, sf):
     return not_stored(routed, stored).select("event_id", "event_type")
 
 
-def _ingested(spark, sf, max_files: int | None = 2):
+def _ingested(spark, sf, max_files: int | None = 2, partials: bool = False):
     """Run the stream over landed text files until they are drained."""
     root = work_dir(spark, "ingest")
     _redelivered(spark, sf).select("value").write.text(f"{root}/landing")
     paths = ingest.IngestPaths(
-        f"{root}/events", f"{root}/dead", f"{root}/metrics", f"{root}/counters"
+        f"{root}/events",
+        f"{root}/dead",
+        f"{root}/metrics",
+        f"{root}/counters",
+        f"{root}/partials" if partials else None,
     )
     ingest.start_ingest(
         streams.file_events(spark, f"{root}/landing", max_files),
@@ -578,7 +583,7 @@ def ingest_counters(spark, sf):
 @query
 def stream_metrics(spark, sf):
     paths = _ingested(spark, sf)
-    rows = spark.read.parquet(paths.metrics)
+    rows = tables.read_batches(spark, paths.metrics, ingest.METRICS_SCHEMA)
     return rows.groupBy("event_type").agg(
         F.countDistinct("event_id").alias("events"),
         F.count_if(F.map_contains_key("metrics", "event_type")).alias("with_type_key"),
@@ -602,6 +607,52 @@ def metric_refresh(spark, sf):
     return _round(spark.read.parquet(f"{root}/out/event_counts"), "pct")
 
 
+# A look-back that begins inside an hour.
+BROKEN_WEEK_MINUTES = WEEK_MINUTES + 25
+
+
+@query
+def metric_refresh_hourly(spark, sf):
+    """The refresh from hourly partials of the ingest, before and after their roll-up."""
+    paths = _ingested(spark, sf, partials=True)
+    counts = []
+    for _ in range(2):
+        found = refresh.metric_tables(
+            spark, paths.events, to_micros(STAMP), BROKEN_WEEK_MINUTES, partials_path=paths.partials
+        )
+        counts.append(_round(written(found["event_counts"], "counts"), "pct"))
+        ingest.roll_up_batches(spark, paths, unchanged_hours=0)
+    return counts[0].intersect(counts[1])
+
+
+@query
+def top_entities_sketch(spark, sf):
+    """Top entities from hourly partials; distinct actors estimated within 5 % of the exact count."""
+    events = _as_table(
+        roles.payload_events(spark, sf).withColumn("public", F.lit(True)).withColumn("actor_id", F.col("user_id"))
+    )
+    at = to_micros(STAMP)
+    parts = hourly.counts_since(hourly.hourly_counts(events), events, at, 40 * 24 * 60 + 25)
+    exact = activity.top_entities(events, 40 * 24 * 60 + 25, 10, at).select(
+        "repo_name", F.col("unique_actors").alias("exact")
+    )
+    rows = hourly.top_entities(parts, 10).join(exact, "repo_name")
+    close = F.abs(F.col("unique_actors") - F.col("exact")) <= F.col("exact") * 0.05
+    return _ntz(rows.select("repo_name", "event_count", "last_seen_at", close.alias("actors_close")), "last_seen_at")
+
+
+@query
+def rolled_dead_letters(spark, sf):
+    """Dead letters after their batches were merged, with the batches sent once more."""
+    paths = _ingested(spark, sf)
+    rejected = tables.read_dead_letters(spark, paths.dead_letters)
+    again = written(rejected.drop("ingest_batch"), "again")
+    ingest.roll_up_batches(spark, paths, unchanged_hours=0)
+    sinks.write_dead_letters(again, paths.dead_letters, "rehearsal-0")
+    rows = tables.read_dead_letters(spark, paths.dead_letters)
+    return rows.groupBy("event_type", "error_reason").agg(F.count("*").alias("n"))
+
+
 @query
 def anomaly_sweep(spark, sf):
     """Two sweeps in the same hour store every anomaly once."""
@@ -720,8 +771,16 @@ def compaction_totals(spark, sf):
 
 @query
 def list_partitions(spark, sf):
-    names = maintenance.partitions(spark, _loaded(spark, sf))
-    return spark.createDataFrame([(n,) for n in names], "partition string")
+    return maintenance.partition_files(spark, _loaded(spark, sf)).select("partition")
+
+
+@query
+def partition_files(spark, sf):
+    """Files and rows of every date, half of the dates compacted."""
+    path = _loaded(spark, sf)
+    names = maintenance.partitions(spark, path)
+    maintenance.compact(spark, path, only=names[: len(names) // 2])
+    return maintenance.partition_files(spark, path)
 
 
 @query

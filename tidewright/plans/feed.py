@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.functions.time_bounds import lookback
 from tidewright.operators.activity import recent_events
-from tidewright.schemas import LATE_PARTITION
-from tidewright.sources.files import partition_names
-from tidewright.sources.tables import read_events
+from tidewright.sources.tables import event_days, read_events
 
 
 def recent_feed(
@@ -21,8 +19,7 @@ def recent_feed(
     answer, late rows included, so the final scan is pruned to it.
     """
     events = read_events(spark, path)
-    days = {name.removeprefix("date=") for name in partition_names(spark, path)}
-    dated = sorted(days - {LATE_PARTITION}, reverse=True)
+    dated = event_days(spark, path)[::-1]
     wanted = events if event_type is None else events.where(F.col("event_type") == event_type)
     taken = 1
     while taken <= len(dated):

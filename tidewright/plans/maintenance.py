@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections import defaultdict
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidewright.schemas import EVENT_TABLE_SCHEMA, LATE_THRESHOLD_HOURS
-from tidewright.sources.files import DataFile, data_files, delete, move, partition_names
+from tidewright.schemas import EVENT_TABLE_SCHEMA, LATE_PARTITION, LATE_THRESHOLD_HOURS
+from tidewright.sources import manifest, tables
+from tidewright.sources.files import DataFile, data_files, delete
 from tidewright.sources.tables import read_dead_letters, read_or_empty
 from tidewright.streaming.ingest import IngestPaths, ingest_batch
 
@@ -24,9 +24,52 @@ SUMMARY_SCHEMA = (
 )
 
 
+def partition_files(spark: SparkSession, path: str) -> DataFrame:
+    """Date partitions with their files and rows, from the table itself; `date=late` sorts last."""
+    named = tables.read_event_files(spark, path)
+    return (
+        named.groupBy("date")
+        .agg(F.countDistinct("file_name").alias("files"), F.count("*").alias("rows"))
+        .select(F.concat(F.lit("date="), "date").alias("partition"), "files", "rows")
+        .orderBy("partition")
+    )
+
+
 def partitions(spark: SparkSession, path: str) -> list[str]:
-    """Date partitions in ascending order; `date=late` sorts last."""
-    return [name for name in partition_names(spark, path) if name.startswith("date=")]
+    """Names of the date partitions in ascending order; `date=late` sorts last."""
+    late = [f"date={LATE_PARTITION}"] if f"date={LATE_PARTITION}" in tables.partition_folders(spark, path) else []
+    return [f"date={day}" for day in tables.event_days(spark, path)] + late
+
+
+def _name(file: DataFile) -> str:
+    """As `tables.read_event_files` names it; a run's files carry the id of the job that wrote them."""
+    return f"{file.partition}/{file.path.rpartition('/')[2]}"
+
+
+def live_files(spark: SparkSession, path: str) -> list[DataFile]:
+    """Files whose rows count, compacted ones included."""
+    known = manifest.state(spark, path)
+    found = data_files(spark, path)
+    for run in known.runs:
+        found += data_files(spark, f"{path}/{tables.COMPACTED}/run={run}")
+    dropped = set(known.drops)
+    return [f for f in found if _name(f) not in dropped]
+
+
+def _sweep(spark: SparkSession, path: str) -> manifest.State:
+    """Delete the files that the manifest has dropped, and strike them off."""
+    known = manifest.state(spark, path)
+    if not known.drops:
+        return known
+    dropped = set(known.drops)
+    found = data_files(spark, path)
+    for run in known.runs:
+        found += data_files(spark, f"{path}/{tables.COMPACTED}/run={run}")
+    for file in found:
+        if _name(file) in dropped:
+            delete(spark, file.path)
+    manifest.commit(spark, path, known.swept())
+    return manifest.state(spark, path)
 
 
 def _jobs(groups: dict[str, list[DataFile]]) -> list[list[str]]:
@@ -45,60 +88,46 @@ def _jobs(groups: dict[str, list[DataFile]]) -> list[list[str]]:
 def _merge(
     spark: SparkSession, path: str, groups: dict[str, list[DataFile]], target_bytes: int
 ) -> list[tuple]:
-    """Merge the listed files, publish the result, then drop the originals.
+    """Write the rows of the listed files as one run, switch to it, then delete the originals.
 
-    Publishing before deleting means a crash in between leaves rows twice,
-    never none. A partition with a published file may be left from such a
-    crash, so there repeated ids are dropped on the way in. Readers skip the
-    staging folder because of its underscore.
+    The switch is one rename of a manifest version: a reader sees each row once
+    before, at and after it. Files that are appended meanwhile stay.
     """
-    staging = f"{path.rstrip('/')}/_compacting-{uuid.uuid4().hex}"
+    known, run = _sweep(spark, path), manifest.new_run()
+    out = f"{path}/{tables.COMPACTED}/run={run}"
     # A session of its own: the target size must not change what others plan.
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    again = {
-        name for name, files in groups.items() if any("/compacted-" in f.path for f in files)
-    }
-
-    def rows_of(names) -> DataFrame | None:
-        sources = [f.path for name in names for f in groups[name]]
-        if not sources:
-            return None
-        return own.read.option("basePath", path).schema(EVENT_TABLE_SCHEMA).parquet(*sources)
-
-    plain, repeated = rows_of(groups.keys() - again), rows_of(again)
-    if repeated is not None:
-        repeated = repeated.dropDuplicates(["date", "event_id"])
-    rows = repeated if plain is None else plain if repeated is None else plain.unionByName(repeated)
+    listed = [f for files in groups.values() for f in files]
+    plain = [f.path for f in listed if f"/{tables.COMPACTED}/" not in f.path]
+    before = [f.path for f in listed if f"/{tables.COMPACTED}/" in f.path]
+    columns = EVENT_TABLE_SCHEMA.names
+    parts = []
+    if plain:
+        parts.append(own.read.option("basePath", path).schema(EVENT_TABLE_SCHEMA).parquet(*plain))
+    if before:
+        schema = T.StructType([*EVENT_TABLE_SCHEMA.fields, T.StructField("run", T.StringType())])
+        again = own.read.option("basePath", f"{path}/{tables.COMPACTED}").schema(schema).parquet(*before)
+        parts.append(again.select(*columns))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     (
         rows.hint("rebalance", F.col("date"))
         .write.option("compression", "snappy")
         .option("parquet.bloom.filter.enabled#event_id", "true")
         .partitionBy("date")
-        .parquet(staging)
+        .parquet(out)
     )
     # One row per date.
-    counts = {
-        f"date={r['date']}": r["n"]
-        for r in spark.read.schema(EVENT_TABLE_SCHEMA)
-        .parquet(staging)
-        .groupBy("date")
-        .agg(F.count("*").alias("n"))
-        .collect()
-    }
-    published = defaultdict(list)
-    for staged in data_files(spark, staging):
-        target = f"{path.rstrip('/')}/{staged.partition}/compacted-{staged.path.split('/')[-1]}"
-        move(spark, staged.path, target)
-        published[staged.partition].append(target)
-    for files in groups.values():
-        for old in files:
-            delete(spark, old.path)
-    delete(spark, staging)
+    written = spark.read.schema(EVENT_TABLE_SCHEMA).parquet(out).groupBy("date").agg(F.count("*").alias("n"))
+    counts = {f"date={r['date']}": r["n"] for r in written.collect()}
+    fresh: dict[str, list[str]] = defaultdict(list)
+    for file in data_files(spark, out):
+        fresh[file.partition].append(file.path)
+    manifest.commit(spark, path, known.after(run, [_name(f) for f in listed]))
+    _sweep(spark, path)
     return [
-        (name, False, len(files), len(published[name]), counts.get(name, 0), published[name])
-        for name, files in groups.items()
+        (name, False, len(files), len(fresh[name]), counts.get(name, 0), fresh[name]) for name, files in groups.items()
     ]
 
 
@@ -112,11 +141,12 @@ def compact(
     """Merge small files per date partition; summary rows per partition.
 
     A partition below `target_bytes` becomes one file, a larger one several
-    files of about that size written by as many tasks. Beside a running stream
-    name sealed dates in `only`.
+    files of about that size written by as many tasks. `only` names the
+    partitions to look at; one compaction of a table runs at a time.
     """
+    path = path.rstrip("/")
     groups: dict[str, list[DataFile]] = defaultdict(list)
-    for file in data_files(spark, path):
+    for file in live_files(spark, path):
         if file.partition.startswith("date=") and (only is None or file.partition in only):
             groups[file.partition].append(file)
     small = {name: files for name, files in groups.items() if len(files) < min_files}

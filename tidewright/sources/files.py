@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,38 @@ def partition_names(spark: SparkSession, root: str) -> list[str]:
     return sorted(name for name in names if "=" in name and not name.startswith(("_", ".")))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path, none if it is missing."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(root) if status.isDirectory()]
+
+
+@dataclass(frozen=True)
+class Folder:
+    path: str
+    values: dict[str, str]
+    age_hours: float
+
+
+def folders(spark: SparkSession, root: str, depth: int) -> list[Folder]:
+    """Partition folders `depth` levels below a root with their values; no file is listed."""
+    fs, path = _fs(spark, root)
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    level, now = [(path, {}, 0)], time.time()
+    for _ in range(depth):
+        below = []
+        for folder, values, _ in level:
+            for status in fs.listStatus(folder) if fs.exists(folder) else ():
+                name = status.getPath().getName()
+                if status.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+                    key, _, value = name.partition("=")
+                    below.append((status.getPath(), values | {key: unescape(value)}, status.getModificationTime()))
+        level = below
+    return [Folder(folder.toString(), values, (now - changed / 1000) / 3600) for folder, values, changed in level]
+
+
 def has_data(spark: SparkSession, root: str, suffix: str = ".parquet") -> bool:
     """True as soon as one visible data file turns up."""
     fs, path = _fs(spark, root)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.operators.hourly import hourly_counts, lag_sums
 from tidewright.schemas import EVENT_TABLE_SCHEMA
-from tidewright.sources.tables import read_or_empty
+from tidewright.sources.batches import replace_batch, roll_up
+from tidewright.sources.tables import read_batches
 
 # Enough for a feed of that many rows from any set of batches.
 NEWEST_ROWS = 20
@@ -23,32 +24,31 @@ ACTIVITY_SCHEMA = (
 LAG_SCHEMA = "ingested_at timestamp, n bigint, lag_sum bigint, lag_min bigint, lag_max bigint, day string"
 
 
-def _replace(rows: DataFrame, path: str, key: str, batch: str) -> None:
-    (
-        rows.withColumn("ingest_batch", F.lit(batch))
-        .hint("rebalance", F.col(key))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key, "ingest_batch")
-        .parquet(path)
-    )
-
-
 def write_partials(events: DataFrame, path: str, batch: str) -> None:
     """Partials of the new events of one batch (event columns and `date`)."""
     newest = events.orderBy(F.desc("created_at"), "event_id").limit(NEWEST_ROWS)
-    _replace(hourly_counts(events), f"{path}/activity", "day", batch)
-    _replace(lag_sums(events), f"{path}/lag", "day", batch)
-    _replace(newest.withColumn("payload_json", F.lit(None).cast("string")), f"{path}/newest", "date", batch)
+    replace_batch(hourly_counts(events), f"{path}/activity", batch, ["day"])
+    replace_batch(lag_sums(events), f"{path}/lag", batch, ["day"])
+    replace_batch(newest.withColumn("payload_json", F.lit(None).cast("string")), f"{path}/newest", batch, ["date"])
 
 
 def read_activity(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, f"{path}/activity", ACTIVITY_SCHEMA)
+    return read_batches(spark, f"{path}/activity", ACTIVITY_SCHEMA)
 
 
 def read_lag(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, f"{path}/lag", LAG_SCHEMA)
+    return read_batches(spark, f"{path}/lag", LAG_SCHEMA)
 
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, f"{path}/newest", EVENT_TABLE_SCHEMA)
+    return read_batches(spark, f"{path}/newest", EVENT_TABLE_SCHEMA)
+
+
+def roll_up_partials(spark: SparkSession, path: str, unchanged_hours: float = 24) -> int:
+    """Merge the partials of sealed batches; the number of batches."""
+    merged = 0
+    for name, schema, key in (
+        ("activity", ACTIVITY_SCHEMA, "day"), ("lag", LAG_SCHEMA, "day"), ("newest", EVENT_TABLE_SCHEMA, "date")
+    ):
+        merged = max(merged, roll_up(spark, f"{path}/{name}", schema, [key], unchanged_hours))
+    return merged

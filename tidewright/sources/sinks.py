@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from tidewright.operators.flatten import event_columns
+from tidewright.sources.batches import replace_batch
 from tidewright.sources.files import delete, has_path, move
 
 
@@ -53,13 +54,7 @@ def write_dead_letters(rows: DataFrame, path: str, batch: str) -> None:
     Running the same batch again replaces that partition, so a replay adds
     nothing twice.
     """
-    (
-        rows.withColumn("ingest_batch", F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_batch")
-        .parquet(path)
-    )
+    replace_batch(rows, path, batch)
 
 
 def overwrite(rows: DataFrame, path: str) -> None:

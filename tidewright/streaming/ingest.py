@@ -25,13 +25,14 @@ from tidewright.functions.time_bounds import to_micros
 from tidewright.operators import rules
 from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, stored_candidates, undated_days
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
-from tidewright.schemas import LATE_PARTITION, LATE_THRESHOLD_HOURS
+from tidewright.schemas import DLQ_SCHEMA, LATE_PARTITION, LATE_THRESHOLD_HOURS
 from tidewright.session import pin_utc
-from tidewright.sources.partials import write_partials
+from tidewright.sources.batches import is_rolled, replace_batch as _replace_batch, roll_up
+from tidewright.sources.partials import roll_up_partials, write_partials
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
 from tidewright.sources.files import has_data
 from tidewright.sources.streams import FLUSH_SECONDS
-from tidewright.sources.tables import read_events, read_or_empty
+from tidewright.sources.tables import BATCH, read_batches, read_events, read_or_empty
 
 log = logging.getLogger(__name__)
 
@@ -111,29 +112,20 @@ def stored_columns(settled: DataFrame) -> DataFrame:
     return event_columns(rules.accepted(settled), "created_at_ok", "date", "position", "_seq")
 
 
-def _replace_batch(rows: DataFrame, path: str, batch: str) -> None:
-    (
-        rows.withColumn("ingest_batch", F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_batch")
-        .parquet(path)
-    )
-
-
 COUNTERS = ("received", "dead_lettered", "skipped", "duplicate_in_batch", "already_stored", "late", "written")
 # What the rows of a batch alone decide.
 _OWN_COUNTERS = COUNTERS[:4]
+COUNTERS_SCHEMA = ", ".join(f"{c} bigint" for c in COUNTERS)
+METRICS_SCHEMA = "event_id string, event_type string, metrics map<string,string>"
 UNDATED_SCHEMA = "event_id string, day string"
 
 
 def _first_counts(spark: SparkSession, path: str, batch: str) -> dict[str, int] | None:
     """Counters that an earlier run of the batch has written."""
     name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
-    folder = f"{path.rstrip('/')}/ingest_batch={name}"
-    if not has_data(spark, folder):
+    if not has_data(spark, f"{path.rstrip('/')}/ingest_batch={name}") and not is_rolled(spark, path, batch):
         return None
-    row = spark.read.schema(", ".join(f"{c} bigint" for c in COUNTERS)).parquet(folder).first()
+    row = read_batches(spark, path, COUNTERS_SCHEMA).where(F.col(BATCH) == batch).drop(BATCH).first()
     return row.asDict() if row else None
 
 
@@ -292,6 +284,17 @@ def start_ingest(
 
 def ingest_counters(spark: SparkSession, path: str) -> DataFrame:
     """Totals over all batches."""
-    rows = spark.read.parquet(path)
-    names = [c for c in rows.columns if c != "ingest_batch"]
-    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    rows = read_batches(spark, path, COUNTERS_SCHEMA)
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
+
+
+def roll_up_batches(spark: SparkSession, paths: IngestPaths, unchanged_hours: float = 24) -> dict[str, int]:
+    """Merge the partitions of sealed batches in every batch table; batches merged per table."""
+    done = {"dead_letters": roll_up(spark, paths.dead_letters, DLQ_SCHEMA, None, unchanged_hours)}
+    if paths.metrics:
+        done["metrics"] = roll_up(spark, paths.metrics, METRICS_SCHEMA, None, unchanged_hours)
+    if paths.counters:
+        done["counters"] = roll_up(spark, paths.counters, COUNTERS_SCHEMA, None, unchanged_hours)
+    if paths.partials:
+        done["partials"] = roll_up_partials(spark, paths.partials, unchanged_hours)
+    return done
