@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import itertools
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -117,3 +118,20 @@ def picked(rows: DataFrame, **columns: str) -> DataFrame:
     """Columns by their exact names under new ones, whatever else the table holds."""
     numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
     return numbered.select(*[F.col(f"c{rows.columns.index(old)}").alias(new) for new, old in columns.items()])
+
+
+def free_names(taken: list[str], wanted: tuple[str, ...] | list[str]) -> list[str]:
+    """The wanted names, numbered where the table has them already in any case."""
+    used, out = {name.lower() for name in taken}, []
+    for name in wanted:
+        free = next(n for k in itertools.count() if (n := f"{name}_{k}" if k else name).lower() not in used)
+        used.add(free.lower())
+        out.append(free)
+    return out
+
+
+def first_columns(rows: DataFrame, names: list[str], keep: Callable[[Column], Column]) -> DataFrame:
+    """The rows whose last column meets `keep`, with their first columns under the given names."""
+    numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    kept = numbered.where(keep(F.col(f"c{len(rows.columns) - 1}")))
+    return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

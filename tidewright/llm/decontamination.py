@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidewright.llm.common import as_bytes, folded_words, slices, tidy
+from tidewright.llm.common import as_bytes, first_columns, folded_words, free_names, picked, slices, tidy
 
 WIDTH = 10
 PART_BYTES = 1 << 20
@@ -136,9 +136,9 @@ def contamination(
     four, in the order of ADDED.
     """
     spark = docs.sparkSession
-    texts = benchmark.select(
-        F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-        F.col(item_text_col).cast("string").alias("text"),
+    texts = picked(benchmark, item=item_col, text=item_text_col).select(
+        F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"),
+        F.col("text").cast("string").alias("text"),
     ).where("text is not null")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = -(-size // PART_BYTES) or 1
@@ -166,9 +166,7 @@ def contamination(
         held = texts.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_parts)) == part).orderBy("item", "text").collect()
         tables = pattern_tables([(r.item, r.text.encode()) for r in held], width)
         rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(tables), len(own)), schema)
-    taken = set(docs.columns)
-    added = [next(n for n in (name, f"scan_{name}", f"scan_{name}_") if n not in taken) for name in ADDED]
-    return rows.drop("scanned_text").toDF(*docs.columns, *added)
+    return rows.drop("scanned_text").toDF(*docs.columns, *free_names(docs.columns, ADDED))
 
 
 def hit_words(starts: str, stops: str):
@@ -181,7 +179,7 @@ def hit_words(starts: str, stops: str):
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without a hit, with their own columns."""
     found = contamination(docs, benchmark, **options)
-    return found.where(F.size(found.columns[-3]) == 0).select(*docs.columns)
+    return first_columns(found, docs.columns, lambda items: F.size(items) == 0)
 
 
 def items_digest(items: str):

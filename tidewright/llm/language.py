@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tidewright.llm.common import as_bytes, slices, tidy
+from tidewright.llm.common import as_bytes, first_columns, free_names, picked, slices, tidy
 
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 16
@@ -226,7 +226,8 @@ def fit(
     id_col: str = "doc_id",
     sample_per_language: int = SAMPLE_PER_LANGUAGE,
 ) -> LanguageModel:
-    """A model from the documents that have a language (and meet `learn_from`)."""
+    """A model from the documents that have a language (and meet `learn_from`, a condition on the three columns named here)."""
+    docs = picked(docs, **{name: name for name in (id_col, text_col, lang_col)})
     condition = F.lit(True) if learn_from is None else learn_from
     sample = training_sample(docs, condition, text_col, lang_col, id_col, sample_per_language)
     if not sample:
@@ -247,9 +248,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     )
     # Its size is fixed: 2 ** BUCKET_BITS rows of one float per language.
     found = rows.mapInArrow(_predict(spark.sparkContext.broadcast(model)), schema).drop("named_text")
-    taken = set(docs.columns)
-    added = [next(n for n in (name, f"found_{name}", f"found_{name}_") if n not in taken) for name in ADDED]
-    return found.toDF(*docs.columns, *added)
+    return found.toDF(*docs.columns, *free_names(docs.columns, ADDED))
+
+
+def recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The documents whose language is not rejected, with their own columns."""
+    return first_columns(identify(docs, model, text_col), docs.columns, lambda rejected: ~rejected)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

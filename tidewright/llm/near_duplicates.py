@@ -28,8 +28,10 @@ few for these chances, and the threshold is refused.
 
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; a document with fewer words than the shingle width has its whole
-sequence as one shingle; rows without an id are never linked and stay; rows
-that repeat an id share their component; an empty table gives an empty result;
+sequence as one shingle; rows without an id are never linked by `components`
+(`without_near_duplicates` links them and keeps one row of a group); rows that
+repeat an id have the component of their own text, so an id with two texts may
+stand in two; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -41,9 +43,9 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewright.llm.common import as_bytes, folded_space_words, slices, tidy
+from tidewright.llm.common import as_bytes, folded_space_words, picked, slices, tidy
 from tidewright.llm.shingles import mix, shingle_sets
 from tidewright.session import written
 
@@ -56,7 +58,7 @@ PART = 10_000
 BLOCK = 2048
 SET_BLOCK = 1024
 
-SIGNATURES = "doc_id long, n_shingles long, set_key binary, sketch binary"
+SIGNATURES = "doc_id long, text_hash long, n_shingles long, set_key binary, sketch binary"
 TERMS = "term long, node long, n long"
 
 
@@ -96,11 +98,12 @@ def _signatures(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array([s[:K].tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "sketch"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_key", "sketch"],
                 )
 
     return tidy(run)
@@ -394,17 +397,25 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_estimated(least_estimate(percent)), "a long, b long")
 
 
-def components(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT
-) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _row_key(doc_id: str = "doc_id") -> Column:
+    """Order of rows: by id, rows without one last, then by hash of the text."""
+    return F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc_id"), F.col("text_hash").alias("text_hash"))
+
+
+def _classes(rows: DataFrame, width: int, percent: int, without_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(signatures of all rows; set_key, component and its smallest id of every set).
+
+    `rows` has doc_id, text and text_hash. A class of equal sets is a node of its
+    own number, so that an id with several texts stands in several classes.
+    """
     signatures = written(rows.mapInArrow(_signatures(width), SIGNATURES), "signatures")
-    named = signatures.where("doc_id is not null and set_key is not null")
+    named = signatures.where("set_key is not null")
+    if not without_id:
+        named = named.where("doc_id is not null")
     nodes = written(
-        named.groupBy("set_key").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
-        ),
+        named.groupBy("set_key")
+        .agg(F.min(_row_key()).alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .select(F.monotonically_increasing_id().alias("node"), "set_key", "row.doc_id", "row.text_hash", "n", "sketch"),
         "sketches",
     )
     terms = nodes.select("node", "n", "sketch").mapInArrow(_terms(percent), TERMS)
@@ -431,13 +442,16 @@ def components(
     across = _in_blocks(
         labelled.join(open_terms, "term", "left_semi").join(marks, "node"), BLOCK, _compare(percent, False)
     )
-    named = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    clusters = connected(across.unionByName(named), "clusters")
+    joined = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    clusters = connected(across.unionByName(joined), "clusters")
 
-    # Every likely pair is inside a cluster; there, full sets decide.
-    sets = rows.join(clusters.select("node"), rows.doc_id == F.col("node"), "left_semi").select(
-        F.col("doc_id").alias("node"), "text"
-    ).mapInArrow(_sets(width), "node long, held binary").dropDuplicates(["node"])
+    # Every likely pair is inside a cluster; there, full sets decide. A row's id and
+    # text hash lead back to its text.
+    wanted = nodes.join(clusters.select("node"), "node", "left_semi").select(
+        "node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")
+    )
+    found = rows.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
+    sets = found.select("node", "text").mapInArrow(_sets(width), "node long, held binary").dropDuplicates(["node"])
     lengths = clusters.groupBy("component").agg(F.count("*").alias("length"))
     gathered = (
         sets.join(clusters.join(lengths, "component"), "node")
@@ -447,14 +461,32 @@ def components(
         )
     )
     final = connected(_in_blocks(gathered, SET_BLOCK, _compare(percent, True)), "components")
+    ids = nodes.select("set_key", "node", "doc_id")
+    lowest = ids.join(final, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
+    classes = ids.join(final.join(lowest, "component"), "node", "left").select(
+        F.col("set_key").alias("of_key"),
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("low", "doc_id").alias("low"),
+    )
+    return signatures, classes
+
 
-    classes = nodes.select("set_key", "node").join(final, "node", "left").select(
-        F.col("set_key").alias("of_key"), F.coalesce("component", "node").alias("component")
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = picked(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
+    return rows.withColumn("text_hash", F.xxhash64("text"))
+
+
+def components(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    signatures, classes = _classes(_keyed(docs, id_col, text_col), width, percent, False)
     joined = signatures.select("doc_id", "n_shingles", "set_key").join(
         classes, (F.col("set_key") == F.col("of_key")) & F.col("doc_id").isNotNull(), "left"
     )
-    component: Column = F.coalesce("component", "doc_id")
+    component: Column = F.coalesce("low", "doc_id")
     return joined.select(
         "doc_id",
         "n_shingles",
@@ -463,9 +495,39 @@ def components(
     )
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its own columns."""
-    gone = components(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(
-        F.col("doc_id").alias("gone_id")
-    ).distinct()
-    return docs.join(gone, docs[id_col] == gone.gone_id, "left_anti")
+def without_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """One document of each component with its own columns; documents with an empty set all stay.
+
+    Here rows without an id are linked like others. The row with the smallest id
+    stays, then that with the smallest hash of its text (rows without an id come
+    last); of rows that are equal in both, one.
+    """
+    signatures, classes = _classes(_keyed(docs, id_col, text_col), width, percent, True)
+    pairs = (
+        signatures.where("set_key is not null")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.first("set_key").alias("set_key"), F.count("*").alias("rows"))
+        .join(classes.select("of_key", "component"), F.col("set_key") == F.col("of_key"))
+    )
+    chosen = pairs.groupBy("component").agg(F.min(_row_key()).alias("best"))
+    stays = F.col("best") == _row_key()
+    marked = written(
+        pairs.join(chosen, "component")
+        .where(~stays | (F.col("rows") > 1))
+        .select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), stays.alias("stays")),
+        "near-marks",
+    )
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    at = {name: f"c{i}" for i, name in reversed(list(enumerate(docs.columns)))}
+    rows = docs.toDF(*own).withColumns(
+        {"key_id": F.col(at[id_col]).cast("long"), "key_hash": F.xxhash64(F.col(at[text_col]).cast("string"))}
+    )
+    same = (F.col("key_hash") == F.col("of_hash")) & F.col("key_id").eqNullSafe(F.col("of_id"))
+    single = rows.join(marked, same, "left_anti")
+    repeated = rows.join(marked.where("stays"), same, "left_semi")
+    # Planned as a group limit before the shuffle: a task hands on one row of a pair.
+    first = F.row_number().over(Window.partitionBy("key_id", "key_hash").orderBy("key_hash"))
+    one = repeated.withColumn("place", first).where("place = 1")
+    return single.select(*own).unionByName(one.select(*own)).toDF(*docs.columns)
