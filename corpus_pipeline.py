@@ -17,8 +17,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents whose language is recognised; rejected ones go."""
     ship(spark)
     model = language.fit(docs, learn_from=language.learnable())
-    found = language.identify(docs, model)
-    return found.where(~found[found.columns[-1]]).select(*docs.columns)
+    return language.recognised(docs, model)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
