@@ -5,10 +5,13 @@ repetition, closing punctuation); Viterbi decoding marks it content or
 boilerplate. A document is kept when at least CONTENT_SHARE of its word
 characters are in content lines and no base rule fails.
 
-The field is trained on the driver by gradient descent on its exact
-log-likelihood (forward-backward in numpy) over at most SAMPLE documents with a
-quality label, chosen by hash: the lines of good documents count as content,
-those of bad ones as boilerplate.
+The field is trained on the driver over at most SAMPLE documents with a quality
+label, chosen by hash. Labels of lines are hidden: a document's label only says
+how likely its lines are boilerplate. Each step climbs the likelihood of that
+knowledge, expectations with it less those without (forward-backward in numpy),
+so single lines may go against their document. As most documents are of one
+kind throughout, lines of the other kind are set into most training sequences;
+from those the field learns how labels change.
 
 Defined cases: null and empty texts have no words, fail the base rules and are
 not kept; very long texts and lines are read whole; without labels all lines
@@ -29,6 +32,10 @@ from tidewright.llm.common import as_bytes, slices, space_words, tidy
 SAMPLE = 2000
 EPOCHS = 4
 RATE = 0.2
+# Chances of boilerplate and content on a line of a bad and of a good document, before its features are seen.
+CHANCES = np.array([[0.9, 0.1], [0.05, 0.95]])
+# Share of training sequences into which lines of the other kind are set, so that labels change within them.
+SPLICED = 0.7
 CONTENT_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -137,10 +144,9 @@ class LineField:
             labels.append(label)
         return labels[::-1]
 
-    def gradient(self, lines: list[list[int]], label: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of the log-likelihood of `label` on every line; expectations by forward-backward."""
-        local = self.scores(lines)
-        n = len(lines)
+    def _expected(self, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chance of each label on each line, and of each step summed over the lines, by forward-backward."""
+        n = len(local)
         ahead, behind = np.zeros((n, 2)), np.zeros((n, 2))
         ahead[0] = local[0]
         for k in range(1, n):
@@ -149,15 +155,32 @@ class LineField:
             nxt = local[k + 1] + behind[k + 1]
             behind[k] = np.logaddexp(self.steps[:, 0] + nxt[0], self.steps[:, 1] + nxt[1])
         total = np.logaddexp(*ahead[-1])
-        at = -np.exp(ahead + behind - total)
+        pairs = ahead[:-1, :, None] + self.steps + (local + behind)[1:, None, :] - total
+        return np.exp(ahead + behind - total), np.exp(pairs).sum(axis=0)
+
+    def hidden_gradient(self, lines: list[list[int]], chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the log-likelihood of what is known of hidden labels: before any feature, `chances` for each.
+
+        Expectations with that knowledge less those without.
+        """
+        local = self.scores(lines)
+        known, known_steps = self._expected(local + np.log(chances))
+        free, free_steps = self._expected(local)
+        weights = np.zeros_like(self.weights)
+        for found, g in zip(lines, known - free, strict=True):
+            weights[found] += g
+        return weights / len(lines), (known_steps - free_steps) / len(lines)
+
+    def gradient(self, lines: list[list[int]], label: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the log-likelihood of `label` on every line; expectations by forward-backward."""
+        at, steps = self._expected(self.scores(lines))
+        at, steps = -at, -steps
         at[:, label] += 1
-        weights, steps = np.zeros_like(self.weights), np.zeros_like(self.steps)
+        weights = np.zeros_like(self.weights)
         for found, g in zip(lines, at, strict=True):
             weights[found] += g
-        for k in range(1, n):
-            steps -= np.exp(ahead[k - 1][:, None] + self.steps + local[k] + behind[k] - total)
-        steps[label, label] += n - 1
-        return weights / n, steps / n
+        steps[label, label] += len(lines) - 1
+        return weights / len(lines), steps / len(lines)
 
 
 def document_lines(text: bytes) -> tuple[list[bytes], list[bool]]:
@@ -171,6 +194,15 @@ def document_lines(text: bytes) -> tuple[list[bytes], list[bool]]:
     return lines, repeated
 
 
+def _spliced(lines, chances, other: tuple[list[list[int]], int], rng) -> tuple[list[list[int]], np.ndarray]:
+    """The lines with one to three of another document of the other kind among them."""
+    more, label = other
+    n = min(len(more), int(rng.integers(1, 4)))
+    start, at = int(rng.integers(len(more) - n + 1)), int(rng.integers(len(lines) + 1))
+    own = np.repeat(CHANCES[label][None], n, axis=0)
+    return lines[:at] + more[start : start + n] + lines[at:], np.concatenate([chances[:at], own, chances[at:]])
+
+
 def train(texts: list[bytes], good: list[bool], seed: int = 5) -> LineField:
     field = LineField.neutral()
     rng = np.random.default_rng(seed)
@@ -179,9 +211,14 @@ def train(texts: list[bytes], good: list[bool], seed: int = 5) -> LineField:
         lines, repeated = document_lines(text)
         if lines:
             documents.append(([line_features(*x) for x in zip(lines, repeated, strict=True)], int(label)))
+    kinds = [[k for k, (_, label) in enumerate(documents) if label == kind] for kind in (0, 1)]
     for epoch in range(EPOCHS):
         for i in rng.permutation(len(documents)):
-            weights, steps = field.gradient(*documents[i])
+            lines, label = documents[i]
+            chances = np.repeat(CHANCES[label][None], len(lines), axis=0)
+            if kinds[1 - label] and rng.random() < SPLICED:
+                lines, chances = _spliced(lines, chances, documents[rng.choice(kinds[1 - label])], rng)
+            weights, steps = field.hidden_gradient(lines, chances)
             rate = RATE * (1 - epoch / EPOCHS)
             field.weights += rate * weights
             field.steps += rate * steps
