@@ -10,6 +10,8 @@ answers are small enough to go back by chunk.
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -17,17 +19,26 @@ from pyspark.sql import DataFrame, functions as F
 from tidewright.llm.common import as_bytes, release_memory
 
 CHUNK_BYTES = 2 << 20
+# Every chunk sends one message to every bucket, and there are as many buckets as
+# chunks. So that messages do not dwindle, chunks grow with the root of all text,
+# each message standing for this many bytes of it: their number follows the text.
+MESSAGE_BYTES = 1536
 NO_ID = np.iinfo(np.int64).max
 
 MESSAGES = "bucket long, chunk long, kind int, body binary, docs binary"
 ANSWERS = "chunk long, bucket long, kind int, body binary"
 
 
+def chunk_bytes(size: int) -> int:
+    """Bytes of text in a chunk: 2 MB up to 2.7 GB of text, 40 MB at 1 TB, 400 MB at 100 TB."""
+    return max(CHUNK_BYTES, isqrt(size * MESSAGE_BYTES))
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(doc_id, text, chunk) and the number of chunks, which follows the size of all texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // CHUNK_BYTES) or 1
+    n = -(-size // chunk_bytes(size)) or 1
     return rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))), n
 
 
