@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import to_micros
@@ -27,12 +27,13 @@ from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, st
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import DLQ_SCHEMA, LATE_PARTITION, LATE_THRESHOLD_HOURS
 from tidewright.session import pin_utc
+from tidewright.sources import manifest
 from tidewright.sources.batches import is_rolled, replace_batch as _replace_batch, roll_up
 from tidewright.sources.partials import roll_up_partials, write_partials
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
 from tidewright.sources.files import has_data
 from tidewright.sources.streams import FLUSH_SECONDS
-from tidewright.sources.tables import BATCH, read_batches, read_events, read_or_empty
+from tidewright.sources.tables import BATCH, read_batches, read_events
 
 log = logging.getLogger(__name__)
 
@@ -130,12 +131,16 @@ def _first_counts(spark: SparkSession, path: str, batch: str) -> dict[str, int]
 
 
 def _undated_index(spark: SparkSession, paths: IngestPaths) -> DataFrame:
-    """Built once from a table that is older than its index: undated events carry their ingest time."""
-    index = read_or_empty(spark, paths.undated, T.StructType.fromDDL(UNDATED_SCHEMA))
-    if not has_data(spark, paths.undated) and has_data(spark, paths.events):
+    """Ids of stored undated events.
+
+    For a table that is older than its index it is built and stored once:
+    undated events carry their ingest time.
+    """
+    known = has_data(spark, paths.undated) or manifest.state(spark, paths.undated).runs
+    if not known and has_data(spark, paths.events):
         old = read_events(spark, paths.events).where("created_at = ingested_at")
-        return old.select("event_id", F.col("date").alias("day"))
-    return index
+        _replace_batch(old.select("event_id", F.col("date").alias("day")), paths.undated, "before-the-index")
+    return read_batches(spark, paths.undated, UNDATED_SCHEMA)
 
 
 def ingest_batch(
@@ -213,9 +218,8 @@ def store_judged(
             new = marked.where(~F.col("_stored"))
             if seen["undated"]:
                 # Before the events: an id too many only names a day to look in.
-                new.where(~F.col("created_at_ok")).select("event_id", F.col("date").alias("day")).coalesce(
-                    1
-                ).write.mode("append").parquet(paths.undated)
+                ids = new.where(~F.col("created_at_ok")).select("event_id", F.col("date").alias("day"))
+                _replace_batch(ids.hint("rebalance"), paths.undated, batch)
             append_events(new, paths.events)
         if seen["dead_lettered"]:
             try:
@@ -290,7 +294,10 @@ def ingest_counters(spark: SparkSession, path: str) -> DataFrame:
 
 def roll_up_batches(spark: SparkSession, paths: IngestPaths, unchanged_hours: float = 24) -> dict[str, int]:
     """Merge the partitions of sealed batches in every batch table; batches merged per table."""
-    done = {"dead_letters": roll_up(spark, paths.dead_letters, DLQ_SCHEMA, None, unchanged_hours)}
+    done = {
+        "dead_letters": roll_up(spark, paths.dead_letters, DLQ_SCHEMA, None, unchanged_hours),
+        "undated": roll_up(spark, paths.undated, UNDATED_SCHEMA, None, unchanged_hours),
+    }
     if paths.metrics:
         done["metrics"] = roll_up(spark, paths.metrics, METRICS_SCHEMA, None, unchanged_hours)
     if paths.counters:
