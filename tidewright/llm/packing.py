@@ -183,7 +183,8 @@ def packed(
     number = F.col("base") + F.col("nth")
     at = number - F.col("first")
     return (
-        pieces.join(bases, ["part", "length"])
+        # Its rows grow with the tasks, so it is never broadcast.
+        pieces.join(bases.hint("merge"), ["part", "length"])
         .join(plan, "length")
         .where((number >= F.col("first")) & (number < F.col("past")))
         .select(
