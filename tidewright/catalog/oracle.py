@@ -554,9 +554,13 @@ WHERE rank <= 3""",
   CASE WHEN coalesce(push_base, 0) < 1 THEN 'unknown' WHEN push / push_base < 0.15 THEN 'alert'
     WHEN push / push_base < 0.5 THEN 'warn' ELSE 'ok' END AS cadence_status,
   coalesce(runs, 0) AS ci_runs, round(coalesce(push, 0), 6) AS pushes_per_hour,
+  round(rate, 6) AS ci_rate, CASE WHEN rate IS NOT NULL THEN round(base_rate, 6) END AS ci_baseline,
+  round(hours, 6) AS merge_hours,
+  CASE WHEN hours IS NOT NULL AND base_hours > 0 THEN round(base_hours, 6) END AS merge_baseline,
+  CASE WHEN push_base >= 1 THEN round(push_base, 6) END AS pushes_baseline,
   'Based on CI/PR/commit signals — not a live production health check' AS caption
-FROM (SELECT scope, coalesce(repo_name, '') AS key, recent_failure_rate AS rate, recent_runs AS runs
-      FROM ci_r)
+FROM (SELECT scope, coalesce(repo_name, '') AS key, recent_failure_rate AS rate, recent_runs AS runs,
+      baseline_failure_rate AS base_rate FROM ci_r)
 FULL JOIN (SELECT scope, coalesce(repo_name, '') AS key, recent_avg_merge_hours AS hours,
       baseline_avg_merge_hours AS base_hours FROM pr_r) USING (scope, key)
 FULL JOIN (SELECT scope, coalesce(repo_name, '') AS key, recent_pushes_per_hour AS push,
@@ -577,7 +581,9 @@ FROM snap""",
   CASE WHEN rate >= 0.35 THEN 'high' WHEN rate >= 0.15 THEN 'medium' ELSE 'low' END AS severity,
   'Manually triggered snapshot of ' || repo || '''s current CI state over the last 24h — ' ||
     'real data, not a detected anomaly.' || coalesce(worst, '') AS description,
-  repo, true AS is_demo
+  repo, true AS is_demo,
+  'snap-' || substr(sha1(concat_ws(':', scope, repo, epoch_us({AS_OF}))), 1, 8) AS anomaly_id,
+  round(rate, 6) AS recent_failure_rate, round(base, 6) AS baseline_failure_rate, CAST(runs AS DOUBLE) AS recent_runs
 FROM snap WHERE rate IS NOT NULL AND runs > 0""",
     "freshness": """SELECT max(ts) AS latest_event_at, max(ts) AS latest_ci_run_at,
   (SELECT count(*) FROM documents) AS case_count,

@@ -305,7 +305,12 @@ def health_signal(spark, sf):
         F.col("pr_velocity.status").alias("pr_status"),
         F.col("commit_cadence.status").alias("cadence_status"),
         F.col("ci_stability.runs").alias("ci_runs"),
+        F.round("ci_stability.failure_rate", 6).alias("ci_rate"),
+        F.round("ci_stability.baseline_failure_rate", 6).alias("ci_baseline"),
+        F.round("pr_velocity.avg_merge_hours", 6).alias("merge_hours"),
+        F.round("pr_velocity.baseline_avg_merge_hours", 6).alias("merge_baseline"),
         F.round("commit_cadence.pushes_per_hour", 6).alias("pushes_per_hour"),
+        F.round("commit_cadence.baseline_pushes_per_hour", 6).alias("pushes_baseline"),
         "caption",
     )
 
@@ -327,7 +332,11 @@ def snapshot_text(spark, sf):
 def snapshot_anomaly(spark, sf):
     at, rows = _snapshots(spark, sf)
     found = snapshot.snapshot_anomaly(rows, at)
-    return found.select("type", "title", "severity", "description", "repo", "is_demo")
+    metric = {
+        name: F.round(F.col("metric")[name], 6).alias(name)
+        for name in ("recent_failure_rate", "baseline_failure_rate", "recent_runs")
+    }
+    return found.select("anomaly_id", "type", "title", "severity", "description", "repo", "is_demo", *metric.values())
 
 
 @query

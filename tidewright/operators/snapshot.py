@@ -54,29 +54,25 @@ def evidence_snapshot(
         windowed.push_rates(scoped, as_of, window_hours, baseline_hours),
     )
     workflow_cols = ("workflow_name", "failures", "runs", "failure_rate")
+    # The lists of the whole stream come from those of the repositories: the sums and
+    # the newest merges are computed once, and the plan reuses their exchanges.
+    sums = windowed.workflow_sums(runs, as_of, window_hours)
+    worst_repo = windowed.worst_workflows(sums, TOP_WORKFLOWS, per_repo=True)
     worst_all = _numbered(
-        windowed.failing_workflows(runs, as_of, window_hours, TOP_WORKFLOWS),
+        windowed.worst_workflows(sums, TOP_WORKFLOWS),
         F.desc("failure_rate"),
         F.desc("failures"),
         F.col("workflow_name"),
     )
-    worst_repo = windowed.failing_workflows(
-        runs, as_of, window_hours, TOP_WORKFLOWS, per_repo=True
-    )
     workflows = _both_scopes(
         _in_order(worst_repo, "repo", "failing_workflows", *workflow_cols),
         _in_order(worst_all, "repo", "failing_workflows", *workflow_cols),
         "failing_workflows",
     )
     merge_cols = ("pr_number", "title", "actor_login", "merged_at")
-    merges_all = _numbered(
-        windowed.merged_recent(scoped, as_of, window_hours, RECENT_MERGES),
-        F.desc("merged_at"),
-        F.col("pr_number"),
-    )
-    merges_repo = windowed.merged_recent(
-        scoped, as_of, window_hours, RECENT_MERGES, per_repo=True
-    )
+    merges_repo = windowed.newest_merges(scoped, as_of, window_hours, RECENT_MERGES)
+    newest = (F.desc("merged_at"), F.col("event_id"))
+    merges_all = _numbered(merges_repo.drop("rank").orderBy(*newest).limit(RECENT_MERGES), *newest)
     merges = _both_scopes(
         _in_order(merges_repo, "repo_name", "merged_prs", *merge_cols),
         _in_order(merges_all, "repo", "merged_prs", *merge_cols),

@@ -96,6 +96,28 @@ def failure_rates(
     )
 
 
+def workflow_sums(runs: DataFrame, as_of: int, window_hours: float = WINDOW_HOURS) -> DataFrame:
+    """Failures and decisive runs of every workflow of every repository in the window."""
+    return (
+        window(decisive(runs), "created_at", as_of, window_hours)
+        .groupBy("repo", "workflow_name")
+        .agg(F.count_if(F.col("conclusion") == "failure").alias("failures"), F.count("*").alias("runs"))
+    )
+
+
+def worst_workflows(sums: DataFrame, limit: int = 5, min_runs: int = 2, per_repo: bool = False) -> DataFrame:
+    """Workflows by failure rate, from their sums; single runs are left out."""
+    if not per_repo:
+        sums = sums.groupBy("workflow_name").agg(F.sum("failures").alias("failures"), F.sum("runs").alias("runs"))
+    rates = sums.where(F.col("runs") >= min_runs).withColumn(
+        "failure_rate", _ratio(F.col("failures"), F.col("runs"))
+    )
+    order = (F.desc("failure_rate"), F.desc("failures"), "workflow_name")
+    if per_repo:
+        return top_k(rates, "repo", limit, *order)
+    return rates.orderBy(*order).limit(limit)
+
+
 def failing_workflows(
     runs: DataFrame,
     as_of: int,
@@ -105,21 +127,7 @@ def failing_workflows(
     per_repo: bool = False,
 ) -> DataFrame:
     """Workflows by failure rate in the window; single runs are left out."""
-    keys = ["repo", "workflow_name"] if per_repo else ["workflow_name"]
-    rates = (
-        window(decisive(runs), "created_at", as_of, window_hours)
-        .groupBy(*keys)
-        .agg(
-            F.count_if(F.col("conclusion") == "failure").alias("failures"),
-            F.count("*").alias("runs"),
-        )
-        .where(F.col("runs") >= min_runs)
-        .withColumn("failure_rate", _ratio(F.col("failures"), F.col("runs")))
-    )
-    order = (F.desc("failure_rate"), F.desc("failures"), "workflow_name")
-    if per_repo:
-        return top_k(rates, "repo", limit, *order)
-    return rates.orderBy(*order).limit(limit)
+    return worst_workflows(workflow_sums(runs, as_of, window_hours), limit, min_runs, per_repo)
 
 
 # The payload fields the merge metrics read.
@@ -249,15 +257,15 @@ def event_windows(
     )
 
 
-def merged_recent(
-    events: DataFrame,
-    as_of: int,
-    window_hours: float = WINDOW_HOURS,
-    limit: int = 10,
-    per_repo: bool = False,
+def newest_merges(
+    events: DataFrame, as_of: int, window_hours: float = WINDOW_HOURS, limit: int = 10
 ) -> DataFrame:
-    """Pull requests merged in the window, newest first."""
-    rows = merged_pull_requests(window(events, "created_at", as_of, window_hours)).select(
+    """The last pull requests merged in each repository, with their rank and event id."""
+    return top_k(_merges(events, as_of, window_hours), "repo_name", limit, F.desc("merged_at"), "event_id")
+
+
+def _merges(events: DataFrame, as_of: int, window_hours: float) -> DataFrame:
+    return merged_pull_requests(window(events, "created_at", as_of, window_hours)).select(
         "repo_name",
         "event_id",
         F.col("pr.number").alias("pr_number"),
@@ -265,9 +273,19 @@ def merged_recent(
         "actor_login",
         F.col("created_at").alias("merged_at"),
     )
-    order = (F.desc("merged_at"), "event_id")
+
+
+def merged_recent(
+    events: DataFrame,
+    as_of: int,
+    window_hours: float = WINDOW_HOURS,
+    limit: int = 10,
+    per_repo: bool = False,
+) -> DataFrame:
+    """Pull requests merged in the window, newest first."""
     if per_repo:
-        return top_k(rows, "repo_name", limit, *order).drop("event_id")
-    return rows.orderBy(*order).limit(limit).select(
+        return newest_merges(events, as_of, window_hours, limit).drop("event_id")
+    rows = _merges(events, as_of, window_hours)
+    return rows.orderBy(F.desc("merged_at"), "event_id").limit(limit).select(
         "pr_number", "title", "actor_login", "merged_at"
     )
