@@ -647,6 +647,17 @@ def test_the_stored_side_is_not_shuffled(spark, tmp_path):
     assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
 
 
+def test_late_threshold_is_noted_once_and_only_for_whole_tables(spark, paths, tmp_path):
+    assert tables.late_hours(spark, paths.events) is None
+    for hours, want in ((24, 24), (48, 48), (24, 48)):
+        tables.remember_late_hours(spark, paths.events, hours)
+        assert tables.late_hours(spark, paths.events) == want
+    old = str(tmp_path / "old")
+    spark.createDataFrame([("1", "late")], "event_id string, date string").write.partitionBy("date").parquet(old)
+    tables.remember_late_hours(spark, old, 24)
+    assert tables.late_hours(spark, old) is None
+
+
 def test_many_days_become_a_range(spark):
     stored = spark.createDataFrame([("2020-01-01",), ("2024-06-01",), ("late",)], "date string").withColumn(
         "created_at", F.lit(NOW)
@@ -668,7 +679,10 @@ def test_lag_and_feed_prune_dates(spark, paths):
     lag = activity.lag_stats(table, 60, to_micros(NOW), late_hours=40)
     assert "PartitionFilters: [((date" in lag._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
     assert lag.first() == activity.lag_stats(table, 60, to_micros(NOW)).first()
+    assert tables.late_hours(spark, paths.events) == 40
     found = refresh.metric_tables(spark, paths.events, to_micros(NOW), 60)
+    # The threshold is noted with the table, so the lag prunes without being told.
+    assert "PartitionFilters: [((date" in found["lag"]._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
     plan = found["recent"]._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
     assert "PartitionFilters: [((date" in plan or found["recent"].count() == len(rows)
     out = paths.events + "-metrics"

@@ -55,3 +55,6 @@ def test_workspace(spark, tmp_path):
     texts = spark.createDataFrame([(1, "Fix scheduler crash\nbody one")], "query_id int, text string")
     best = space.search(texts, 1).first()
     assert best.case_id == "pr-1" and best.similarity_band == "high"
+    index = space.neighbor_index()
+    assert [tuple(r) for r in space.search(texts, 1, index).collect()] == [tuple(best)]
+    assert space.lag(60, NOW).first().sample_size == 217

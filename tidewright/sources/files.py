@@ -61,6 +61,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(root) if status.isDirectory()]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.mkdirs(folder)
+
+
 @dataclass(frozen=True)
 class Folder:
     path: str

@@ -14,8 +14,10 @@ from tidewright.schemas import (
     LATE_PARTITION,
 )
 from tidewright.sources import manifest
-from tidewright.sources.files import has_data, partition_names
+from tidewright.sources.files import folder_names, has_data, make_folder, partition_names
 
+# Folder of the event table whose sub-folders are named for what holds for all its rows.
+SETTINGS = "_settings"
 # Partition column of tables that keep one partition per ingest batch.
 BATCH = "ingest_batch"
 # Folder of the event table in which compactions write their runs.
@@ -83,6 +85,24 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return read_event_files(spark, path).select(*EVENT_TABLE_SCHEMA.names)
 
 
+def late_hours(spark: SparkSession, path: str) -> float | None:
+    """The late threshold that all events of the table were filed with, if the table knows it."""
+    names = [n for n in folder_names(spark, f"{path.rstrip('/')}/{SETTINGS}") if n.startswith("late_hours=")]
+    return max((float(n.partition("=")[2]) for n in names), default=None)
+
+
+def remember_late_hours(spark: SparkSession, path: str, hours: float) -> None:
+    """Note the threshold of a batch beside the table, as the name of a folder.
+
+    The largest one counts. A table that was filled before anything was noted
+    stays unknown.
+    """
+    known = late_hours(spark, path)
+    if known is None and has_data(spark, path) or known is not None and known >= hours:
+        return
+    make_folder(spark, f"{path.rstrip('/')}/{SETTINGS}/late_hours={float(hours)}")
+
+
 def partition_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the date folders, those of compacted runs included; no file is listed."""
     names = set(partition_names(spark, path))

@@ -33,7 +33,7 @@ from tidewright.sources.partials import roll_up_partials, write_partials
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
 from tidewright.sources.files import has_data
 from tidewright.sources.streams import FLUSH_SECONDS
-from tidewright.sources.tables import BATCH, read_batches, read_events
+from tidewright.sources.tables import BATCH, read_batches, read_events, remember_late_hours
 
 log = logging.getLogger(__name__)
 
@@ -215,6 +215,7 @@ def store_judged(
                 row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
                 _replace_batch(row.coalesce(1), paths.counters, batch)
         if kept["written"]:
+            remember_late_hours(spark, paths.events, threshold_hours)
             new = marked.where(~F.col("_stored"))
             if seen["undated"]:
                 # Before the events: an id too many only names a day to look in.

@@ -13,7 +13,7 @@ from tidewright.plans.feed import recent_feed
 from tidewright.schemas import EVENT_TABLE_SCHEMA
 from tidewright.sources import anomaly_store, partials
 from tidewright.sources.sinks import swap_in
-from tidewright.sources.tables import read_ci_runs, read_events
+from tidewright.sources.tables import late_hours as read_late_hours, read_ci_runs, read_events
 
 # Seconds between two refreshes and two detection sweeps.
 REFRESH_SECONDS = 4
@@ -29,7 +29,7 @@ def metric_tables(
     late_hours: float | None = None,
     partials_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Every table reads only the dates it needs; the lag does so with the table's late threshold.
+    """Every table reads only the dates it needs; the lag does so by the late threshold, given or noted with the table.
 
     With the partials of the ingest, events are read for the broken first hour
     alone, and distinct actors are estimated.
@@ -43,6 +43,7 @@ def metric_tables(
             "lag": hourly.lag_report(partials.read_lag(spark, partials_path), as_of, since_minutes),
             "recent": recent_feed(spark, f"{partials_path}/newest"),
         }
+    late_hours = read_late_hours(spark, events_path) if late_hours is None else late_hours
     counts = activity.event_counts(events, since_minutes, as_of)
     return {
         "event_counts": ranking.share_of_total(counts, "event_count"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewright.functions.text import strip_whitespace
 from tidewright.functions.time_bounds import now_micros, to_micros
-from tidewright.operators import activity, cases as C, detection, neighbors, outcomes, snapshot
+from tidewright.operators import activity, cases as C, detection, neighbor_index, neighbors, outcomes, snapshot
 from tidewright.plans import feed, knowledge
 from tidewright.session import pin_utc
 from tidewright.sources import anomaly_store, tables
@@ -77,7 +77,8 @@ class Workspace:
         return activity.top_entities(self.events(), since_minutes, limit, self._at(as_of))
 
     def lag(self, since_minutes: float = 60, as_of=None) -> DataFrame:
-        return activity.lag_report(self.events(), since_minutes, self._at(as_of))
+        noted = tables.late_hours(self.spark, self.layout.events)
+        return activity.lag_report(self.events(), since_minutes, self._at(as_of), noted)
 
     def recent(self, limit: int = 20, event_type: str | None = None) -> DataFrame:
         return feed.recent_feed(self.spark, self.layout.events, limit, event_type)
@@ -121,9 +122,14 @@ class Workspace:
 
     # ---- knowledge
 
-    def search(self, texts: DataFrame, k: int = 5) -> DataFrame:
-        """`texts` has query_id and text."""
-        return neighbors.search(self.embed(texts, "text"), self.corpus(), k)
+    def neighbor_index(self, k: int = 5) -> neighbor_index.NeighborIndex:
+        """An index for approximate searches, fitted on a sample of the corpus."""
+        return neighbor_index.fit(self.corpus(), k)
+
+    def search(self, texts: DataFrame, k: int = 5, index: neighbor_index.NeighborIndex | None = None) -> DataFrame:
+        """`texts` has query_id and text; exact, or through an index."""
+        find = neighbors.nearest if index is None else index.nearest
+        return neighbors.search(self.embed(texts, "text"), self.corpus(), k, find)
 
     def outcomes(self, case_ids: DataFrame) -> DataFrame:
         return outcomes.estimate_for_ids(self.cases(), case_ids)
