@@ -135,3 +135,12 @@ def first_columns(rows: DataFrame, names: list[str], keep: Callable[[Column], Co
     numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
     kept = numbered.where(keep(F.col(f"c{len(rows.columns) - 1}")))
     return kept.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
+# Rows of a few numbers each that every executor may hold.
+BROADCAST_ROWS = 500_000
+
+
+def small_or_shuffled(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table, broadcast in joins if it has no more rows than that; larger ones are shuffled."""
+    return F.broadcast(stored) if stored.count() <= rows else stored

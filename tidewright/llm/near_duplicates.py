@@ -45,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewright.llm.common import as_bytes, folded_space_words, picked, slices, tidy
+from tidewright.llm.common import as_bytes, folded_space_words, picked, slices, small_or_shuffled, tidy
 from tidewright.llm.shingles import mix, shingle_sets
 from tidewright.session import written
 
@@ -447,10 +447,13 @@ def _classes(rows: DataFrame, width: int, percent: int, without_id: bool) -> tup
 
     # Every likely pair is inside a cluster; there, full sets decide. A row's id and
     # text hash lead back to its text.
-    wanted = nodes.join(clusters.select("node"), "node", "left_semi").select(
-        "node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")
+    wanted = written(
+        nodes.join(clusters.select("node"), "node", "left_semi").select(
+            "node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")
+        ),
+        "wanted",
     )
-    found = rows.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
+    found = rows.join(small_or_shuffled(wanted), (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
     sets = found.select("node", "text").mapInArrow(_sets(width), "node long, held binary").dropDuplicates(["node"])
     lengths = clusters.groupBy("component").agg(F.count("*").alias("length"))
     gathered = (
@@ -525,8 +528,8 @@ def without_near_duplicates(
         {"key_id": F.col(at[id_col]).cast("long"), "key_hash": F.xxhash64(F.col(at[text_col]).cast("string"))}
     )
     same = (F.col("key_hash") == F.col("of_hash")) & F.col("key_id").eqNullSafe(F.col("of_id"))
-    single = rows.join(marked, same, "left_anti")
-    repeated = rows.join(marked.where("stays"), same, "left_semi")
+    single = rows.join(small_or_shuffled(marked), same, "left_anti")
+    repeated = rows.join(small_or_shuffled(marked.where("stays")), same, "left_semi")
     # Planned as a group limit before the shuffle: a task hands on one row of a pair.
     first = F.row_number().over(Window.partitionBy("key_id", "key_hash").orderBy("key_hash"))
     one = repeated.withColumn("place", first).where("place = 1")
