@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewright.llm.common import as_bytes, picked, slices, tidy
-from tidewright.llm.word_ids import ids_column, tokenizer_path, worker_encoder
+from tidewright.llm.word_ids import SLICE_BYTES, ids_column, tokenizer_path, worker_encoder
 from tidewright.session import work_dir, written
 
 END_ID = 0
@@ -131,7 +131,7 @@ def _encode(path: str, longest: int):
         encoder = worker_encoder(path, END_ID)
         part, seen = TaskContext.get().partitionId(), np.zeros(longest + 1, np.int64)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 ids, counts = encoder.encode_all(as_bytes(batch.column("text")))
                 pieces = -(-counts // longest)
                 of = np.repeat(np.arange(len(counts)), pieces)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.llm.common import as_bytes, slices, tidy
-from tidewright.llm.word_ids import WordEncoder, ids_column, tokenizer_path, worker_encoder
+from tidewright.llm.word_ids import SLICE_BYTES, WordEncoder, ids_column, tokenizer_path, worker_encoder
 from tidewright.session import work_dir
 
 END_ID = 1
@@ -52,7 +52,7 @@ def _encode(path: str):
         encoder = worker_encoder(path, END_ID)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 ids, counts = encoder.encode_all(as_bytes(batch.column("text")))
                 n = len(counts)
                 starts = before + np.cumsum(counts) - counts

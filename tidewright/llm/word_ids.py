@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 
 # Words that a worker keeps, about 30 bytes each.
-HELD_WORDS = 1_500_000
+HELD_WORDS = 500_000
 # Longer words are hashed one by one.
 _LONG = 64
-_PART = 50_000
+_PART = 20_000
+# Text that goes through the array operations at once; each byte takes some 40 meanwhile.
+SLICE_BYTES = 1 << 20
 
 # What the tokenizer of the queries does before its merges. Fixed values of its file.
 _NORMALIZER = {
@@ -88,6 +90,7 @@ class WordEncoder:
         self._steps = (np.zeros(0, np.uint64),) * 2
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
+        parts["model"].pop("merges", None)
         steps = parts["pre_tokenizer"].get("pretokenizers", []) if parts["pre_tokenizer"] else []
         self.merges = None
         if (
