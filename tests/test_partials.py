@@ -89,6 +89,16 @@ def test_a_batch_that_runs_again_counts_once(spark, paths, monkeypatch, broken):
     same(spark, paths, 60 * 40)
 
 
+def test_refresh_after_a_roll_up_equals_the_one_before(spark, paths):
+    for seed in range(3):
+        ingest.ingest_batch(raw(spark, *batch(seed)), paths, f"s-{seed}", stamp=ago(minutes=30 * (2 - seed)))
+    assert ingest.roll_up_batches(spark, paths, unchanged_hours=0)["partials"] == 3
+    for minutes in (75, 60 * 40):
+        same(spark, paths, minutes)
+    ingest.ingest_batch(raw(spark, *batch(3)), paths, "s-3", stamp=NOW)
+    same(spark, paths, 60 * 40)
+
+
 def test_partials_need_counters(tmp_path):
     with pytest.raises(ValueError):
         ingest.IngestPaths("a", "b", partials="c")

@@ -12,14 +12,21 @@ from tidewright.sources.tables import event_days, read_events
 def recent_feed(
     spark: SparkSession, path: str, limit: int = 20, event_type: str | None = None
 ) -> DataFrame:
-    """Same rows as `recent_events` over the whole table.
+    """Same rows as `recent_events` over the whole table."""
+    return newest_by_day(read_events(spark, path), event_days(spark, path), limit, event_type)
 
-    Date partitions are probed from the newest backwards, twice as many each
-    time, until they hold enough rows. The oldest of those rows bounds the
-    answer, late rows included, so the final scan is pruned to it.
+
+def newest_by_day(
+    events: DataFrame, days: list[str], limit: int = 20, event_type: str | None = None
+) -> DataFrame:
+    """Same rows as `recent_events` over all of `events`, partitioned by `date`.
+
+    `days` are their dates in ascending order, the late one left out. They are
+    probed from the newest backwards, twice as many each time, until they hold
+    enough rows. The oldest of those rows bounds the answer, late rows included,
+    so the final scan is pruned to it.
     """
-    events = read_events(spark, path)
-    dated = event_days(spark, path)[::-1]
+    dated = days[::-1]
     wanted = events if event_type is None else events.where(F.col("event_type") == event_type)
     taken = 1
     while taken <= len(dated):

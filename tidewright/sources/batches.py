@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.sources import manifest
-from tidewright.sources.files import delete, folders
+from tidewright.sources.files import delete, folders, partition_names
 from tidewright.sources.tables import BATCH, read_or_empty, with_batch
 
 
@@ -24,6 +24,14 @@ def is_rolled(spark: SparkSession, path: str, batch: str) -> bool:
     return not ledger.where(F.col("run").isin(*runs) & (F.col(BATCH) == batch)).isEmpty()
 
 
+def partition_days(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the partition column above the batch in ascending order, those of rolled-up batches included."""
+    names = set(partition_names(spark, path))
+    for run in manifest.state(spark, path).runs:
+        names |= set(partition_names(spark, f"{path}/_rolled/run={run}"))
+    return sorted(n.removeprefix(f"{key}=") for n in names if n.startswith(f"{key}="))
+
+
 def replace_batch(rows: DataFrame, path: str, batch: str, by: list[str] | None = None) -> None:
     """Write the rows of one batch under their own partition, in place of those of an earlier run."""
     if is_rolled(rows.sparkSession, path, batch):

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.operators.hourly import hourly_counts, lag_sums
-from tidewright.schemas import EVENT_TABLE_SCHEMA
-from tidewright.sources.batches import replace_batch, roll_up
+from tidewright.schemas import EVENT_TABLE_SCHEMA, LATE_PARTITION
+from tidewright.sources.batches import partition_days, replace_batch, roll_up
 from tidewright.sources.tables import read_batches
 
 # Enough for a feed of that many rows from any set of batches.
@@ -44,6 +44,11 @@ def read_newest(spark: SparkSession, path: str) -> DataFrame:
     return read_batches(spark, f"{path}/newest", EVENT_TABLE_SCHEMA)
 
 
+def newest_days(spark: SparkSession, path: str) -> list[str]:
+    """Dates of the newest events in ascending order; the late one is left out."""
+    return [day for day in partition_days(spark, f"{path}/newest", "date") if day != LATE_PARTITION]
+
+
 def roll_up_partials(spark: SparkSession, path: str, unchanged_hours: float = 24) -> int:
     """Merge the partials of sealed batches; the number of batches."""
     merged = 0

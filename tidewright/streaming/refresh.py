@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.time_bounds import now_micros, to_micros
 from tidewright.operators import activity, detection, hourly, ranking
-from tidewright.plans.feed import recent_feed
+from tidewright.plans.feed import newest_by_day, recent_feed
 from tidewright.schemas import EVENT_TABLE_SCHEMA
 from tidewright.sources import anomaly_store, partials
 from tidewright.sources.sinks import swap_in
@@ -41,7 +41,9 @@ def metric_tables(
             "event_counts": ranking.share_of_total(hourly.event_counts(parts), "event_count"),
             "top_entities": hourly.top_entities(parts, limit),
             "lag": hourly.lag_report(partials.read_lag(spark, partials_path), as_of, since_minutes),
-            "recent": recent_feed(spark, f"{partials_path}/newest"),
+            "recent": newest_by_day(
+                partials.read_newest(spark, partials_path), partials.newest_days(spark, partials_path)
+            ),
         }
     late_hours = read_late_hours(spark, events_path) if late_hours is None else late_hours
     counts = activity.event_counts(events, since_minutes, as_of)
