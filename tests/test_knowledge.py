@@ -96,6 +96,27 @@ def test_hash_vector(spark, dim):
         assert math.isclose(sum(v * v for v in got[text]), 1.0)
 
 
+def test_hash_vector_as_floats_and_without_text(spark):
+    rows = spark.createDataFrame([("hello",), (None,)], "t string").select(
+        "t", hash_vector(F.col("t"), 13).alias("v"), hash_vector(F.col("t"), 13, "float").alias("f")
+    )
+    known, missing = (rows.where(F.col("t").isNotNull() == x).first() for x in (True, False))
+    assert known.f == np.asarray(known.v, dtype=np.float32).tolist()
+    assert missing.v == missing.f == [None] * 13
+
+
+def test_cases_are_dealt_out_and_embedded_once(spark):
+    case = spark.range(0, 600, 1, 1).select(
+        F.concat(F.lit("pr-"), "id").alias("case_id"), F.lit("a title").alias("title"), F.lit("text").alias("body_snippet")
+    )
+    rows = C.embed_cases(case, C.hash_embedder(16))
+    dims = rows.select("case_id", F.explode("embedding")).groupBy("case_id").count()
+    plan = dims._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("RepartitionByExpression [case_id")
+    assert dims.where("count = 16").count() == 600
+
+
 def test_cosine(spark):
     row = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0], [0.0, 0.0])],
                                 "a array<float>, b array<float>, z array<float>")

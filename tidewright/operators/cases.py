@@ -120,7 +120,8 @@ def hash_embedder(dim: int):
     """Embedder with hash vectors; any other model has the same signature."""
 
     def embed(rows: DataFrame, text: str, out: str = "embedding") -> DataFrame:
-        return rows.withColumn(out, hash_vector(F.col(text), dim).cast("array<float>"))
+        # As a value: a filter on the vectors, such as exploding them implies, would compute them twice.
+        return evaluated_once(rows, {out: hash_vector(F.col(text), dim, "float")})
 
     return embed
 
@@ -146,8 +147,12 @@ def batch_embedder(fn, batch_rows: int = 128):
 
 
 def embed_cases(cases: DataFrame, embed) -> DataFrame:
-    """One vector per case."""
-    texts = cases.select("case_id", case_text().alias("_text"))
+    """One vector per case.
+
+    The short texts are dealt out first: a stored table may come in few tasks,
+    and embedding costs far more than moving them.
+    """
+    texts = cases.select("case_id", case_text().alias("_text")).repartition("case_id")
     return embed(texts, "_text").select("case_id", "embedding")
 
 
