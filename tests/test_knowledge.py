@@ -191,6 +191,39 @@ def test_blocks_are_groups_of_one_job(spark):
     assert "Broadcast" not in plan and "CartesianProduct" not in plan
 
 
+def test_copies_of_small_blocks_do_not_grow_with_the_input():
+    fitting = neighbors.MAX_BLOCK_BYTES // (8 * 64)
+    copies = [
+        neighbors.dealt_blocks(n, 200, fitting) + neighbors.dealt_blocks(n, 300, fitting)
+        for n in (100, 2_000, 20_000, 200_000, 400_000)
+    ]
+    assert copies == [2, 22, 32, 32, 32]
+    # Blocks still fit memory.
+    assert all(1.25 * n / neighbors.dealt_blocks(n, 200, fitting) <= fitting for n in (500_000, 5_000_000))
+
+
+@pytest.mark.parametrize("order", ["near last", "near first", "all equal"])
+def test_block_keeps_the_best_of_many_chunks(order):
+    rng = np.random.default_rng(3)
+    held = rng.normal(size=(5000, 24))
+    if order == "all equal":
+        held[:] = held[0]
+    asked = held[::50] + (0.05 * rng.normal(size=(100, 24)) if order != "all equal" else 0)
+    if order == "near last":
+        held = held[np.argsort((held @ asked.T).max(axis=1))]
+    elif order == "near first":
+        held = held[np.argsort(-(held @ asked.T).max(axis=1))]
+    rows = [(i, v) for i, v in enumerate(held.astype(np.float32).astype(float))]
+    questions = [(i, v) for i, v in enumerate(asked.astype(np.float32).astype(float))]
+    block = neighbors._Block(np.arange(100), neighbors._unit_rows([v for _, v in questions]), 5)
+    for at in range(0, 5000, 1700):
+        part = rows[at : at + 1700]
+        block.meet(neighbors.pd.DataFrame({"case_id": [i for i, _ in part], "embedding": [v for _, v in part]}))
+    got = block.best()
+    ranks = got.groupby("query_id").cumcount() + 1
+    assert set(zip(got["query_id"], ranks, got["case_id"], strict=True)) == brute(questions, rows, 5)
+
+
 def recall(found, want):
     return len({(r.query_id, r.case_id) for r in found} & {(i, j) for i, _, j in want}) / len(want)
 

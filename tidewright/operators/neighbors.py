@@ -33,7 +33,13 @@ MAX_BLOCK_BYTES = 16 * 1024 * 1024
 MAX_BLOCK_QUERIES = 4096
 # Corpus rows that meet a block of queries in one task.
 MAX_BLOCK_ROWS = 65536
+# Rows of the two sides whose similarities are in memory at a time.
 _ROWS_AT_ONCE = 1024
+_QUERIES_AT_ONCE = 1024
+# More close rows than so many times k a query are not looked at one by one.
+_MANY = 8
+# Blocks a side is dealt into as finely as asked for; beyond them only as many as memory needs.
+MAX_FINE_BLOCKS = 16
 _DECIMALS = 9
 
 
@@ -61,9 +67,78 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[kept], column[kept]
 
 
-def _merged(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    ordered = pd.concat(parts).sort_values(["query_id", "similarity", "case_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+class _Block:
+    """Queries of one task, and the k best of the corpus rows they have met so far.
+
+    Once a query has k rows, single precision tells which of the next ones can
+    still be among its best; its error stays below `margin`, as all vectors are
+    of unit length. Only those are computed in full.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.rough = vectors.astype(np.float32)
+        self.margin = 1.2e-7 * (vectors.shape[1] + 8) + 10.0**-_DECIMALS
+        self.bar = np.full((len(ids), 1), -np.inf, dtype=np.float32)
+        self.parts: list[pd.DataFrame] = []
+        self.waiting = 0
+
+    def meet(self, held: pd.DataFrame) -> None:
+        held = held.sort_values("case_id")
+        for at in range(0, len(held), _ROWS_AT_ONCE):
+            part = held.iloc[at : at + _ROWS_AT_ONCE]
+            rows, case_ids = _unit_rows(part["embedding"]), part["case_id"].to_numpy()
+            if rows.shape[1] != self.vectors.shape[1]:
+                raise ValueError(f"queries have {self.vectors.shape[1]} dimensions, the corpus {rows.shape[1]}")
+            rough = rows.astype(np.float32)
+            for first in range(0, len(self.ids), _QUERIES_AT_ONCE):
+                self._meet(slice(first, first + _QUERIES_AT_ONCE), rows, rough, case_ids)
+            if self.waiting > len(self.ids) * self.k:
+                self._merge()
+
+    def _meet(self, asked: slice, rows: np.ndarray, rough: np.ndarray, case_ids: np.ndarray) -> None:
+        bar, vectors = self.bar[asked], self.vectors[asked]
+        if np.isneginf(bar).any():
+            close = None
+        else:
+            close = np.nonzero(self.rough[asked] @ rough.T >= bar)
+        if close is None or len(close[0]) > _MANY * self.k * len(vectors):
+            # Nothing to compare with yet, or crowds of equal rows.
+            scores = np.round(vectors @ rows.T, _DECIMALS)
+            who, which = _best(scores, self.k)
+            similarity = scores[who, which]
+        else:
+            who, which = close
+            similarity = np.round(np.einsum("ij,ij->i", vectors[who], rows[which]), _DECIMALS)
+        if len(who):
+            found = {"who": who + asked.start, "case_id": case_ids[which], "similarity": similarity}
+            self.parts.append(pd.DataFrame(found))
+            self.waiting += len(who)
+        if close is None and len(rows) >= self.k:
+            self._merge()
+
+    def _merge(self) -> None:
+        if self.waiting:
+            ordered = pd.concat(self.parts).sort_values(["who", "similarity", "case_id"], ascending=[True, False, True])
+            best = ordered.groupby("who", sort=False).head(self.k)
+            self.parts, self.waiting = [best], 0
+            who = best["who"].to_numpy()
+            last = np.nonzero(np.bincount(who, minlength=len(self.ids)) == self.k)[0]
+            ends = np.searchsorted(who, last, side="right") - 1
+            self.bar[last, 0] = best["similarity"].to_numpy()[ends] - self.margin
+
+    def best(self) -> pd.DataFrame:
+        self._merge()
+        if not self.parts:
+            return pd.DataFrame({"query_id": [], "case_id": [], "similarity": []})
+        found = self.parts[0]
+        return pd.DataFrame(
+            {
+                "query_id": self.ids[found["who"].to_numpy()],
+                "case_id": found["case_id"].to_numpy(),
+                "similarity": found["similarity"].to_numpy(),
+            }
+        )
 
 
 def _result_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
@@ -87,29 +162,12 @@ def _scan(block: list, queries: DataFrame, corpus: DataFrame, k: int) -> DataFra
     shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, vectors = shared.value
-        best: list[pd.DataFrame] = []
-        for whole in batches:
-            for at in range(0, len(whole), _ROWS_AT_ONCE):
-                batch = whole.iloc[at : at + _ROWS_AT_ONCE].sort_values("case_id")
-                rows = _unit_rows(batch["embedding"])
-                if rows.shape[1] != vectors.shape[1]:
-                    raise ValueError(f"queries have {vectors.shape[1]} dimensions, the corpus {rows.shape[1]}")
-                scores = np.round(vectors @ rows.T, _DECIMALS)
-                who, which = _best(scores, k)
-                best.append(
-                    pd.DataFrame(
-                        {
-                            "query_id": ids[who],
-                            "case_id": batch["case_id"].to_numpy()[which],
-                            "similarity": scores[who, which],
-                        }
-                    )
-                )
-            if len(best) > 16:
-                best = [_merged(best, k)]
-        if best:
-            yield _merged(best, k)
+        block = _Block(*shared.value, k)
+        for batch in batches:
+            block.meet(batch)
+        found = block.best()
+        if len(found):
+            yield found
 
     return corpus.select("case_id", "embedding").mapInPandas(scan, _result_schema(queries, corpus))
 
@@ -118,25 +176,11 @@ def _meet(k: int):
     """The k best rows of one block of the corpus for each query of one block."""
 
     def meet(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        best: list[pd.DataFrame] = []
-        if len(asked) and len(held):
-            ids, vectors = asked["query_id"].to_numpy(), _unit_rows(asked["embedding"])
-            held = held.sort_values("case_id")
-            for at in range(0, len(held), _ROWS_AT_ONCE):
-                part = held.iloc[at : at + _ROWS_AT_ONCE]
-                rows = _unit_rows(part["embedding"])
-                if rows.shape[1] != vectors.shape[1]:
-                    raise ValueError(f"queries have {vectors.shape[1]} dimensions, the corpus {rows.shape[1]}")
-                scores = np.round(vectors @ rows.T, _DECIMALS)
-                who, which = _best(scores, k)
-                best.append(
-                    pd.DataFrame(
-                        {"query_id": ids[who], "case_id": part["case_id"].to_numpy()[which], "similarity": scores[who, which]}
-                    )
-                )
-        if not best:
+        if not len(asked):
             return pd.DataFrame({"query_id": [], "case_id": [], "similarity": []})
-        return best[0] if len(best) == 1 else _merged(best, k)
+        block = _Block(asked["query_id"].to_numpy(), _unit_rows(asked["embedding"]), k)
+        block.meet(held)
+        return block.best()
 
     return meet
 
@@ -153,6 +197,16 @@ def blocks_of(n: int, limit: int) -> int:
     return 1 if n <= limit else -(-5 * n // (4 * limit))
 
 
+def dealt_blocks(n: int, limit: int, fitting: int) -> int:
+    """Blocks of a side in a join of all with all.
+
+    A row is copied for every block of the other side, so small blocks multiply
+    what is shuffled by the size of the input. Their number therefore stops at
+    `MAX_FINE_BLOCKS`, until blocks of that number outgrow the `fitting` rows.
+    """
+    return min(blocks_of(n, min(limit, fitting)), max(MAX_FINE_BLOCKS, blocks_of(n, fitting)))
+
+
 def _block_of(key: str, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
@@ -195,11 +249,11 @@ def nearest(
     if not size["n"]:
         return _ranked(corpus.sparkSession.createDataFrame([], _result_schema(queries, corpus)), k)
     fitting = max(1, MAX_BLOCK_BYTES // (8 * max(1, size["dim"] or 1)))
-    query_blocks = blocks_of(size["n"], min(block_queries, fitting))
+    query_blocks = dealt_blocks(size["n"], block_queries, fitting)
     if query_blocks == 1:
         found = _ranked(_scan(slim.collect(), queries, corpus, k), k)
     else:
-        corpus_blocks = blocks_of(corpus.count(), min(block_rows, fitting))
+        corpus_blocks = dealt_blocks(corpus.count(), block_rows, fitting)
         found = block_join(slim, corpus, k, query_blocks, corpus_blocks)
     return written(found, "neighbors")
 
