@@ -615,6 +615,25 @@ def test_a_failing_dead_letter_table_does_not_stop_the_ingest(spark, paths, monk
     assert ingest.ingest_counters(spark, paths.counters).first().dead_lettered == 1
 
 
+def test_a_small_batch_is_held_in_few_tasks(spark, paths, monkeypatch):
+    key, found = "spark.sql.shuffle.partitions", []
+    before, write = spark.conf.get(key), ingest.append_events
+
+    def watched(rows, path):
+        found.append(rows.rdd.getNumPartitions())
+        write(rows, path)
+
+    monkeypatch.setattr(ingest, "append_events", watched)
+    spark.conf.set(key, "60")
+    try:
+        ingest.ingest_batch(raw(spark, *(event(str(i)) for i in range(40))), paths, "s-0", stamp=NOW)
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] < 20
+    assert tables.read_events(spark, paths.events).count() == 40
+    assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning") == "false"
+
+
 def test_undated_events_are_recognised_at_any_distance(spark, paths):
     bad = [event("y", created_at="nope"), event("z")]
     ingest.ingest_batch(raw(spark, *bad), paths, "s-0", stamp=NOW)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
@@ -71,3 +72,18 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def held(rows: DataFrame) -> DataFrame:
+    """Persist a result that adaptive execution may cut into as few tasks as its size needs.
+
+    A held plan otherwise keeps every shuffle partition, so each step that reads
+    it pays for that many tasks, and their own shuffles for the square of it.
+    """
+    conf, key = rows.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    finally:
+        conf.set(key, before)

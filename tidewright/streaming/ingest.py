@@ -4,7 +4,7 @@
 validation once and runs `store_judged` per micro-batch. Writing comes before
 the checkpoint commit, so a failed batch is run again, and every write stands a
 second run: events are anti-joined with the stored ids, dead letters and
-metrics replace their own batch partition. Counters and partial aggregates are
+metrics replace their own batch partition and may be written meanwhile. Counters and partial aggregates are
 written before the events and, when a batch runs again, those of its first run
 stand: by then its own events may be stored, and counting them anew would call
 them repeats.
@@ -14,19 +14,20 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from tidewright.functions.time_bounds import to_micros
 from tidewright.operators import rules
 from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, stored_candidates, undated_days
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import DLQ_SCHEMA, LATE_PARTITION, LATE_THRESHOLD_HOURS
-from tidewright.session import pin_utc
+from tidewright.session import held, pin_utc
 from tidewright.sources import manifest
 from tidewright.sources.batches import is_rolled, replace_batch as _replace_batch, roll_up
 from tidewright.sources.partials import roll_up_partials, write_partials
@@ -154,6 +155,23 @@ def ingest_batch(
     return store_judged(judge(raw), paths, batch, threshold_hours, stamp)
 
 
+def _store_rejected(settled: DataFrame, paths: IngestPaths, batch: str) -> None:
+    try:
+        write_dead_letters(rejected_rows(settled), paths.dead_letters, batch)
+    except Exception:
+        # Losing a dead letter must not stop the stream.
+        log.exception("dead-letter write failed for batch %s", batch)
+
+
+def _store_metrics(settled: DataFrame, paths: IngestPaths, batch: str) -> None:
+    metrics = rules.accepted(settled).select(
+        "event_id",
+        "event_type",
+        F.map_filter("metrics", lambda k, _: k != "event_type").alias("metrics"),
+    )
+    _replace_batch(metrics, paths.metrics, batch)
+
+
 def store_judged(
     judged: DataFrame,
     paths: IngestPaths,
@@ -164,8 +182,9 @@ def store_judged(
     """The part of the ingest that runs once per batch."""
     spark = pin_utc(judged.sparkSession)
     stamp = stamp or utc_now()
-    settled = settle(judged, stamp, threshold_hours).persist(StorageLevel.MEMORY_AND_DISK)
+    settled = held(settle(judged, stamp, threshold_hours))
     marked = None
+    pool, beside = ThreadPoolExecutor(2), []
     try:
         passed = F.col("error_reason").isNull() & ~F.coalesce(F.col("skipped"), F.lit(False))
         own = settled.withColumns({c: F.when(passed, F.col(c)) for c in ("created_at", "created_at_ok", "date")})
@@ -176,6 +195,11 @@ def store_judged(
             *batch_span(),
         ).first()
         accepted = seen["received"] - seen["dead_lettered"] - seen["skipped"]
+        # Small next to the events and apart from them, so they fill the cores that the steps below leave idle.
+        if seen["dead_lettered"]:
+            beside.append(pool.submit(inheritable_thread_target(spark)(_store_rejected), settled, paths, batch))
+        if paths.metrics:
+            beside.append(pool.submit(inheritable_thread_target(spark)(_store_metrics), settled, paths, batch))
         kept = {"unique": 0, "late": 0, "written": 0}
         if accepted:
             rows = stored_columns(settled)
@@ -184,10 +208,8 @@ def store_judged(
             stored = stored_candidates(read_events(spark, paths.events), seen, days)
             repeated = known_ids(rows, stored).withColumn("_stored", F.lit(True))
             # Held, so that counting and writing see the same rows.
-            marked = (
-                first.join(repeated, "event_id", "left")
-                .withColumn("_stored", F.col("_stored").isNotNull())
-                .persist(StorageLevel.MEMORY_AND_DISK)
+            marked = held(
+                first.join(repeated, "event_id", "left").withColumn("_stored", F.col("_stored").isNotNull())
             )
             kept = marked.agg(
                 F.count("*").alias("unique"),
@@ -212,8 +234,8 @@ def store_judged(
                     # Before the counters, so that they never stand without the partials.
                     new = event_columns(marked.where(~F.col("_stored")), "date")
                     write_partials(new, paths.partials, batch)
-                row = spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in counts))
-                _replace_batch(row.coalesce(1), paths.counters, batch)
+                row = spark.range(1, numPartitions=1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
+                _replace_batch(row, paths.counters, batch)
         if kept["written"]:
             remember_late_hours(spark, paths.events, threshold_hours)
             new = marked.where(~F.col("_stored"))
@@ -222,22 +244,12 @@ def store_judged(
                 ids = new.where(~F.col("created_at_ok")).select("event_id", F.col("date").alias("day"))
                 _replace_batch(ids.hint("rebalance"), paths.undated, batch)
             append_events(new, paths.events)
-        if seen["dead_lettered"]:
-            try:
-                write_dead_letters(rejected_rows(settled), paths.dead_letters, batch)
-            except Exception:
-                # Losing a dead letter must not stop the stream.
-                log.exception("dead-letter write failed for batch %s", batch)
-        if paths.metrics:
-            metrics = rules.accepted(settled).select(
-                "event_id",
-                "event_type",
-                F.map_filter("metrics", lambda k, _: k != "event_type").alias("metrics"),
-            )
-            _replace_batch(metrics, paths.metrics, batch)
+        for write in beside:
+            write.result()
         log.info("batch %s: %s", batch, counts)
         return counts
     finally:
+        pool.shutdown()
         if marked is not None:
             marked.unpersist()
         settled.unpersist()
