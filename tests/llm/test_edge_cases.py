@@ -437,6 +437,18 @@ def test_language_is_right_on_documents_that_were_held_out(spark):
     assert right > 0.97
 
 
+def test_words_that_differ_in_case_or_marks_go_through_the_library_once():
+    encoder = token_output.WordEncoder(token_output.tokenizer_path())
+    merged, simple = [], encoder._simple
+    encoder._simple = lambda pieces: simple(merged.extend(pieces) or pieces)
+    texts = ["word Word word, (WORD) word. É é", "words; word; É, don't word's"]
+    got = [ids for text in texts for ids in encoder.encode([text.encode()])]
+    assert sorted(merged) == sorted(x.encode() for x in ["word", ",", "(", ")", ".", "é", "words", ";"])
+    for text, ids in zip(texts, got, strict=True):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert np.frombuffer(ids, encoder.dtype).tolist() == want
+
+
 @pytest.mark.parametrize("limit", [3, 1000])
 def test_words_are_encoded_as_by_the_library(limit):
     encoder = token_output.WordEncoder(token_output.tokenizer_path(), limit=limit)

@@ -95,8 +95,14 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(values)] = lengths - 1
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    kept = np.arange(4, dtype=np.uint8) < lengths[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    stops = np.cumsum(lengths, dtype=np.int64)
+    at = stops - lengths
+    data = np.empty(int(stops[-1]) if len(stops) else 0, np.uint8)
+    data[at] = values.astype(np.uint8)
+    for k in range(1, int(lengths.max(initial=1))):
+        longer = np.flatnonzero(lengths > k)
+        data[at[longer] + k] = (values[longer] >> np.uint32(8 * k)).astype(np.uint8)
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:

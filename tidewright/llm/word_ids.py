@@ -1,9 +1,11 @@
 """Texts to token ids by way of their distinct words, a batch at a time in numpy.
 
 White space never joins words in these tokenizers, so a worker keeps the ids of
-distinct words and only new ones go through the library. Word bounds, hashes,
-distinct words and the gathering of ids are array operations over the whole
-batch; Python runs once for each word that is new to the worker.
+distinct words and only new ones go through the library. A simple word is cut into
+the pieces that the tokenizer splits it into, and each counts as a word from there
+on: "word", "Word" and "word," share one. Word bounds, hashes, distinct words and
+the gathering of ids are array operations over the whole batch; Python runs once
+for each word that is new to the worker.
 
 Words are told apart by 64-bit hashes, so two different words of a worker's table
 count as equal with a chance of about 2^-64 a pair.
@@ -13,7 +15,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from hashlib import blake2b
 
 import numpy as np
@@ -37,8 +38,11 @@ _NORMALIZER = {
     ],
 }
 _SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
-# Parts of a lower-case word of ASCII without the apostrophe and Latin-1 letters.
-_PIECES = re.compile("[a-zà-öø-ÿ]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+# Bytes of a simple word that stay together, by kind: letters and others; a digit stands alone.
+_OTHER, _LETTER, _DIGIT = range(3)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -119,38 +123,26 @@ class WordEncoder:
     def _keep(self, kept: np.ndarray) -> None:
         """Only the words of these places stay; their counts fade."""
         lengths = self.lengths[kept]
-        self.flat = self.flat[_runs(self.starts[kept], lengths)]
+        cuts = range(0, len(kept), _PART)
+        self.flat = np.concatenate(
+            [self.flat[:0], *(self.flat[_runs(self.starts[kept[i : i + _PART]], lengths[i : i + _PART])] for i in cuts)]
+        )
         self.keys, self.lengths, self.uses = self.keys[kept], lengths, self.uses[kept] >> 1
         self.starts = (np.cumsum(lengths) - lengths).astype(np.int32)
 
-    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _simple(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, length of each); a piece ends with the one token that closes a word."""
-        ids, stops, at = [], [], 0
+        ids, stops, at = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)], 0
         for start in range(0, len(pieces), _PART):
-            text = " ".join(pieces[start : start + _PART]).encode().decode("latin-1").translate(self.letters)
+            text = b" ".join(pieces[start : start + _PART]).decode("latin-1").translate(self.letters)
             found = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             ids.append(found)
             stops.append(at + np.flatnonzero(self.ends[found]) + 1)
             at += len(found)
-        if not ids:
-            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
-        return np.concatenate(ids), np.diff(np.concatenate(stops), prepend=0)
-
-    def _simple(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = b" ".join(words).decode().split(" ") if words else []
-        pieces, counts = [], np.ones(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text.isalpha():
-                pieces.append(text)
-            else:
-                part = _PIECES.findall(text)
-                pieces += part
-                counts[i] = len(part)
-        ids, lengths = self._merged(pieces)
+        lengths = np.diff(np.concatenate(stops), prepend=0)
         if len(lengths) != len(pieces):
             raise ValueError("the model does not close each piece with one token")
-        stops = np.append(0, np.cumsum(lengths))[np.cumsum(counts)]
-        return ids, np.diff(stops, prepend=0)
+        return np.concatenate(ids), lengths
 
     def _hard(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -180,8 +172,16 @@ class WordEncoder:
             self._steps = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         return self._steps
 
-    def _named(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash of every word, whether it is hard, bytes in lower case where words are simple)."""
+    def _cut(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first and past byte of every word, whether it is hard, bytes in lower case where words are simple).
+
+        Simple words are cut into their pieces here.
+        """
+        word = ~_SPACE[raw]
+        edges = np.flatnonzero(np.diff(word, prepend=False))
+        starts, stops = edges[::2], edges[1::2]
+        if self.merges is None or not len(starts):
+            return starts, stops, np.ones(len(starts), bool), raw
         lower = _LOWER[raw]
         tail = np.flatnonzero(raw[:-1] == 0xC3) + 1
         second = raw[tail]
@@ -192,24 +192,31 @@ class WordEncoder:
             bad[tail] = ~letter
             lower[tail] = second + ((second < 0x9F) & letter).astype(np.uint8) * 32
         bad[:-1] |= (raw[:-1] == 0x3C) & (raw[1:] == 0x7C)
-        if self.merges is None:
-            hard = np.ones(len(starts), bool)
-        else:
-            held = np.append(0, np.cumsum(bad, dtype=np.int32))
-            hard = held[stops] > held[starts]
+        held = np.append(0, np.cumsum(bad, dtype=np.int32))
+        hard = held[stops] > held[starts]
+        kind = _KIND[raw]
+        first = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) & word
         if hard.any():
             own = np.flatnonzero(hard)
             places = _runs(starts[own], stops[own] - starts[own])
             lower[places] = raw[places]
-        up, down = self._powers_to(len(raw))
-        sums = np.append(np.uint64(0), np.cumsum(_OF_BYTE[lower] * up[: len(raw)], dtype=np.uint64))
+            first[places] = False
+        first[starts] = True
+        cuts = np.flatnonzero(first)
+        of = np.searchsorted(starts, cuts, side="right") - 1
+        return cuts, np.minimum(np.append(cuts[1:], len(raw)), stops[of]), hard[of], lower
+
+    def _names(self, lower: np.ndarray, starts: np.ndarray, stops: np.ndarray, hard: np.ndarray) -> np.ndarray:
+        """Hash of every word."""
+        up, down = self._powers_to(len(lower))
+        sums = np.append(np.uint64(0), np.cumsum(_OF_BYTE[lower] * up[: len(lower)], dtype=np.uint64))
         names = (sums[stops] - sums[starts]) * down[starts]
         names ^= names >> np.uint64(29)
         names[hard] ^= _HARD_MARK
         for i in np.flatnonzero(stops - starts > _LONG).tolist():
             mark = b"\1" if hard[i] else b"\0"
             names[i] = int.from_bytes(blake2b(lower[starts[i] : stops[i]].tobytes() + mark, digest_size=8).digest(), "little")
-        return names, hard, lower
+        return names
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text, the end id last, as bytes of `dtype`."""
@@ -221,12 +228,9 @@ class WordEncoder:
         """(ids of all texts, each with the end id last; number of ids of each text)."""
         sizes = np.array([len(x) if x else 0 for x in texts], np.int64)
         raw = np.frombuffer(b" ".join([x or b"" for x in texts]) + b" ", np.uint8)
-        word = ~_SPACE[raw]
-        edges = np.flatnonzero(np.diff(word, prepend=False))
-        starts, stops = edges[::2], edges[1::2]
+        starts, stops, hard, lower = self._cut(raw)
         if len(starts):
-            names, hard, lower = self._named(raw, starts, stops)
-            distinct, first, inverse, counts = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+            distinct, first, inverse, counts = _distinct(self._names(lower, starts, stops, hard))
             place, new = self._places(distinct)
             if new.any() and len(self.keys) + int(new.sum()) > self.limit:
                 # The half that was used most stays, and of it what fits.
@@ -260,6 +264,17 @@ class WordEncoder:
         return place, ~known
 
 
+def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct names in order, a place of each, number of each place's name, how often each stands)."""
+    order = np.argsort(names)
+    ordered = names[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    inverse = np.empty(len(names), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    at = np.flatnonzero(new)
+    return ordered[at], order[at], inverse, np.diff(np.append(at, len(names)))
+
+
 def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for every (start, length), one after the other."""
     stops = np.cumsum(lengths, dtype=np.int64)
