@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import re
 import zlib
 
@@ -437,6 +438,26 @@ def test_language_is_right_on_documents_that_were_held_out(spark):
     assert right > 0.97
 
 
+def test_reading_tokens_back_takes_one_python_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    plan = token_output.encoded_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_scores_of_a_language_hold_little_beside_the_text():
+    table = np.random.default_rng(3).random((1 << language.BUCKET_BITS, 4)).astype(np.float32)
+    model = language.LanguageModel(list("abcd"), table, np.zeros(4, np.float32), 1.0, 0.0)
+    texts = [bytes([97 + i % 26]) * (5000 * i % 90_001) for i in range(24)]
+    want = [sum(table[x].sum(axis=0, dtype=np.float64) for x in language._buckets(np.frombuffer(b" " + t + b" ", np.uint8))) for t in texts]
+    sizes = [sum(max(0, len(t) + 3 - n) for n in language.ORDERS) for t in texts]
+    tracemalloc.start()
+    got = language._scores(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, [w / n for w, n in zip(want, sizes, strict=True)])
+    assert peak < 30 * sum(len(t) for t in texts)
+
+
 def test_words_that_differ_in_case_or_marks_go_through_the_library_once():
     encoder = token_output.WordEncoder(token_output.tokenizer_path())
     merged, simple = [], encoder._simple

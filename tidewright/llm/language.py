@@ -190,14 +190,18 @@ def _predict(model):
     return tidy(run)
 
 
-def _scores(texts: list[bytes], m: LanguageModel, piece: int = 1 << 20) -> np.ndarray:
+# Bytes of text whose n-grams are looked up at once; each takes some 100 meanwhile.
+PIECE_BYTES = 1 << 16
+
+
+def _scores(texts: list[bytes], m: LanguageModel, piece: int = PIECE_BYTES) -> np.ndarray:
     """Mean table row of every text; n-grams don't cross texts, whose ends are boundaries."""
     total = np.zeros((len(texts), len(m.languages)))
     lengths = np.array([len(t) + 2 for t in texts])
     joined = np.frombuffer(b"".join(x for t in texts for x in (b" ", t, b" ")), np.uint8)
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     over = max(ORDERS) - 1
     counts = np.zeros(len(texts))
     for order in ORDERS:

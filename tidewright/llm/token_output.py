@@ -212,14 +212,22 @@ def _decode(id_of):
     return tidy(run)
 
 
-def read_tokens(spark: SparkSession, out: str) -> DataFrame:
-    """doc_id, part, in_part (ids of the part before the document), n_tokens, ids (uint32, little-endian)."""
+def _stored_blocks(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(BLOCKS).parquet(f"{out}/blocks")
+
+
+def _decoder(spark: SparkSession, out: str):
+    """Task function from blocks of the folder to rows of `READ`."""
     ranks = spark.read.parquet(f"{out}/ranks").collect()
     id_of = np.zeros(len(ranks), "<u4")
     for row in ranks:
         id_of[row["rank"]] = row["id"]
-    shared = spark.sparkContext.broadcast(id_of)
-    return spark.read.schema(BLOCKS).parquet(f"{out}/blocks").mapInArrow(_decode(shared), READ)
+    return _decode(spark.sparkContext.broadcast(id_of))
+
+
+def read_tokens(spark: SparkSession, out: str) -> DataFrame:
+    """doc_id, part, in_part (ids of the part before the document), n_tokens, ids (uint32, little-endian)."""
+    return _stored_blocks(spark, out).mapInArrow(_decoder(spark, out), READ)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +241,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_digests(spark: SparkSession, out: str) -> DataFrame:
     """Per document, read from the files: start among all ids, number of ids, checksum."""
-    blocks = spark.read.schema(BLOCKS).parquet(f"{out}/blocks")
+    blocks = _stored_blocks(spark, out)
+    decode = _decoder(spark, out)
     totals = blocks.groupBy("part").agg(F.max(F.col("before") + F.col("n_ids")).alias("n")).orderBy("part").collect()
     starts, at = [], 0
     for row in totals:
@@ -241,8 +250,9 @@ def token_digests(spark: SparkSession, out: str) -> DataFrame:
         at += row.n
     # One row per written partition, whose number spark.sql.shuffle.partitions fixes.
     bases = F.broadcast(spark.createDataFrame(starts, "part int, base long"))
-    rows = read_tokens(spark, out).mapInArrow(
-        _digest, "doc_id long, part int, in_part long, n_tokens long, ids_crc32 long"
+    # Read and digested by one worker a task: ids don't go through the JVM, and no second worker stays behind.
+    rows = blocks.mapInArrow(
+        lambda batches: _digest(decode(batches)), "doc_id long, part int, in_part long, n_tokens long, ids_crc32 long"
     )
     return rows.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32"
