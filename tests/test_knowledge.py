@@ -216,6 +216,14 @@ def test_copies_of_small_blocks_do_not_grow_with_the_input():
     assert all(1.25 * n / neighbors.dealt_blocks(n, 200, fitting) <= fitting for n in (500_000, 5_000_000))
 
 
+@pytest.mark.parametrize("shape", [(1, 1), (3, 5), (7, 8), (40, 33), (64, 64)])
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.5, 1.0])
+def test_places_of_few_cells(shape, share):
+    mask = np.random.default_rng(1).random(shape) < share
+    for cells in (mask, mask.T):
+        assert all(np.array_equal(a, b) for a, b in zip(neighbors._places(cells), np.nonzero(cells)))
+
+
 @pytest.mark.parametrize("order", ["near last", "near first", "all equal"])
 def test_block_keeps_the_best_of_many_chunks(order):
     rng = np.random.default_rng(3)

@@ -67,6 +67,19 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[kept], column[kept]
 
 
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the true cells in order, for a mask with few of them.
+
+    Eight cells are looked at as one number, so the many false ones cost little.
+    """
+    cells = np.ascontiguousarray(mask).ravel()
+    whole = len(cells) // 8 * 8
+    words = np.flatnonzero(cells[:whole].view(np.uint64))
+    near = (words[:, None] * 8 + np.arange(8)).ravel()
+    flat = np.concatenate([near[cells[near]], whole + np.flatnonzero(cells[whole:])])
+    return np.divmod(flat, max(1, mask.shape[1]))
+
+
 class _Block:
     """Queries of one task, and the k best of the corpus rows they have met so far.
 
@@ -101,7 +114,7 @@ class _Block:
         if np.isneginf(bar).any():
             close = None
         else:
-            close = np.nonzero(self.rough[asked] @ rough.T >= bar)
+            close = _places(self.rough[asked] @ rough.T >= bar)
         if close is None or len(close[0]) > _MANY * self.k * len(vectors):
             # Nothing to compare with yet, or crowds of equal rows.
             scores = np.round(vectors @ rows.T, _DECIMALS)
