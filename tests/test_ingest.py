@@ -615,6 +615,15 @@ def test_a_failing_dead_letter_table_does_not_stop_the_ingest(spark, paths, monk
     assert ingest.ingest_counters(spark, paths.counters).first().dead_lettered == 1
 
 
+def test_held_batches_are_not_compressed(spark, paths, monkeypatch):
+    key, seen, first = "spark.sql.inMemoryColumnarStorage.compressed", [], ingest.first_per_key
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ingest, "first_per_key", lambda *a: (seen.append(spark.conf.get(key)), first(*a))[1])
+    counts = ingest.ingest_batch(raw(spark, event("a"), event("a"), event("b")), paths, "b-0", stamp=NOW)
+    assert (counts["written"], counts["duplicate_in_batch"]) == (2, 1)
+    assert seen == ["false"] and spark.conf.get(key) == before
+
+
 def test_a_small_batch_is_held_in_few_tasks(spark, paths, monkeypatch):
     key, found = "spark.sql.shuffle.partitions", []
     before, write = spark.conf.get(key), ingest.append_events

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +89,19 @@ def held(rows: DataFrame) -> DataFrame:
         return rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     finally:
         conf.set(key, before)
+
+
+@contextmanager
+def held_plainly(spark: SparkSession) -> Iterator[None]:
+    """Inside, held results are kept without compression.
+
+    Compressing counts the values of every column first, which costs more than
+    a result that is read a few times and dropped gives back.
+    """
+    key = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

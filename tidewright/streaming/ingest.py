@@ -27,7 +27,7 @@ from tidewright.operators import rules
 from tidewright.operators.dedupe import batch_span, first_per_key, known_ids, stored_candidates, undated_days
 from tidewright.operators.flatten import event_columns, flatten, parse_raw, with_partition
 from tidewright.schemas import DLQ_SCHEMA, LATE_PARTITION, LATE_THRESHOLD_HOURS
-from tidewright.session import held, pin_utc
+from tidewright.session import held, held_plainly, pin_utc
 from tidewright.sources import manifest
 from tidewright.sources.batches import is_rolled, replace_batch as _replace_batch, roll_up
 from tidewright.sources.partials import roll_up_partials, write_partials
@@ -181,7 +181,14 @@ def store_judged(
 ) -> dict[str, int]:
     """The part of the ingest that runs once per batch."""
     spark = pin_utc(judged.sparkSession)
-    stamp = stamp or utc_now()
+    # Held rows are read a few times, then dropped.
+    with held_plainly(spark):
+        return _store(spark, judged, paths, batch, threshold_hours, stamp or utc_now())
+
+
+def _store(
+    spark: SparkSession, judged: DataFrame, paths: IngestPaths, batch: str, threshold_hours: float, stamp: datetime
+) -> dict[str, int]:
     settled = held(settle(judged, stamp, threshold_hours))
     marked = None
     pool, beside = ThreadPoolExecutor(2), []
