@@ -2,6 +2,7 @@
 
 import math
 import random
+from datetime import datetime, timezone
 
 import pytest
 from conftest import NOW, ago
@@ -11,6 +12,7 @@ from test_ingest import event, raw
 from tidewright.functions.time_bounds import to_micros
 from tidewright.operators import activity, hourly
 from tidewright.sources import files, partials, tables
+from tidewright.sources.batches import replace_batch
 from tidewright.streaming import ingest, refresh
 
 
@@ -99,6 +101,32 @@ def test_refresh_after_a_roll_up_equals_the_one_before(spark, paths):
     same(spark, paths, 60 * 40)
 
 
+def test_lags_may_add_up_to_more_than_a_long_holds(spark, paths):
+    old = datetime(1700, 1, 1, tzinfo=timezone.utc)
+    for name, n in (("s-0", 1100), ("s-1", 600)):
+        rows = [event(f"{name}-{i}", created=old) for i in range(n)] + batch(n)
+        ingest.ingest_batch(raw(spark, *rows), paths, name, stamp=NOW)
+    assert partials.read_lag(spark, paths.partials).agg(F.sum("lag_sum")).first()[0] > 1 << 63
+    got = same(spark, paths, 60)["lag"].first()
+    assert got.sample_size > 1700
+    assert ingest.roll_up_batches(spark, paths, unchanged_hours=0)["partials"] == 2
+    assert same(spark, paths, 60)["lag"].first() == got
+
+
+def test_lag_sums_stored_as_longs_are_read(spark, paths):
+    for name in ("s-0", "s-1"):
+        ingest.ingest_batch(raw(spark, *batch(name)), paths, name, stamp=NOW)
+    first = partials.read_lag(spark, paths.partials).where("ingest_batch = 's-0'").drop("ingest_batch").collect()
+    longs = spark.createDataFrame(
+        [r.asDict() | {"lag_sum": int(r.lag_sum)} for r in first],
+        "ingested_at timestamp, n bigint, lag_sum bigint, lag_min bigint, lag_max bigint, day string",
+    )
+    replace_batch(longs, f"{paths.partials}/lag", "s-0", ["day"])
+    same(spark, paths, 60)
+    ingest.roll_up_batches(spark, paths, unchanged_hours=0)
+    same(spark, paths, 60)
+
+
 def test_partials_need_counters(tmp_path):
     with pytest.raises(ValueError):
         ingest.IngestPaths("a", "b", partials="c")

@@ -34,14 +34,17 @@ def hourly_counts(events: DataFrame) -> DataFrame:
 
 
 def lag_sums(events: DataFrame) -> DataFrame:
-    """Count, sum, least and largest lag of the events that came in at one instant."""
+    """Count, sum, least and largest lag of the events that came in at one instant.
+
+    Microseconds of some million events that are days late outgrow a long, so the sum is a decimal.
+    """
     lag = micros_between(F.col("created_at"), F.col("ingested_at"))
     return (
         events.where(F.col("ingested_at") >= F.col("created_at"))
         .groupBy("ingested_at")
         .agg(
             F.count("*").alias("n"),
-            F.sum(lag).alias("lag_sum"),
+            F.sum(lag.cast("decimal(20,0)")).cast("decimal(38,0)").alias("lag_sum"),
             F.min(lag).alias("lag_min"),
             F.max(lag).alias("lag_max"),
         )
@@ -102,7 +105,7 @@ def lag_report(sums: DataFrame, as_of: int, minutes: float) -> DataFrame:
     rows = sums.where((F.col("day") >= _day(start)) & (F.col("ingested_at") >= F.timestamp_micros(F.lit(start))))
     seconds = F.lit(1e6)
     stats = rows.agg(
-        F.round(F.sum("lag_sum") / F.sum("n") / seconds, 1).alias("avg_lag_seconds"),
+        F.round(F.sum("lag_sum").cast("double") / F.sum("n") / seconds, 1).alias("avg_lag_seconds"),
         F.round(F.min("lag_min") / seconds, 1).alias("min_lag_seconds"),
         F.round(F.max("lag_max") / seconds, 1).alias("max_lag_seconds"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("sample_size"),

@@ -21,7 +21,8 @@ ACTIVITY_SCHEMA = (
     "hour timestamp, event_type string, repo_name string, event_count bigint, last_seen_at timestamp, "
     "actors binary, day string"
 )
-LAG_SCHEMA = "ingested_at timestamp, n bigint, lag_sum bigint, lag_min bigint, lag_max bigint, day string"
+# Files from when the sum was a bigint read as decimals too.
+LAG_SCHEMA = "ingested_at timestamp, n bigint, lag_sum decimal(38,0), lag_min bigint, lag_max bigint, day string"
 
 
 def write_partials(events: DataFrame, path: str, batch: str) -> None:
