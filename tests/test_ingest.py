@@ -615,6 +615,46 @@ def test_a_failing_dead_letter_table_does_not_stop_the_ingest(spark, paths, monk
     assert ingest.ingest_counters(spark, paths.counters).first().dead_lettered == 1
 
 
+def test_dead_letters_wait_beside_the_events(spark, paths, monkeypatch):
+    def failing(*_):
+        raise OSError("storage is gone")
+
+    def reasons():
+        return tables.read_dead_letters(spark, paths.dead_letters).groupBy("ingest_batch").count().collect()
+
+    monkeypatch.setattr(ingest, "write_dead_letters", failing)
+    for name in ("s-0", "s 1"):
+        ingest.ingest_batch(raw(spark, event(name), "{bad", "{worse"), paths, name, stamp=NOW)
+    for late in (ingest.deliver_dead_letters, ingest.roll_up_batches):
+        with pytest.raises(OSError):
+            late(spark, paths)
+    with pytest.raises(OSError):
+        maintenance.replay_dead_letters(spark, paths.undelivered, paths, "r-0", stamp=NOW)
+    monkeypatch.undo()
+    assert reasons() == [] and len(files.folders(spark, paths.undelivered, 1)) == 3
+    # A batch that runs again does not need what it left there; the next one takes the others along.
+    ingest.ingest_batch(raw(spark, event("s-0"), "{bad", "{worse"), paths, "s-0", stamp=NOW)
+    ingest.ingest_batch(raw(spark, event("b"), "{bad"), paths, "s-2", stamp=NOW)
+    assert {tuple(r) for r in reasons()} == {("s-0", 2), ("s 1", 2), ("r-0", 4), ("s-2", 1)}
+    assert files.folders(spark, paths.undelivered, 1) == [] and ingest.deliver_dead_letters(spark, paths) == 0
+    assert tables.read_events(spark, paths.events).count() == 3
+
+
+def test_a_batch_fails_when_its_dead_letters_can_wait_nowhere(spark, paths, monkeypatch):
+    first = ingest._replace_batch
+
+    def failing(frame, path, batch):
+        if path in (paths.dead_letters, paths.undelivered):
+            raise OSError("storage is gone")
+        first(frame, path, batch)
+
+    monkeypatch.setattr(ingest, "write_dead_letters", failing)
+    monkeypatch.setattr(ingest, "_replace_batch", failing)
+    with pytest.raises(OSError):
+        ingest.ingest_batch(raw(spark, event("a"), "{bad"), paths, "s-0", stamp=NOW)
+    assert tables.read_events(spark, paths.events).count() == 1
+
+
 def test_held_batches_are_not_compressed(spark, paths, monkeypatch):
     key, seen, first = "spark.sql.inMemoryColumnarStorage.compressed", [], ingest.first_per_key
     before = spark.conf.get(key)

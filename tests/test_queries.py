@@ -9,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import __spark_entry__ as entry
 import compare
+from tidewright.streaming import ingest
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
@@ -30,5 +31,23 @@ def test_rows_only_query_runs(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
+@pytest.mark.parametrize("name", ["rolled_dead_letters"])
+def test_a_dead_letter_table_that_fails_never_shortens_the_result(spark, monkeypatch, name):
+    write, calls = ingest.write_dead_letters, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) <= failures:
+            raise OSError("storage is gone")
+        write(*args)
+
+    monkeypatch.setattr(ingest, "write_dead_letters", failing)
+    failures = 1
+    assert compare.difference(spark, compare.connect(SF_DIR), name, QUERIES[name], SQL[name], SF_DIR) is None
+    failures = 1000
+    with pytest.raises(OSError):
+        QUERIES[name](spark, SF_DIR)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -557,6 +557,8 @@ def _ingested(spark, sf, max_files: int | None = 2, partials: bool = False):
         flush_seconds=None,
         clock=lambda: STAMP,
     ).awaitTermination()
+    # A dead letter that could not be stored fails the query.
+    ingest.deliver_dead_letters(spark, paths)
     return paths
 
 

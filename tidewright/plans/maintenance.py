@@ -11,7 +11,7 @@ from tidewright.schemas import EVENT_TABLE_SCHEMA, LATE_PARTITION, LATE_THRESHOL
 from tidewright.sources import manifest, tables
 from tidewright.sources.files import DataFile, data_files, delete
 from tidewright.sources.tables import read_dead_letters, read_or_empty
-from tidewright.streaming.ingest import IngestPaths, ingest_batch
+from tidewright.streaming.ingest import IngestPaths, deliver_dead_letters, ingest_batch
 
 MIN_FILES = 2
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -177,13 +177,16 @@ def replay_dead_letters(
     """Send the stored raw texts through validation and storage again.
 
     What fails again lands in `paths.dead_letters`, what passes in the events.
+    A dead letter that could not be stored there fails the replay.
     """
     rows = read_dead_letters(spark, dead_letter_path)
     chosen = rows if where is None else rows.where(where)
     raw = chosen.select(
         F.col("raw_json").alias("value"), F.struct("failed_at", "event_id").alias("position")
     )
-    return ingest_batch(raw, paths, batch, threshold_hours, stamp)
+    counts = ingest_batch(raw, paths, batch, threshold_hours, stamp)
+    deliver_dead_letters(spark, paths)
+    return counts
 
 
 def backfill(

@@ -4,7 +4,9 @@
 validation once and runs `store_judged` per micro-batch. Writing comes before
 the checkpoint commit, so a failed batch is run again, and every write stands a
 second run: events are anti-joined with the stored ids, dead letters and
-metrics replace their own batch partition and may be written meanwhile. Counters and partial aggregates are
+metrics replace their own batch partition and may be written meanwhile. Dead
+letters that their table does not take wait beside the events until they are
+delivered. Counters and partial aggregates are
 written before the events and, when a batch runs again, those of its first run
 stand: by then its own events may be stored, and counting them anew would call
 them repeats.
@@ -32,7 +34,7 @@ from tidewright.sources import manifest
 from tidewright.sources.batches import is_rolled, replace_batch as _replace_batch, roll_up
 from tidewright.sources.partials import roll_up_partials, write_partials
 from tidewright.sources.sinks import append_events, append_events_jsonl, write_dead_letters
-from tidewright.sources.files import has_data
+from tidewright.sources.files import delete, folders, has_data
 from tidewright.sources.streams import FLUSH_SECONDS
 from tidewright.sources.tables import BATCH, read_batches, read_events, remember_late_hours
 
@@ -66,6 +68,11 @@ class IngestPaths:
         """Ids of stored events without a usable time, with the day each was filed under."""
         return f"{self.events.rstrip('/')}_undated"
 
+    @property
+    def undelivered(self) -> str:
+        """Dead letters that the dead-letter table did not take, by batch."""
+        return f"{self.events.rstrip('/')}_undelivered"
+
 
 def judge(raw: DataFrame) -> DataFrame:
     """Parse and validate raw texts (column `value`), batch or stream.
@@ -122,10 +129,14 @@ METRICS_SCHEMA = "event_id string, event_type string, metrics map<string,string>
 UNDATED_SCHEMA = "event_id string, day string"
 
 
+def _batch_folder(spark: SparkSession, path: str, batch: str) -> str:
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
+    return f"{path.rstrip('/')}/{BATCH}={name}"
+
+
 def _first_counts(spark: SparkSession, path: str, batch: str) -> dict[str, int] | None:
     """Counters that an earlier run of the batch has written."""
-    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
-    if not has_data(spark, f"{path.rstrip('/')}/ingest_batch={name}") and not is_rolled(spark, path, batch):
+    if not has_data(spark, _batch_folder(spark, path, batch)) and not is_rolled(spark, path, batch):
         return None
     row = read_batches(spark, path, COUNTERS_SCHEMA).where(F.col(BATCH) == batch).drop(BATCH).first()
     return row.asDict() if row else None
@@ -156,11 +167,34 @@ def ingest_batch(
 
 
 def _store_rejected(settled: DataFrame, paths: IngestPaths, batch: str) -> None:
+    spark, rows = settled.sparkSession, rejected_rows(settled)
     try:
-        write_dead_letters(rejected_rows(settled), paths.dead_letters, batch)
+        write_dead_letters(rows, paths.dead_letters, batch)
     except Exception:
-        # Losing a dead letter must not stop the stream.
+        # A failing dead-letter table must not stop the stream, nor lose a row: if these can't wait
+        # beside the events either, the batch fails.
         log.exception("dead-letter write failed for batch %s", batch)
+        _replace_batch(rows, paths.undelivered, batch)
+        return
+    # What an earlier run of the batch left there.
+    delete(spark, _batch_folder(spark, paths.undelivered, batch))
+    try:
+        deliver_dead_letters(spark, paths)
+    except Exception:
+        log.exception("dead letters are still waiting in %s", paths.undelivered)
+
+
+def deliver_dead_letters(spark: SparkSession, paths: IngestPaths) -> int:
+    """Store the dead letters that wait beside the events; the number of their batches.
+
+    Fails when the dead-letter table does not take them; they go on waiting then.
+    """
+    waiting = [folder for folder in folders(spark, paths.undelivered, 1) if BATCH in folder.values]
+    for folder in waiting:
+        rows = spark.read.schema(DLQ_SCHEMA).parquet(folder.path)
+        write_dead_letters(rows, paths.dead_letters, folder.values[BATCH])
+        delete(spark, folder.path)
+    return len(waiting)
 
 
 def _store_metrics(settled: DataFrame, paths: IngestPaths, batch: str) -> None:
@@ -313,7 +347,11 @@ def ingest_counters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def roll_up_batches(spark: SparkSession, paths: IngestPaths, unchanged_hours: float = 24) -> dict[str, int]:
-    """Merge the partitions of sealed batches in every batch table; batches merged per table."""
+    """Merge the partitions of sealed batches in every batch table; batches merged per table.
+
+    Dead letters that wait beside the events are delivered first.
+    """
+    deliver_dead_letters(spark, paths)
     done = {
         "dead_letters": roll_up(spark, paths.dead_letters, DLQ_SCHEMA, None, unchanged_hours),
         "undated": roll_up(spark, paths.undated, UNDATED_SCHEMA, None, unchanged_hours),
