@@ -31,7 +31,7 @@ def test_rows_only_query_runs(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
-@pytest.mark.parametrize("name", ["rolled_dead_letters"])
+@pytest.mark.parametrize("name", ["rolled_dead_letters", "stream_dead_letters"])
 def test_a_dead_letter_table_that_fails_never_shortens_the_result(spark, monkeypatch, name):
     write, calls = ingest.write_dead_letters, []
 
